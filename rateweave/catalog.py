@@ -537,7 +537,7 @@ def flatten_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(f"WITH {_SPLIT} SELECT user_id, item_id, in_train FROM drawn")
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = model.train_test_split(_clean(spark, sf_dir))
+    train, test = _split_on_disk(spark, sf_dir)
 
     def side(rows: DataFrame, in_train: bool) -> DataFrame:
         return rows.select("user_id", "item_id", F.lit(in_train).alias("in_train"))
@@ -593,7 +593,7 @@ def als_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def als_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per configuration tried."""
-    best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir))
+    best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir), keep_split=False)
     rows = [
         (t.config.rank, t.config.reg_param, t.config.max_iter, t.rmse, t is best) for t in trials
     ]

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from rateweave.schemas import RATING
 
 
-def rating_fields(line: Column, delimiter: str = "::") -> list[Column]:
-    """The four typed fields of one line; a missing or bad field is null.
+def split_line(line: Column, delimiter: str = "::") -> Column:
+    """The parts of a line; the delimiter is literal text, quoted for the splitter."""
+    return F.split(line, rf"\Q{delimiter}\E")
+
+
+def rating_fields(parts: Column) -> list[Column]:
+    """The four typed fields of a split line; a missing or bad field is null.
 
     ``get`` and ``try_cast`` keep short and malformed lines as nulls with ANSI
-    mode on. The delimiter is literal text, quoted for the regex splitter.
+    mode on.
     """
-    parts = F.split(line, rf"\Q{delimiter}\E")
     return [
         F.get(parts, F.lit(position)).try_cast(field.dataType).alias(field.name)
         for position, field in enumerate(RATING.fields)

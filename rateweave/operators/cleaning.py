@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.functions.text import rating_fields
+from rateweave.functions.once import computed_once
+from rateweave.functions.text import rating_fields, split_line
 from rateweave.schemas import RATING
 
 LOWEST_RATING = 0.5
@@ -14,7 +15,8 @@ HIGHEST_RATING = 5.0
 
 def parse_rating_lines(lines: DataFrame, delimiter: str = "::") -> DataFrame:
     """``value string`` -> ``user_id, item_id, rating, timestamp``; bad fields are null."""
-    return lines.select(*rating_fields(F.col("value"), delimiter))
+    parts = lines.select(split_line(F.col("value"), delimiter).alias("parts"))
+    return computed_once(parts, *rating_fields(F.col("parts")))
 
 
 def drop_null_ratings(ratings: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.event_time import event_time
+from rateweave.functions.once import computed_once
 from rateweave.operators.cleaning import HIGHEST_RATING, LOWEST_RATING
 from rateweave.schemas import EVENT_JSON
 
@@ -15,10 +16,12 @@ def parse_events(envelope: DataFrame) -> DataFrame:
 
     Text that is not the expected JSON gives null fields, never an error.
     """
-    body = F.from_json(F.col("value").cast("string"), EVENT_JSON)
-    return envelope.select(
-        body.alias("body"), F.col("timestamp").alias("ingest_time")
-    ).select(
+    bodies = envelope.select(
+        F.from_json(F.col("value").cast("string"), EVENT_JSON).alias("body"),
+        F.col("timestamp").alias("ingest_time"),
+    )
+    return computed_once(
+        bodies,
         "body.user_id",
         "body.item_id",
         "body.rating",

@@ -132,18 +132,24 @@ def tune_if_needed(
     threshold: float = RMSE_GATE,
     first: AlsConfig = AlsConfig(),
     num_blocks: int | None = None,
+    keep_split: bool = True,
 ) -> tuple[Trial, list[Trial]]:
     """Try ``grid`` only if the first model's RMSE is above ``threshold``.
 
     Returns the best trial (a later one must be strictly better) and all trials.
-    The split is read once and kept, on disk where memory is short, for all fits.
+    Each fit reads both sides once. ``keep_split`` holds them in memory and on
+    disk meanwhile; turn it off for a split of a written table, where reading
+    again costs less than a second copy of the table.
     """
-    sides = [side.persist(StorageLevel.MEMORY_AND_DISK) for side in (train, test)]
+    sides = (train, test)
+    if keep_split:
+        sides = tuple(side.persist(StorageLevel.MEMORY_AND_DISK) for side in sides)
     try:
         trials = [train_eval(*sides, first, num_blocks)]
         if trials[0].rmse > threshold:
             trials += [train_eval(*sides, config, num_blocks) for config in grid]
     finally:
-        for side in sides:
-            side.unpersist()
+        if keep_split:
+            for side in sides:
+                side.unpersist()
     return min(trials, key=lambda trial: trial.rmse), trials

@@ -40,7 +40,9 @@ def train_model(
 ) -> tuple[Trial, list[Trial]]:
     """Split, train, tune if the first model misses the gate, save the best."""
     train, test = train_test_split(read_ratings(spark, ratings_path))
-    best, trials = tune_if_needed(train, test, grid, threshold, num_blocks=num_blocks)
+    best, trials = tune_if_needed(
+        train, test, grid, threshold, num_blocks=num_blocks, keep_split=False
+    )
     save_model(best.model, model_path)
     write_metrics(spark, metrics_path, rmse=best.rmse)
     return best, trials
