@@ -1,0 +1,72 @@
+"""Every query that SQL can express, against DuckDB on the same tables."""
+
+import math
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_point
+
+duckdb = pytest.importorskip("duckdb")
+
+SPARK_TO_SQL = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.fixture(scope="module")
+def database(small_dir):
+    connection = duckdb.connect()
+    for path in Path(small_dir).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _sorted(columns, values):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in values), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+def test_query(spark, database, small_dir, name):
+    frame = entry_point.queries()[name](spark, small_dir)
+    result = database.execute(entry_point.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    types = {c[0]: str(c[1]) for c in result.description}
+    assert {n: SPARK_TO_SQL[t] for n, t in frame.dtypes} == types
+    found = _sorted(frame.columns, [tuple(r) for r in frame.collect()])
+    expected = _sorted(columns, result.fetchall())
+    assert len(found) > 0
+    assert len(found) == len(expected)
+    for ours, theirs in zip(found, expected):
+        for a, b in zip(ours, theirs):
+            assert a == b or (isinstance(a, float) and math.isclose(a, b, rel_tol=1e-12))
+
+
+def test_only_model_queries_lack_sql():
+    without = set(entry_point.queries()) - set(entry_point.oracle_sql())
+    assert without == {
+        "als_train_eval",
+        "als_tuned",
+        "als_predictions",
+        "als_recommendations",
+        "als_recommendations_all_users",
+        "stream_recommendations",
+        "stream_recommendations_lookup",
+    }
+
+
+@pytest.mark.parametrize("name", ["als_predictions", "stream_recommendations_lookup"])
+def test_model_query_gives_rows(spark, small_dir, name):
+    assert not entry_point.queries()[name](spark, small_dir).isEmpty()
+
+
+def test_entry(spark):
+    top = entry_point.entry(spark)
+    assert top.columns[-1] == "trending_score"
+    assert top.count() == 5

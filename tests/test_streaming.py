@@ -1,0 +1,322 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from rateweave.operators import model as m
+from rateweave.operators.alerts import item_alerts, user_alerts
+from rateweave.operators.events import parse_events, valid_events
+from rateweave.operators.window_metrics import (
+    item_window_metrics,
+    trending_score,
+    trending_top_k,
+    user_window_metrics,
+)
+from rateweave.plans.watch_events import start_watching, watched_events
+from rateweave.schemas import ENVELOPE
+from rateweave.sources.files import stream_parquet
+from rateweave.sources.kafka import kafka_options
+from rateweave.streaming.lifecycle import run_to_end, run_until_any_stops
+from rateweave.streaming.progress import progress_metrics
+from rateweave.streaming.recommendations import recommendation_handler, scored_by
+from rateweave.streaming.shared import Output, share, unchanged, write_batch
+from rateweave.streaming.sinks import (
+    ONCE_THROUGH,
+    for_each_batch,
+    to_console,
+    to_parquet_append,
+)
+
+from .conftest import rows
+
+ORIGIN = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+
+
+class Topic:
+    """A folder of envelope files, one micro-batch each."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.files = spark, str(path), 0
+        os.makedirs(self.path)
+
+    def publish(self, *events):
+        """``(user, item, rating, seconds after the origin)`` as one file."""
+        body = [
+            (
+                str(user).encode(),
+                (
+                    f'{{"user_id":{user},"item_id":{item},"rating":{rating},"timestamp":'
+                    f'"{(ORIGIN + dt.timedelta(seconds=at)).isoformat()}"}}'
+                ).encode(),
+                ORIGIN,
+            )
+            for user, item, rating, at in events
+        ]
+        self.files += 1
+        frame = self.spark.createDataFrame(body, ENVELOPE)
+        target = f"{self.path}/{self.files:03d}.parquet"
+        frame.toPandas().to_parquet(target, coerce_timestamps="us")
+        # File streams take older files first.
+        os.utime(target, (1_700_000_000 + self.files,) * 2)
+
+    def read(self):
+        return stream_parquet(self.spark, self.path, ENVELOPE, max_files_per_trigger=1)
+
+    def table(self):
+        return valid_events(parse_events(self.spark.read.schema(ENVELOPE).parquet(self.path)))
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return Topic(spark, tmp_path / "topic")
+
+
+def seconds(column):
+    return (F.unix_seconds(column) - int(ORIGIN.timestamp())).alias(column)
+
+
+def spans(frame):
+    return rows(frame.select(seconds("window_start"), "interaction_count"))
+
+
+TRACE = [[5], [200], [6], [7, 201], [400]]
+
+
+def publish_trace(topic):
+    for batch in TRACE:
+        topic.publish(*[(1, 1, 4.0, at) for at in batch])
+
+
+def test_append_gives_each_closed_window_once(spark, topic, tmp_path):
+    publish_trace(topic)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    metrics = item_window_metrics(watched_events(topic.read()))
+    query = to_parquet_append(metrics, "trace", out, checkpoint, ONCE_THROUGH)
+    run_to_end([query])
+    # Second 6 comes one batch after second 200 and still counts; second 7, a
+    # batch later, is dropped; the windows of 400 stay open.
+    assert spans(spark.read.parquet(out)) == [
+        (-10, 2), (-20, 2), (0, 2), (180, 2), (190, 2), (200, 2),
+    ]
+    steps = progress_metrics(spark, query).orderBy("batch_id").collect()
+    assert [s.num_input_rows for s in steps] == [1, 1, 1, 2, 1, 0]
+    assert [s.rows_dropped_late for s in steps] == [0, 0, 0, 3, 0, 0]
+    assert all(s.trigger_ms > 0 for s in steps)
+
+
+def test_update_gives_changed_windows_of_each_batch(spark, topic, tmp_path):
+    publish_trace(topic)
+    out = str(tmp_path / "out")
+    metrics = item_window_metrics(watched_events(topic.read()))
+    handler = share([Output(unchanged, write_batch(out))])
+    run_to_end([for_each_batch(metrics, "update", handler, str(tmp_path / "c"), ONCE_THROUGH)])
+    batches = {
+        batch: spans(spark.read.parquet(out).filter(F.col("batch_id") == batch))
+        for batch in range(5)
+    }
+    assert batches == {
+        0: [(-10, 1), (-20, 1), (0, 1)],
+        1: [(180, 1), (190, 1), (200, 1)],
+        2: [(-10, 2), (-20, 2), (0, 2)],
+        3: [(180, 2), (190, 2), (200, 2)],
+        4: [(380, 1), (390, 1), (400, 1)],
+    }
+
+
+def test_stateless_queries_keep_late_events(spark, topic, tmp_path):
+    publish_trace(topic)
+    out = str(tmp_path / "out")
+    events = watched_events(topic.read())
+    run_to_end([to_parquet_append(events, "raw", out, str(tmp_path / "c"), ONCE_THROUGH)])
+    assert sorted(r.s for r in spark.read.parquet(out).select(seconds("event_time").alias("s")).collect()) == [
+        5, 6, 7, 200, 201, 400,
+    ]
+
+
+EVENTS = [
+    (user, item, 5.0 if item == 3 else 2.5, 11 * n)
+    for n, (user, item) in enumerate((u, i) for u in range(6) for i in (3, 3, 3, 4))
+]
+
+
+@pytest.mark.parametrize("metrics", [item_window_metrics, user_window_metrics])
+def test_one_batch_append_is_the_static_result_cut_at_the_watermark(
+    spark, topic, tmp_path, metrics
+):
+    topic.publish(*EVENTS)
+    out = str(tmp_path / "out")
+    stream = metrics(watched_events(topic.read()))
+    run_to_end([to_parquet_append(stream, "cut", out, str(tmp_path / "c"), ONCE_THROUGH)])
+    table = topic.table()
+    latest = table.agg(F.max("event_time")).first()[0]
+    closed = F.col("window_end") <= F.lit(latest - dt.timedelta(minutes=1))
+    assert rows(spark.read.parquet(out)) == rows(metrics(table).filter(closed))
+
+
+def test_restart_resumes_without_duplicates(spark, topic, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run():
+        metrics = item_window_metrics(watched_events(topic.read()))
+        run_to_end([to_parquet_append(metrics, "restart", out, checkpoint, ONCE_THROUGH)])
+
+    topic.publish((1, 1, 4.0, 5), (2, 1, 5.0, 15))
+    run()
+    topic.publish((1, 1, 4.0, 25), (1, 2, 4.0, 300))
+    run()
+    run()
+    closed = item_window_metrics(topic.table()).filter(seconds("window_end") <= 240)
+    assert rows(spark.read.parquet(out)) == rows(closed)
+
+
+def test_shared_outputs_read_the_source_once(spark, topic, tmp_path):
+    topic.publish(*EVENTS)
+    out = tmp_path / "out"
+    outputs = [
+        Output(unchanged, write_batch(f"{out}/metrics")),
+        Output(item_alerts, write_batch(f"{out}/alerts")),
+        Output(lambda b: trending_top_k(trending_score(b), 2), write_batch(f"{out}/top")),
+    ]
+    query = for_each_batch(
+        item_window_metrics(watched_events(topic.read())),
+        "shared",
+        share(outputs),
+        str(tmp_path / "c"),
+        ONCE_THROUGH,
+    )
+    run_to_end([query])
+    assert sum(s.numInputRows for s in query.recentProgress) == len(EVENTS)
+    metrics = item_window_metrics(topic.table())
+
+    def written(name):
+        return rows(spark.read.parquet(f"{out}/{name}").drop("batch_id"))
+
+    assert written("metrics") == rows(metrics)
+    assert written("alerts") == rows(item_alerts(metrics))
+    assert written("top") == rows(trending_top_k(trending_score(metrics), 2))
+
+
+def test_a_replayed_batch_replaces_its_rows(spark, tmp_path):
+    out = str(tmp_path / "out")
+    handler = share([Output(unchanged, write_batch(out))])
+    handler(spark.range(3), 0)
+    handler(spark.range(3, 5), 1)
+    handler(spark.range(3), 0)
+    handler(spark.range(0), 2)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    assert not os.path.exists(f"{out}/batch_id=2")
+
+
+def test_console(spark, topic, tmp_path):
+    topic.publish((1, 77, 4.5, 5))
+    metrics = item_window_metrics(watched_events(topic.read()))
+    query = to_console(metrics, "shown", str(tmp_path / "c"), ONCE_THROUGH, num_rows=10)
+    run_to_end([query])
+    # The JVM prints the rows; the progress tells which sink took them.
+    assert "ConsoleTable" in query.recentProgress[0].sink.description
+    assert query.recentProgress[0].numInputRows == 1
+
+
+def test_an_error_in_one_query_stops_all(spark, topic, tmp_path):
+    topic.publish((1, 1, 4.5, 5))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("handler failed")
+
+    events = watched_events(topic.read())
+    queries = [
+        for_each_batch(events, "fails", fail, str(tmp_path / "a"), mode="append"),
+        to_parquet_append(events, "runs", str(tmp_path / "out"), str(tmp_path / "b")),
+    ]
+    with pytest.raises(Exception, match="handler failed"):
+        run_until_any_stops(queries)
+    assert not any(q.isActive for q in queries)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    frame = spark.range(400).select(
+        (F.col("id") % 20).cast("int").alias("user_id"),
+        (F.col("id") * 7 % 30).cast("int").alias("item_id"),
+        (F.col("id") % 10 / 2 + 0.5).cast("float").alias("rating"),
+    )
+    return m.fit_als(frame, m.AlsConfig(rank=3, max_iter=3))
+
+
+def test_recommendations_leave_out_the_batch_only(spark, topic, tmp_path, model):
+    best = model.recommendForUserSubset(
+        spark.createDataFrame([(2,)], "user_id int"), 1
+    ).first().recommendations[0].item_id
+    topic.publish((2, best, 4.0, 1), (2, best, 4.0, 2), (10**6, 1, 4.0, 3))
+    topic.publish((2, 999, 4.0, 4))
+    topic.publish((10**6, 1, 4.0, 5))
+    out = str(tmp_path / "out")
+    handler = recommendation_handler(scored_by(model), write_batch(out))
+    run_to_end(
+        [
+            for_each_batch(
+                watched_events(topic.read()), "recs", handler, str(tmp_path / "c"),
+                ONCE_THROUGH, "append",
+            )
+        ]
+    )
+    found = spark.read.parquet(out)
+    per_batch = {b: {r.item_id for r in found.filter(f"batch_id = {b}").collect()} for b in (0, 1)}
+    assert best not in per_batch[0] and best in per_batch[1]
+    assert [len(v) for v in per_batch.values()] == [5, 5]
+    assert {r.user_id for r in found.collect()} == {2}
+    assert not os.path.exists(f"{out}/batch_id=2")
+
+
+def test_joins_are_the_same_beyond_the_broadcast_bound(spark, tmp_path, model):
+    batch = spark.createDataFrame([(2, 3), (2, 4), (5, 3)], "user_id int, item_id int")
+    for bound, name in ((10, "small"), (1, "large")):
+        handler = recommendation_handler(
+            scored_by(model), write_batch(f"{tmp_path}/{name}"), broadcast_pairs=bound
+        )
+        handler(batch, 0)
+    small, large = (rows(spark.read.parquet(f"{tmp_path}/{n}")) for n in ("small", "large"))
+    assert small == large and len(small) == 10
+
+
+def test_five_queries_give_all_outputs(spark, topic, tmp_path, model, capsys):
+    topic.publish(*EVENTS)
+    out = tmp_path / "out"
+    queries = start_watching(
+        topic.read(), str(out), str(tmp_path / "c"), scored_by(model),
+        fast=ONCE_THROUGH, slow=ONCE_THROUGH,
+    )
+    assert [q.name for q in queries] == [
+        "items_changed", "users_changed", "items_final", "users_final", "events",
+    ]
+    run_to_end(queries)
+    table = topic.table()
+    latest = table.agg(F.max("event_time")).first()[0]
+    closed = F.col("window_end") <= F.lit(latest - dt.timedelta(minutes=1))
+    items, users = item_window_metrics(table), user_window_metrics(table)
+
+    def written(name):
+        return rows(spark.read.parquet(f"{out}/{name}").drop("batch_id"))
+
+    assert written("raw_events") == rows(table)
+    assert written("avg_rating_per_item") == rows(items.filter(closed))
+    assert written("alerts/item") == rows(item_alerts(items).filter(closed))
+    assert written("alerts/user") == rows(user_alerts(users).filter(closed))
+    assert {r[0] for r in written("recommendations")} == set(range(6))
+    shown = capsys.readouterr().out
+    for title in ("item metrics", "trending", "item alerts", "user metrics", "user alerts"):
+        assert title in shown
+
+
+def test_kafka_options():
+    assert kafka_options("broker:9092", "ratings") == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "ratings",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    more = kafka_options("b", "t", "earliest", True, min_partitions=2, max_offsets_per_trigger=9)
+    assert more["minPartitions"] == "2"
+    assert more["maxOffsetsPerTrigger"] == "9"
+    assert (more["startingOffsets"], more["failOnDataLoss"]) == ("earliest", "true")
