@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from rateweave import catalog  # noqa: E402
-from rateweave.operators import cleaning, events, recommend  # noqa: E402
+from rateweave.operators import alerts, cleaning, events, profiling, recommend  # noqa: E402
 from rateweave.operators import model as m  # noqa: E402
 from rateweave.operators import window_metrics as wm  # noqa: E402
 from rateweave.plans.train_model import precompute_recommendations  # noqa: E402
@@ -43,13 +43,17 @@ from rateweave.streaming.recommendations import (  # noqa: E402
     scored_by,
 )
 from rateweave.streaming.shared import write_batch  # noqa: E402
-from rateweave.streaming.sinks import ONCE_THROUGH, for_each_batch  # noqa: E402
+from rateweave.streaming.sinks import (  # noqa: E402
+    ONCE_THROUGH,
+    for_each_batch,
+    to_parquet_append,
+)
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-# Users of one micro-batch, and number of micro-batches, as in the published latencies.
-BATCH_USERS, BATCHES = 50, 8
+# Events per micro-batch and number of micro-batches: those of the published latencies.
+BATCH_EVENTS, BATCHES = 200, 8
 
 
 def session() -> SparkSession:
@@ -81,14 +85,12 @@ def drain(frame: DataFrame) -> None:
 
 
 def microbatch_latencies(spark: SparkSession, candidates: Candidates) -> list[float]:
-    """Seconds per micro-batch of ``BATCH_USERS`` users, first (cold) batch included."""
+    """Seconds per micro-batch, the first (cold) one included."""
     path = new_scratch(spark, "latency")
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    records = adapters.envelope_from_events(rows.filter(F.col("event_id") < BATCHES * BATCH_USERS))
-    (
-        records.repartitionByRange(BATCHES, "timestamp")
-        .write.parquet(f"{path}/topic")
-    )
+    first = rows.orderBy("ts").limit(BATCHES * BATCH_EVENTS)
+    records = adapters.envelope_from_events(first)
+    records.repartitionByRange(BATCHES, "timestamp").write.parquet(f"{path}/topic")
     stream = stream_parquet(spark, f"{path}/topic", records.schema, max_files_per_trigger=1)
     query = for_each_batch(
         watched_events(stream),
@@ -119,29 +121,47 @@ def main() -> None:
     records = spark.read.parquet(envelope_path)
     valid = events.valid_events(events.parse_events(records))
 
-    def query(name: str) -> Callable[[], None]:
-        return lambda: drain(catalog.QUERIES[name](spark, SF_DIR))
+    window = catalog.LONG
+
+    def items(source: DataFrame) -> DataFrame:
+        return wm.item_window_metrics(source, **window)
+
+    def users(source: DataFrame) -> DataFrame:
+        return wm.user_window_metrics(source, **window)
 
-    measured: dict[str, float] = {
-        "clean_lines": timed(lambda: drain(clean)),
-        "preprocess_funnel": timed(lambda: drain(cleaning.preprocess_funnel(parsed))),
-        "item_window_metrics": timed(lambda: drain(wm.item_window_metrics(valid))),
-        "user_window_metrics": timed(lambda: drain(wm.user_window_metrics(valid))),
+    def append_stream(name: str, derive: Callable[[DataFrame], DataFrame]) -> None:
+        path = new_scratch(spark, name)
+        stream = watched_events(stream_parquet(spark, envelope_path, records.schema))
+        run_to_end(
+            [
+                to_parquet_append(
+                    derive(stream), name, f"{path}/out", f"{path}/checkpoint", ONCE_THROUGH
+                )
+            ]
+        )
+
+    frames = {
+        "clean_lines": clean,
+        "preprocess_funnel": cleaning.preprocess_funnel(parsed),
+        "stage_counts": cleaning.stage_counts(parsed),
+        "dataset_cardinality": profiling.dataset_cardinality(ratings),
+        "rating_summary": profiling.rating_summary(ratings),
+        "rating_distribution": profiling.rating_distribution(ratings),
+        "valid_events": valid,
+        "item_window_metrics": items(valid),
+        "item_window_metrics_30s": wm.item_window_metrics(valid),
+        "user_window_metrics": users(valid),
+        "trending_top_k": wm.trending_top_k(wm.trending_score(items(valid))),
+        "item_alerts": alerts.item_alerts(items(valid)),
+        "user_alerts": alerts.user_alerts(users(valid)),
+        "rerank_excluding_seen": catalog.QUERIES["rerank_excluding_seen"](spark, SF_DIR),
     }
-    for name in (
-        "dedup_latest",
-        "dataset_cardinality",
-        "rating_summary",
-        "rating_distribution",
-        "valid_events",
-        "trending_top_k",
-        "item_alerts",
-        "user_alerts",
-        "rerank_excluding_seen",
-    ):
-        measured[name] = timed(query(name))
-    for name in ("item_metrics_append_stream", "item_alerts_append_stream"):
-        measured[name] = timed(query(name), runs=1)
+    measured = {name: timed(lambda f=frame: drain(f)) for name, frame in frames.items()}
+    measured["raw_events_stream"] = timed(lambda: append_stream("raw", lambda e: e))
+    measured["item_metrics_append_stream"] = timed(lambda: append_stream("items", items))
+    measured["user_alerts_append_stream"] = timed(
+        lambda: append_stream("alerts", lambda e: alerts.user_alerts(users(e)))
+    )
 
     train, test = m.train_test_split(ratings)
     trials: list[m.Trial] = []
@@ -156,7 +176,8 @@ def main() -> None:
     measured["recommend_all_users"] = timed(lambda: drain(recommend.recommend_all(model, 5)), 1)
     scored = microbatch_latencies(spark, scored_by(model))
     looked_up = microbatch_latencies(spark, looked_up_in(candidates_path))
-    measured["recommendation_microbatch_median"] = round(statistics.median(looked_up), 3)
+    measured["microbatch_median_scored"] = round(statistics.median(scored), 3)
+    measured["microbatch_median_looked_up"] = round(statistics.median(looked_up), 3)
 
     alternatives = {
         "clean_lines_conditions_repeat_parsing": timed(lambda: drain(plainly_cleaned(lines))),

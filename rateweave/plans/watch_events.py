@@ -100,7 +100,7 @@ def start_watching(
             slow,
             [
                 Output(unchanged, write_batch(f"{out_dir}/avg_rating_per_item")),
-                Output(item_alerts, write_batch(f"{out_dir}/alerts/item")),
+                Output(item_alerts, write_batch(f"{out_dir}/alerts/item", skip_empty=True)),
             ],
         ),
         (
@@ -108,7 +108,7 @@ def start_watching(
             users,
             "append",
             slow,
-            [Output(user_alerts, write_batch(f"{out_dir}/alerts/user"))],
+            [Output(user_alerts, write_batch(f"{out_dir}/alerts/user", skip_empty=True))],
         ),
         ("events", events, "append", fast, event_outputs),
     ]

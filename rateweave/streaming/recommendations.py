@@ -29,8 +29,15 @@ BROADCAST_PAIRS = 500_000
 Candidates = Callable[[DataFrame, int, bool], DataFrame]
 
 
-def scored_by(model: ALSModel) -> Candidates:
-    """Score the users of each batch against all items of the model."""
+def scored_by(model: ALSModel, keep_factors: bool = True) -> Candidates:
+    """Score the users of each batch against all items of the model.
+
+    ``keep_factors`` holds the two factor tables on the executors, in memory and
+    on disk, instead of reading them again for every batch.
+    """
+    if keep_factors:
+        model.userFactors.persist(StorageLevel.MEMORY_AND_DISK)
+        model.itemFactors.persist(StorageLevel.MEMORY_AND_DISK)
 
     def candidates(users: DataFrame, n: int, few: bool) -> DataFrame:
         return recommend(model, users, n)

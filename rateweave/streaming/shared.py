@@ -27,14 +27,16 @@ def unchanged(batch: DataFrame) -> DataFrame:
     return batch
 
 
-def write_batch(path: str) -> BatchHandler:
-    """Write each batch that has rows below ``path/batch_id=<id>``.
+def write_batch(path: str, skip_empty: bool = False) -> BatchHandler:
+    """Write each batch below ``path/batch_id=<id>``.
 
     A batch that runs again replaces its own folder, so every row is there once.
+    ``skip_empty`` saves the file of a batch without rows, but looks at the frame
+    an extra time: for frames that are cheap to derive from a kept batch.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        if not (skip_empty and batch.isEmpty()):
             batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle
