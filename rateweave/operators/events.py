@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from rateweave.functions.event_time import event_time
 from rateweave.functions.once import computed_once
-from rateweave.operators.cleaning import HIGHEST_RATING, LOWEST_RATING
+from rateweave.operators.cleaning import (
+    HIGHEST_RATING,
+    LOWEST_RATING,
+    filter_rating_range,
+)
 from rateweave.schemas import EVENT_JSON
 
 
@@ -32,14 +36,9 @@ def parse_events(envelope: DataFrame) -> DataFrame:
 def valid_events(
     events: DataFrame, lo: float = LOWEST_RATING, hi: float = HIGHEST_RATING
 ) -> DataFrame:
-    """Keep complete events with a rating in range."""
-    return events.filter(
-        F.col("user_id").isNotNull()
-        & F.col("item_id").isNotNull()
-        & F.col("rating").isNotNull()
-        & F.col("rating").between(lo, hi)
-        & F.col("event_time").isNotNull()
-    )
+    """Keep events with every field present and a rating in ``[lo, hi]``."""
+    complete = events.dropna(subset=["user_id", "item_id", "rating", "event_time"])
+    return filter_rating_range(complete, lo, hi)
 
 
 def to_kafka_envelope(records: DataFrame, num_partitions: int) -> DataFrame:

@@ -83,13 +83,13 @@ def fit_als(
 ) -> ALSModel:
     """Fit on the three columns ALS needs.
 
-    MLlib's default of 10 blocks is kept on a small machine and follows the
-    number of cores beyond that; every tenth iteration is checkpointed to the
-    shared folder, so that a lost executor does not replay all of them.
+    One block per core unless given: MLlib's fixed 10 would leave a large cluster
+    idle. Every tenth iteration is checkpointed to the shared folder, so that a
+    lost executor does not replay all of them.
     """
     session = train.sparkSession
     ensure_checkpoint_dir(session)
-    blocks = num_blocks or max(10, session.sparkContext.defaultParallelism)
+    blocks = num_blocks or session.sparkContext.defaultParallelism
     return build_als(config, blocks).fit(train.select("user_id", "item_id", "rating"))
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from rateweave import session
-from rateweave.jobs import parser
+from rateweave.jobs import main, parser
 from rateweave.operators.cleaning import clean, parse_rating_lines, preprocess_funnel
 from rateweave.plans.clean_ratings import clean_ratings
 from rateweave.plans.train_model import precompute_recommendations
@@ -26,6 +26,16 @@ def test_clean_job(spark, small_dir, tmp_path):
     assert sum(r["count"] for r in report.distribution.collect()) == report.summary.first().n
 
 
+def test_clean_job_from_the_command_line(spark, small_dir, tmp_path, capsys):
+    text, out = str(tmp_path / "lines"), tmp_path / "ratings"
+    rating_lines(spark, small_dir).write.text(text)
+    main(["clean", "--lines", text, "--ratings", str(out), "--files", "4"])
+    assert len(list(out.glob("*.parquet"))) == 4
+    shown = capsys.readouterr().out
+    for column in ("duplicate_dropped", "sparsity", "stddev", "count"):
+        assert column in shown
+
+
 def test_precomputed_candidates_are_one_row_per_user(spark, small_dir, tmp_path):
     model, out = str(tmp_path / "model"), str(tmp_path / "candidates")
     ratings = clean(rating_lines(spark, small_dir))
