@@ -467,6 +467,16 @@ def item_alerts_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _utc(spark.read.parquet(f"{path}/alerts").drop("batch_id"))
 
 
+@_register(f"WITH {_LONG_WINDOWS} SELECT {_USER_COLUMNS}, avg_rating_given FROM user_metrics")
+def user_metrics_update_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window the stream changed; the pass over the table is one batch."""
+    path = new_scratch(spark, "user_metrics")
+    metrics = wm.user_window_metrics(_stream(spark, sf_dir), **LONG)
+    handler = share([Output(unchanged, write_batch(f"{path}/out"))])
+    run_to_end([for_each_batch(metrics, "users", handler, f"{path}/checkpoint", ONCE_THROUGH)])
+    return _utc(spark.read.parquet(f"{path}/out").drop("batch_id"))
+
+
 @_register(_TOP_TRENDING)
 def trending_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top k of each update micro-batch; the pass over the table is one batch."""
@@ -545,6 +555,21 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side(train, True).unionAll(side(test, False))
 
 
+@_register(
+    f"""WITH {_SPLIT}
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE in_train) AS train_rows,
+       count(*) FILTER (WHERE NOT in_train) AS test_rows
+FROM drawn"""
+)
+def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sides = train_test_split(spark, sf_dir)
+    return sides.agg(
+        F.count("*").alias("total_rows"),
+        F.count_if("in_train").alias("train_rows"),
+        F.count_if(~F.col("in_train")).alias("test_rows"),
+    )
+
+
 @_register(
     f"""WITH {_SPLIT}
 SELECT DISTINCT user_id FROM drawn WHERE in_train ORDER BY user_id LIMIT 5"""

@@ -19,6 +19,7 @@ from rateweave.operators.profiling import (
     rating_distribution,
     rating_summary,
 )
+from rateweave.session import sized_for
 from rateweave.sinks.tables import write_ratings
 from rateweave.sources.ratings import read_rating_lines, read_ratings
 
@@ -46,9 +47,11 @@ def clean_ratings(
     columns of the written table; the funnel needs one scan of the lines and the
     row count in the Parquet footers.
     """
-    parsed = parse_rating_lines(read_rating_lines(spark, lines_path), delimiter)
+    lines = read_rating_lines(spark, lines_path)
+    parsed = parse_rating_lines(lines, delimiter)
     kept = filter_rating_range(drop_null_ratings(parsed))
-    write_ratings(dedup_latest(kept), out_path, num_files)
+    with sized_for(lines):
+        write_ratings(dedup_latest(kept), out_path, num_files)
 
     ratings = read_ratings(spark, out_path)
     final_count = F.lit(ratings.count()).cast("bigint")

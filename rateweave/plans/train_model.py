@@ -23,6 +23,7 @@ from rateweave.operators.recommend import (
     recommend_all,
     sample_users,
 )
+from rateweave.session import sized_for
 from rateweave.sinks.models import save_model, save_recommendations
 from rateweave.sinks.tables import write_metrics
 from rateweave.sources.models import load_model
@@ -39,10 +40,12 @@ def train_model(
     num_blocks: int | None = None,
 ) -> tuple[Trial, list[Trial]]:
     """Split, train, tune if the first model misses the gate, save the best."""
-    train, test = train_test_split(read_ratings(spark, ratings_path))
-    best, trials = tune_if_needed(
-        train, test, grid, threshold, num_blocks=num_blocks, keep_split=False
-    )
+    ratings = read_ratings(spark, ratings_path)
+    train, test = train_test_split(ratings)
+    with sized_for(ratings):
+        best, trials = tune_if_needed(
+            train, test, grid, threshold, num_blocks=num_blocks, keep_split=False
+        )
     save_model(best.model, model_path)
     write_metrics(spark, metrics_path, rmse=best.rmse)
     return best, trials

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job wants, whatever the cluster. Partition counts and memory
-# are left to the cluster: AQE coalesces and splits shuffle partitions.
+# Settings every job wants, whatever the cluster. Memory is left to the cluster;
+# partition counts follow the input (:func:`sized_for`) and AQE.
 BASE_CONF = {
     # Event timestamps without an offset are read as UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +63,50 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
+
+
+MB = 1 << 20
+# Bounds that keep maps x reducers, and with it the number of shuffle blocks, in hand.
+MOST_PARTITIONS = 20_000
+MOST_SCAN_TASKS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def scan_bytes(scan: DataFrame) -> int:
+    """Size of the files behind a frame that only reads, from their metadata."""
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partition_plan(size: int, shuffle_partitions: int) -> dict[str, str]:
+    """Settings for an input of ``size`` bytes.
+
+    AQE merges shuffle partitions that turn out small but cannot split those of
+    an aggregation, so it must start with enough of them: one per 128 MB, not
+    fewer than ``shuffle_partitions``. Scan tasks read 128 MB, or more of an
+    input that would need too many tasks.
+    """
+    partitions = min(MOST_PARTITIONS, max(shuffle_partitions, -(-size // (128 * MB))))
+    split = max(128 * MB, -(-size // MOST_SCAN_TASKS))
+    return {
+        INITIAL_PARTITIONS: str(max(partitions, shuffle_partitions)),
+        SPLIT_BYTES: str(split),
+    }
+
+
+@contextmanager
+def sized_for(scan: DataFrame) -> Iterator[None]:
+    """Partition what runs inside for the size of ``scan``; restores the settings."""
+    conf = scan.sparkSession.conf
+    plan = partition_plan(scan_bytes(scan), int(conf.get("spark.sql.shuffle.partitions")))
+    before = {key: conf.get(key, None) for key in plan}
+    for key, value in plan.items():
+        conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                conf.unset(key)
+            else:
+                conf.set(key, value)

@@ -83,3 +83,28 @@ class _Cluster:
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(_Cluster)
+
+
+def test_partitions_follow_the_input():
+    gb = 1 << 30
+    initial, split = session.INITIAL_PARTITIONS, session.SPLIT_BYTES
+    small = session.partition_plan(10 * session.MB, 200)
+    assert (small[initial], small[split]) == ("200", str(128 * session.MB))
+    assert session.partition_plan(100 * gb, 200)[initial] == "800"
+    huge = session.partition_plan(100 * 1024 * gb, 200)
+    assert int(huge[initial]) == session.MOST_PARTITIONS
+    assert 100 * 1024 * gb / int(huge[split]) <= session.MOST_SCAN_TASKS
+    # A setting above the bound is the user's choice.
+    assert session.partition_plan(gb, 50_000)[initial] == "50000"
+
+
+def test_sizing_reads_file_sizes_and_restores_settings(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.range(1000).selectExpr("string(id) AS value").coalesce(1).write.text(path)
+    scan = read_rating_lines(spark, path)
+    assert session.scan_bytes(scan) == 3890
+    before = spark.conf.get(session.SPLIT_BYTES)
+    with session.sized_for(scan):
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "4"
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    assert spark.conf.get(session.SPLIT_BYTES) == before

@@ -208,6 +208,31 @@ def test_a_replayed_batch_replaces_its_rows(spark, tmp_path):
     assert not os.path.exists(f"{out}/batch_id=2")
 
 
+def test_a_batch_that_failed_after_writing_is_not_doubled(spark, topic, tmp_path):
+    topic.publish((1, 1, 4.0, 1))
+    topic.publish((2, 1, 4.0, 2))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    failed = []
+
+    def breaks_once(batch, batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def run():
+        outputs = [Output(unchanged, write_batch(out)), Output(unchanged, breaks_once)]
+        events = watched_events(topic.read())
+        run_to_end(
+            [for_each_batch(events, "retry", share(outputs), checkpoint, ONCE_THROUGH, "append")]
+        )
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    run()
+    assert failed == [1]
+    assert sorted(r.user_id for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
 def test_console(spark, topic, tmp_path):
     topic.publish((1, 77, 4.5, 5))
     metrics = item_window_metrics(watched_events(topic.read()))
