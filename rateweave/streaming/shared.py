@@ -54,12 +54,16 @@ def show_batch(title: str, num_rows: int = 20) -> BatchHandler:
 
 
 def share(outputs: Sequence[Output]) -> BatchHandler:
-    """One handler for all outputs: the batch is computed once, then reused."""
+    """One handler for all outputs: the batch is computed once, then reused.
+
+    Counting the batch computes all of it first, so that no output that looks at
+    a few rows decides how much of the batch, and of its state, is computed.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if kept.isEmpty():
+            if kept.count() == 0:
                 return
             for output in outputs:
                 output.handle(output.derive(kept), batch_id)

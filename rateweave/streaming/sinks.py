@@ -66,7 +66,7 @@ def for_each_batch(
     """Hand each micro-batch, as a static frame, to ``handler``.
 
     A batch may be handed over again after a failure: handlers must give the
-    same result for the same batch id, as those of
-    :mod:`rateweave.streaming.shared` do.
+    same result for the same batch id, and should compute the whole batch. Those
+    made by :func:`rateweave.streaming.shared.share` do both.
     """
     return _writer(frame, name, mode, checkpoint, trigger).foreachBatch(handler).start()

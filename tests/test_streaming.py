@@ -20,7 +20,7 @@ from rateweave.sources.kafka import kafka_options
 from rateweave.streaming.lifecycle import run_to_end, run_until_any_stops
 from rateweave.streaming.progress import progress_metrics
 from rateweave.streaming.recommendations import recommendation_handler, scored_by
-from rateweave.streaming.shared import Output, share, unchanged, write_batch
+from rateweave.streaming.shared import Output, share, show_batch, unchanged, write_batch
 from rateweave.streaming.sinks import (
     ONCE_THROUGH,
     for_each_batch,
@@ -197,6 +197,22 @@ def test_shared_outputs_read_the_source_once(spark, topic, tmp_path):
     assert written("top") == rows(trending_top_k(trending_score(metrics), 2))
 
 
+def test_state_is_whole_when_outputs_look_at_few_rows(spark, topic, tmp_path, capsys):
+    for _ in range(3):
+        topic.publish(*[(user, 1, 4.0, 5) for user in range(60)])
+    query = for_each_batch(
+        user_window_metrics(watched_events(topic.read())),
+        "few_rows",
+        share([Output(unchanged, show_batch("users", 1))]),
+        str(tmp_path / "c"),
+        ONCE_THROUGH,
+    )
+    run_to_end([query])
+    steps = progress_metrics(spark, query).filter("num_input_rows > 0").collect()
+    assert [step.state_rows for step in steps] == [180, 180, 180]
+    assert "|3 " in capsys.readouterr().out
+
+
 def test_a_replayed_batch_replaces_its_rows(spark, tmp_path):
     out = str(tmp_path / "out")
     handler = share([Output(unchanged, write_batch(out))])
