@@ -57,7 +57,8 @@ def pair_up(
     """Round the chances in order; gives 0 or 1 each, and the one left (-1: none).
 
     The entry of the one left is meaningless; its chance is in ``chances``, which
-    must be a list and is changed.
+    must be a list and is changed. Given in descending size, the one left tends to
+    be small: a large document is settled by the many smaller ones after it.
     """
     out = [0] * len(sizes)
     held = -1
@@ -95,7 +96,9 @@ LEFT = "source string, leaf long, place long, size long, chance double, extra lo
 
 def _round_leaf(seed: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["source", "mark", "doc_id", "size"], na_position="last")
+        rows = rows.sort_values(
+            ["source", "size", "mark", "doc_id"], ascending=[True, False, True, True]
+        )
         rows = rows.reset_index(drop=True)
         rows["place"] = np.arange(len(rows))
         rate = np.where(
@@ -123,7 +126,8 @@ def _round_leaf(seed: int):
 
 def _round_level(seed: int, level: int, last: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["leaf", "place"]).reset_index(drop=True)
+        rows = rows.sort_values(["size", "leaf", "place"], ascending=[False, True, True])
+        rows = rows.reset_index(drop=True)
         draws = [
             _draw(seed, level, a, b) for a, b in zip(rows.leaf, rows.place, strict=True)
         ]

@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import mixing
+from rateweave.llm import mixing, quality, secrets
 from rateweave.llm.tables import table
 
 
+def op5_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text of ``documents``."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
+        secrets.span_text().alias("spans"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict of every text; the trusted ones are labelled good."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document of ``documents``."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -15,6 +30,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_link_secrets": op5_link_secrets,
+    "op6_quality_rules": op6_quality_rules,
     "op10_mix_sources": op10_mix_sources,
 }
 
