@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import mixing, quality, secrets
+from rateweave.llm import mixing, quality, secrets, simhash
 from rateweave.llm.tables import table
 
 
+def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select(
+        "doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id"
+    )
+
+
 def op5_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text of ``documents``."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -30,6 +38,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op5_link_secrets": op5_link_secrets,
     "op6_quality_rules": op6_quality_rules,
     "op10_mix_sources": op10_mix_sources,
