@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import mixing, quality, secrets, simhash
+from rateweave.llm import mixing, packing, quality, secrets, simhash
 from rateweave.llm.tables import table
 
 
@@ -16,6 +16,11 @@ def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text of ``documents``."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -39,6 +44,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_link_secrets": op5_link_secrets,
     "op6_quality_rules": op6_quality_rules,
     "op10_mix_sources": op10_mix_sources,
