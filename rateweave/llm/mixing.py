@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import keep, pieces
+from rateweave.llm.tables import id_text, keep, pieces
 from rateweave.llm.words import WORD
 
 WEIGHTS = (1, 2, 3)
@@ -88,7 +88,7 @@ def pair_up(
 
 
 LEAF = (
-    "leaf long, place long, doc_id long, source string, size long, source_size long, "
+    "leaf long, place long, doc_id string, source string, size long, source_size long, "
     "target double, whole long, extra long, chance double"
 )
 LEFT = "source string, leaf long, place long, size long, chance double, extra long"
@@ -166,7 +166,7 @@ def mix(
     spread; the same rows give the same result in any partitioning.
     """
     sized = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        id_text("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
@@ -216,6 +216,6 @@ def mix(
         late = late.unionByName(more)
     copies = F.col("whole") + F.coalesce("late", "extra")
     return leaf.join(late, ["leaf", "place"], "left").select(
-        "doc_id", "size", "source", "source_size", "target",
+        F.col("doc_id").cast("long").alias("doc_id"), "size", "source", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),
     )

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rateweave.llm.tables import keep, pieces
+from rateweave.llm.tables import id_text, keep, pieces
 
 LIMIT = 2048
 END_ID = 0
@@ -30,7 +30,7 @@ RANK_ROWS = 8192
 # Text of these characters alone, without "<|", is split alike by both libraries.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|")
 
-CUT = "doc_id long, piece int, start long, length long, ids_crc32 long"
+CUT = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 class TokenIds:
@@ -69,11 +69,9 @@ def _cut_documents(batches: Iterator[pd.DataFrame], vocabulary: str, ranks: str,
         out = []
         for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
             ids = np.append(ids_of(text or ""), np.array([END_ID], "<u4")).astype("<u4")
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
             for i, (start, length) in enumerate(cut(len(ids), limit)):
                 out.append((doc_id, i, start, length, zlib.crc32(ids[start : start + length])))
-        frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-        yield frame.astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 class Capacities:
@@ -172,7 +170,7 @@ def _place(batches: Iterator[pd.DataFrame], runs) -> Iterator[pd.DataFrame]:
         run = np.searchsorted(starts, key, "right") - 1
         batch["sequence_id"] = bins[run] + batch["rank"].to_numpy() - ranks[run]
         batch["offset"] = offsets[run]
-        yield batch.drop(columns="rank").astype({"doc_id": "Int64"})
+        yield batch.drop(columns="rank")
 
 
 def pack(
@@ -195,7 +193,7 @@ def pack(
     if vocabulary is None:
         vocabulary = public_tokenizers.path("byte_bpe_50k.json")
         ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(id_text("doc_id"), "text")
     parts = keep(
         texts.mapInPandas(lambda it: _cut_documents(it, vocabulary, ranks, limit), CUT), "pack-pieces"
     )
@@ -212,12 +210,13 @@ def pack(
     sizes = dealt.groupBy("length", "group").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "group", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "group").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "group").orderBy(F.col("doc_id").cast("long"), "piece", "ids_crc32")
     ranked = dealt.withColumn("place", F.row_number().over(within) - 1).join(sizes, ["length", "group"])
     ranked = ranked.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         (F.col("before") + F.col("place")).cast("long").alias("rank"),
     )
-    return ranked.mapInPandas(
+    placed = ranked.mapInPandas(
         lambda it: _place(it, shared.value), CUT + ", sequence_id long, offset long"
     )
+    return placed.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.llm import words
+from rateweave.llm.tables import id_text
 
 BUCKET_BITS = 16
 GRAM = 4
@@ -26,7 +27,7 @@ _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
 
 RESULT = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, base_failed boolean, llr double, kept boolean"
 )
 
@@ -115,13 +116,12 @@ def _judge(batches: Iterator[pd.DataFrame], weight, bits: int, threshold: float)
         texts = batch.text.tolist()
         for a, b in words.batches(texts):
             out = pd.DataFrame(rule_features(texts[a:b]))
-            out.insert(0, "doc_id", batch.doc_id.iloc[a:b].astype("Int64").to_numpy())
+            out.insert(0, "doc_id", batch.doc_id.to_numpy()[a:b])
             out["llr"] = _ratios(texts[a:b], weight, bits)
             out["base_failed"] = (out.n_words < LEAST_WORDS) | (
                 100 * out.n_repeat_words > MOST_REPEATED * out.n_words
             )
             out["kept"] = ~out.base_failed & (out.llr >= threshold)
-            out["doc_id"] = out.doc_id.astype("Int64")
             yield out[[f.split()[0] for f in RESULT.split(", ")]]
 
 
@@ -138,9 +138,10 @@ def judge(
     table gives no rows. Words and windows are compared by 64-bit hashes, windows
     only within a document. A long text is taken whole.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id"))
+    docs = docs.select(id_text("doc_id"), "text")
+    ids = trusted.select(id_text("doc_id"))
     raw = gram_counts(docs, bits)
     good = gram_counts(docs.join(ids, "doc_id", "left_semi"), bits)
     weight = docs.sparkSession.sparkContext.broadcast(log_ratio(good, raw))
-    return docs.mapInPandas(lambda it: _judge(it, weight.value, bits, threshold), RESULT)
+    judged = docs.mapInPandas(lambda it: _judge(it, weight.value, bits, threshold), RESULT)
+    return judged.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import mixing, packing, quality, secrets, simhash
+from rateweave.llm import kdtree, mixing, packing, quality, secrets, simhash, warc
 from rateweave.llm.tables import table
+from rateweave.session import new_scratch
 
 
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_kd_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best inner products of every hundredth row of ``embeddings``."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_link_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text of ``documents``."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -36,6 +42,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op8_write_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``pages`` as it is read back from the archives written."""
+    folder = new_scratch(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document of ``documents``."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -45,8 +60,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_kd_tree_search": op4_kd_tree_search,
     "op5_link_secrets": op5_link_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op8_write_archives": op8_write_archives,
     "op10_mix_sources": op10_mix_sources,
 }
 

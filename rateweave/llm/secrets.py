@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import keep
+from rateweave.llm.tables import id_text, keep
 
 # Fixed patterns and least lengths of the strong kinds.
 ASSIGN = re.compile(
@@ -49,7 +49,7 @@ NEEDS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint":
 
 SPAN = "struct<kind:int,start:int,stop:int>"
 FOUND = (
-    "row long, doc_id long, n_assign long, n_access long, n_hex long, "
+    "row long, doc_id string, n_assign long, n_access long, n_hex long, "
     f"base_sha256 string, base array<{SPAN}>, weak array<{SPAN}>"
 )
 
@@ -95,15 +95,13 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             weak = weak_spans(text, strong)
             count = [sum(k == kind for _, k, _ in strong) for kind in range(3)]
             out.append((
-                row, None if pd.isna(doc_id) else int(doc_id), *count, digest(strong),
+                row, doc_id, *count, digest(strong),
                 [{"kind": k, "start": a, "stop": b} for a, k, b in strong],
                 [{"kind": k, "start": a, "stop": b} for a, k, b in weak],
             ))
             row += 1
         columns = ["row", "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "base", "weak"]
-        frame = pd.DataFrame(out, columns=columns)
-        frame["doc_id"] = frame.doc_id.astype("Int64")
-        yield frame
+        yield pd.DataFrame(out, columns=columns)
 
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -147,7 +145,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     in code points, by start and kind. A null or empty text has none; repeated rows
     and null ids keep their rows; an empty table gives none.
     """
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(_find, FOUND)
+    found = docs.select(id_text("doc_id"), "text").mapInPandas(_find, FOUND)
     found = keep(found, "secret-parts")
     parts = (
         found.where(F.size("weak") > 0)
@@ -159,7 +157,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     base = F.transform("base", lambda x: F.struct(x.start.alias("start"), x.kind.alias("kind"), x.stop.alias("stop")))
     every = F.when(F.col("extra").isNull(), base).otherwise(F.array_sort(F.concat(base, "extra")))
     return found.join(extra, "row", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", every.alias("found")
+        F.col("doc_id").cast("long").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", every.alias("found")
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm import words
 from rateweave.llm.components import components
-from rateweave.llm.tables import keep
+from rateweave.llm.tables import id_text, keep
 
 SHINGLE = 3
 SEED = 42
@@ -34,7 +34,7 @@ CHUNK = 512
 # Parts longer than this are searched by turning bits instead of comparing pairs.
 PAIR_LIST = 8192
 
-PRINT = "doc_id long, fp long, n_words long"
+PRINT = "doc_id string, fp long, n_words long"
 
 
 def fingerprints(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,8 +63,7 @@ def fingerprints(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def _print(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         fp, sizes = fingerprints(batch.text.tolist())
-        out = pd.DataFrame({"doc_id": batch.doc_id.astype("Int64"), "fp": fp, "n_words": sizes})
-        yield out
+        yield pd.DataFrame({"doc_id": batch.doc_id, "fp": fp, "n_words": sizes})
 
 
 def _linked(fps: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -199,8 +198,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     but name a component only if it has no other id (then null). Copies are one
     node of the graph; a long text is taken whole; an empty table gives no rows.
     """
-    prints = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = keep(prints.mapInPandas(_print, PRINT), "simhash-prints")
+    prints = docs.select(id_text("doc_id"), "text").mapInPandas(_print, PRINT)
+    prints = keep(prints.withColumn("doc_id", F.col("doc_id").cast("long")), "simhash-prints")
     nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     joined = keep(components(links(nodes.select("fp"))), "simhash-components")
     part = nodes.join(joined, nodes.fp == joined.node, "left").select(

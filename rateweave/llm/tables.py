@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rateweave.session import new_scratch
 
@@ -18,6 +19,11 @@ def keep(frame: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def id_text(name: str) -> Column:
+    """An integer id as text: pandas would make doubles of a column with nulls."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
