@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import kdtree, mixing, packing, quality, secrets, simhash, warc
+from rateweave.llm import kdtree, mixing, packing, pii, quality, secrets, simhash, warc
 from rateweave.llm.tables import table
 from rateweave.session import new_scratch
 
@@ -51,6 +51,11 @@ def op8_write_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text of ``documents``."""
+    return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document of ``documents``."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_link_secrets": op5_link_secrets,
     "op6_quality_rules": op6_quality_rules,
     "op8_write_archives": op8_write_archives,
+    "op9_personal_data": op9_personal_data,
     "op10_mix_sources": op10_mix_sources,
 }
 
