@@ -22,6 +22,8 @@ GRAM = 4
 THRESHOLD = -0.7
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
+# At most so many trusted documents are counted, those with the least hashes.
+TRUSTED_SAMPLE = 20_000
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -126,22 +128,28 @@ def _judge(batches: Iterator[pd.DataFrame], weight, bits: int, threshold: float)
 
 
 def judge(
-    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, bits: int = BUCKET_BITS
+    docs: DataFrame,
+    trusted: DataFrame,
+    threshold: float = THRESHOLD,
+    bits: int = BUCKET_BITS,
+    trusted_sample: int = TRUSTED_SAMPLE,
 ) -> DataFrame:
     """Rule counts, log-likelihood ratio and verdict of each document.
 
     ``docs`` has ``doc_id`` and ``text``, ``trusted`` the ``doc_id`` of trusted
-    documents; other columns are ignored. The raw counts are of all documents, the
-    trusted ones of all trusted documents. One row per input row; a null or empty
+    documents; other columns are ignored. The raw counts are of all documents; the
+    target is fitted on at most ``trusted_sample`` trusted ones, so that their ids,
+    and not the texts, are sent round. One row per input row; a null or empty
     text has no words and fails; null ids are never trusted; without any trusted
     document every ratio only tells the smoothing apart from the corpus; an empty
     table gives no rows. Words and windows are compared by 64-bit hashes, windows
     only within a document. A long text is taken whole.
     """
     docs = docs.select(id_text("doc_id"), "text")
-    ids = trusted.select(id_text("doc_id"))
+    ids = trusted.select(id_text("doc_id")).dropna().distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_sample)
     raw = gram_counts(docs, bits)
-    good = gram_counts(docs.join(ids, "doc_id", "left_semi"), bits)
+    good = gram_counts(docs.join(F.broadcast(ids), "doc_id", "left_semi"), bits)
     weight = docs.sparkSession.sparkContext.broadcast(log_ratio(good, raw))
     judged = docs.mapInPandas(lambda it: _judge(it, weight.value, bits, threshold), RESULT)
     return judged.withColumn("doc_id", F.col("doc_id").cast("long"))

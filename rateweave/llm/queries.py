@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import kdtree, mixing, packing, pii, quality, secrets, simhash, warc
+from rateweave.llm import kdtree, mixing, packing, pii, quality, secrets, simhash, toxicity, warc
 from rateweave.llm.tables import table
 from rateweave.session import new_scratch
 
@@ -42,6 +42,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of each category and verdict for every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.classify(docs, model)
+
+
 def op8_write_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``pages`` as it is read back from the archives written."""
     folder = new_scratch(spark, "warc")
@@ -68,6 +75,7 @@ QUERIES = {
     "op4_kd_tree_search": op4_kd_tree_search,
     "op5_link_secrets": op5_link_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_write_archives": op8_write_archives,
     "op9_personal_data": op9_personal_data,
     "op10_mix_sources": op10_mix_sources,
