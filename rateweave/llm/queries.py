@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import kdtree, mixing, packing, pii, quality, secrets, simhash, toxicity, warc
+from rateweave.llm import hmm, kdtree, mixing, packing, pii, quality, secrets, simhash, toxicity, warc
 from rateweave.llm.tables import table
 from rateweave.session import new_scratch
 
 
+def op1_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every text under the trained model, and the base score."""
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -70,6 +75,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hidden_markov_scores": op1_hidden_markov_scores,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_kd_tree_search": op4_kd_tree_search,
