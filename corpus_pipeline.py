@@ -1,15 +1,57 @@
-"""Prepare a corpus: toxic documents out, near copies out, secrets out, mixed, packed."""
+"""Prepare a corpus: toxic documents out, near copies out, secrets hidden, mixed, packed.
+
+Each stage is given all rows that the one before kept, as a Parquet table. All but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from rateweave.llm import mixing, packing, secrets, simhash, toxicity
+from rateweave.llm.tables import keep, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not reject."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets taken out of their texts."""
+    return secrets.hide_secrets(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("secret_scans", hide_secrets),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack),
+]
+
+# A trained classifier and a tokenizer are beyond SQL; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

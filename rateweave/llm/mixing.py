@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep, pieces
+from rateweave.llm.tables import id_text, keep, pieces, text_mark
 from rateweave.llm.words import WORD
 
 WEIGHTS = (1, 2, 3)
@@ -88,7 +88,7 @@ def pair_up(
 
 
 LEAF = (
-    "leaf long, place long, doc_id string, source string, size long, source_size long, "
+    "leaf long, place long, doc_id string, text_mark long, source string, size long, source_size long, "
     "target double, whole long, extra long, chance double"
 )
 LEFT = "source string, leaf long, place long, size long, chance double, extra long"
@@ -156,7 +156,7 @@ def mix(
     Takes ``doc_id``, ``text``, ``source``; other columns are ignored. Sources in
     code-point order, null last, get ``weights`` in turn and share all words; one
     that would need more than ``most_times`` its own words stays there. Gives one
-    row per input row: doc_id, size (words; 0 for null or empty text), source,
+    row per input row: doc_id, text_mark, size (words; 0 for null or empty text), source,
     source_size, target, copies, taken (``copies * size``). Repeated rows and null
     ids are rows of their own; documents without words take no part and get 0
     copies beyond the whole part; an empty table gives no rows.
@@ -168,6 +168,7 @@ def mix(
     sized = docs.select(
         id_text("doc_id"),
         F.col("source").cast("string").alias("source"),
+        text_mark().alias("text_mark"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
     sized = keep(sized, "mix-sizes")
@@ -190,7 +191,7 @@ def mix(
     rows = sized.join(
         F.broadcast(goals), sized.source.eqNullSafe(goals.goal_source)
     ).select(
-        "doc_id", "source", "size", "source_size", "target", mark.alias("mark"),
+        "doc_id", "text_mark", "source", "size", "source_size", "target", mark.alias("mark"),
         F.pmod(mark, F.lit(leaves)).alias("leaf"),
     )
     leaf = keep(rows.groupBy("leaf").applyInPandas(_round_leaf(seed), LEAF), "mix-leaves")
@@ -216,6 +217,24 @@ def mix(
         late = late.unionByName(more)
     copies = F.col("whole") + F.coalesce("late", "extra")
     return leaf.join(late, ["leaf", "place"], "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "size", "source", "source_size", "target",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text_mark", "size", "source", "source_size",
+        "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with every row as often as :func:`mix` takes it; all columns stay."""
+    taken = mix(docs, **options).groupBy("doc_id", "text_mark", "source").agg(F.sum("copies").alias("times"))
+    taken = taken.where("times > 0").select(
+        F.col("doc_id").alias("taken_id"), F.col("text_mark").alias("taken_mark"),
+        F.col("source").alias("taken_source"), "times",
+    )
+    same = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col("taken_id"))
+        & F.col("source").cast("string").eqNullSafe(F.col("taken_source"))
+        & (text_mark() == F.col("taken_mark"))
+    )
+    # Rows equal in id, source and text share their copies: one of them carries all.
+    joined = docs.join(taken, same).dropDuplicates(["taken_id", "taken_source", "taken_mark"])
+    copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
+    return joined.select(*[docs[c] for c in docs.columns], copies.alias("__copy")).drop("__copy")

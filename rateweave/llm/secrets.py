@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep
+from rateweave.llm.tables import id_text, keep, text_mark
 
 # Fixed patterns and least lengths of the strong kinds.
 ASSIGN = re.compile(
@@ -47,9 +47,10 @@ ROLE = {
 }
 NEEDS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint": ("secret",)}
 
+HIDDEN = "[secret]"
 SPAN = "struct<kind:int,start:int,stop:int>"
 FOUND = (
-    "row long, doc_id string, n_assign long, n_access long, n_hex long, "
+    "row long, doc_id string, text_mark long, n_assign long, n_access long, n_hex long, "
     f"base_sha256 string, base array<{SPAN}>, weak array<{SPAN}>"
 )
 
@@ -89,18 +90,18 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
+        for doc_id, text, mark in zip(batch.doc_id, batch.text, batch.text_mark, strict=True):
             text = text or ""
             strong = strong_spans(text)
             weak = weak_spans(text, strong)
             count = [sum(k == kind for _, k, _ in strong) for kind in range(3)]
             out.append((
-                row, doc_id, *count, digest(strong),
+                row, doc_id, mark, *count, digest(strong),
                 [{"kind": k, "start": a, "stop": b} for a, k, b in strong],
                 [{"kind": k, "start": a, "stop": b} for a, k, b in weak],
             ))
             row += 1
-        columns = ["row", "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "base", "weak"]
+        columns = ["row", "doc_id", "text_mark", "n_assign", "n_access", "n_hex", "base_sha256", "base", "weak"]
         yield pd.DataFrame(out, columns=columns)
 
 
@@ -140,12 +141,13 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Secrets of each document.
 
     Takes ``doc_id`` and ``text``; other columns are ignored. Gives per input row:
-    doc_id, n_assign, n_access, n_hex, base_sha256 (of the strong spans) and
+    doc_id, text_mark, n_assign, n_access, n_hex, base_sha256 (of the strong spans) and
     ``found``, an array of (start, kind, stop) of strong spans and linked weak ones
     in code points, by start and kind. A null or empty text has none; repeated rows
     and null ids keep their rows; an empty table gives none.
     """
-    found = docs.select(id_text("doc_id"), "text").mapInPandas(_find, FOUND)
+    found = docs.select(id_text("doc_id"), "text", text_mark().alias("text_mark"))
+    found = found.mapInPandas(_find, FOUND)
     found = keep(found, "secret-parts")
     parts = (
         found.where(F.size("weak") > 0)
@@ -157,8 +159,47 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     base = F.transform("base", lambda x: F.struct(x.start.alias("start"), x.kind.alias("kind"), x.stop.alias("stop")))
     every = F.when(F.col("extra").isNull(), base).otherwise(F.array_sort(F.concat(base, "extra")))
     return found.join(extra, "row", "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", every.alias("found")
+        F.col("doc_id").cast("long").alias("doc_id"), "text_mark",
+        "n_assign", "n_access", "n_hex", "base_sha256", every.alias("found"),
+    )
+
+
+def _hide(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
+    out = []
+    for text, first, last in zip(texts, starts, stops, strict=True):
+        if first is not None:
+            parts, at = [], 0
+            for start, stop in zip(first, last, strict=True):
+                if start >= at:
+                    parts += [text[at:start], HIDDEN]
+                at = max(at, stop)
+            text = "".join([*parts, text[at:]])
+        out.append(text)
+    return pd.Series(out)
+
+
+def hide_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``docs`` with every secret but endpoints replaced by :data:`HIDDEN`.
+
+    All rows and columns stay; ``n_chars``, if there, follows the new text.
+    """
+    found = find_secrets(docs, scope)
+    hidden = F.filter("found", lambda x: x.kind != KINDS.index("endpoint"))
+    found = found.select(
+        F.col("doc_id").alias("found_id"), F.col("text_mark").alias("found_mark"), hidden.alias("spans")
     )
+    # Copies have the same spans.
+    found = found.where(F.size("spans") > 0).dropDuplicates(["found_id", "found_mark"])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("found_id")) & (text_mark() == F.col("found_mark"))
+    joined = docs.join(found, same, "left")
+    hide = F.pandas_udf(_hide, "string")
+    text = hide(docs["text"], F.col("spans.start"), F.col("spans.stop"))
+    out = [text.alias(c) if c == "text" else docs[c] for c in docs.columns]
+    changed = joined.select(*out, F.col("spans").isNotNull().alias("__hidden"))
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("__hidden"), F.length("text").cast(docs.schema["n_chars"].dataType))
+        changed = changed.withColumn("n_chars", size.otherwise(F.col("n_chars")))
+    return changed.drop("__hidden")
 
 
 def span_text(found: str = "found") -> Column:

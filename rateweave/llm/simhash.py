@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm import words
 from rateweave.llm.components import components
-from rateweave.llm.tables import id_text, keep
+from rateweave.llm.tables import id_text, keep, text_mark
 
 SHINGLE = 3
 SEED = 42
@@ -34,7 +34,7 @@ CHUNK = 512
 # Parts longer than this are searched by turning bits instead of comparing pairs.
 PAIR_LIST = 8192
 
-PRINT = "doc_id string, fp long, n_words long"
+PRINT = "doc_id string, fp long, n_words long, text_mark long"
 
 
 def fingerprints(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +63,8 @@ def fingerprints(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def _print(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         fp, sizes = fingerprints(batch.text.tolist())
-        yield pd.DataFrame({"doc_id": batch.doc_id, "fp": fp, "n_words": sizes})
+        out = {"doc_id": batch.doc_id, "fp": fp, "n_words": sizes, "text_mark": batch.text_mark}
+        yield pd.DataFrame(out)
 
 
 def _linked(fps: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -192,13 +193,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Fingerprint and component of each document.
 
     Takes ``doc_id`` and ``text``; other columns are ignored. Gives one row per input
-    row: doc_id, fp (signed 64 bits), n_words, component_id, the smallest doc_id
-    reachable over links of at most three differing bits. Texts without words (null
+    row: doc_id, fp (signed 64 bits), n_words, text_mark, component (its name among
+    fingerprints) and component_id, the smallest doc_id reachable over links of at
+    most three differing bits. Texts without words (null
     too) share fingerprint zero and are linked like any others; null ids take part
     but name a component only if it has no other id (then null). Copies are one
     node of the graph; a long text is taken whole; an empty table gives no rows.
     """
-    prints = docs.select(id_text("doc_id"), "text").mapInPandas(_print, PRINT)
+    prints = docs.select(id_text("doc_id"), "text", text_mark().alias("text_mark"))
+    prints = prints.mapInPandas(_print, PRINT)
     prints = keep(prints.withColumn("doc_id", F.col("doc_id").cast("long")), "simhash-prints")
     nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     joined = keep(components(links(nodes.select("fp"))), "simhash-components")
@@ -207,8 +210,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     least = part.groupBy("root").agg(F.min("first").alias("component_id"))
     # Few fingerprints are linked, but one component may hold most of them.
-    named = part.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "n_words", "component_id")
+    named = part.join(least, "root").select("fp", F.col("root").alias("component"), "component_id")
+    return prints.join(named, "fp").select(
+        "doc_id", "fp", "n_words", "text_mark", "component", "component_id"
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of least doc_id, null last.
+
+    All columns stay. Rows of equal doc_id and text are copies, and one of them stays.
+    """
+    near = near_duplicates(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")).alias("f")
+    kept = near.groupBy("component").agg(first).select(
+        F.col("f.doc_id").alias("kept_id"), F.col("f.text_mark").alias("kept_mark")
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_mark() == F.col("kept_mark"))
+    joined = docs.join(kept, same).dropDuplicates(["kept_id", "kept_mark"])
+    return joined.select(*[docs[c] for c in docs.columns])
 
 
 def fingerprint_text(fp: str = "fp") -> Column:

@@ -24,6 +24,11 @@ def id_text(name: str) -> Column:
     return F.col(name).cast("long").cast("string").alias(name)
 
 
+def text_mark(name: str = "text") -> Column:
+    """64-bit hash of a text; tells texts apart that share an id."""
+    return F.xxhash64(F.coalesce(F.col(name), F.lit("")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -249,6 +250,22 @@ def _classify(batches: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.Data
         })
 
 
+def _without_toxic(batches: Iterator[pa.RecordBatch], model: Model, threshold: float):
+    verdict = model.categories.index(VERDICT)
+    for batch in batches:
+        rows = list(_present(batch.column("text").to_pylist(), model.place))
+        features = gather([r[0] for r in rows], [r[1] for r in rows], len(model.place))
+        yield batch.filter(pa.array(predict_chain(features, model.chain)[verdict] <= threshold))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all columns, that :func:`classify` does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    return docs.mapInArrow(
+        lambda it: _without_toxic(it, Model(*shared.value), threshold), docs.schema
+    )
+
+
 def classify(docs: DataFrame, model: Model, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Probability of each category and the verdict for each document.
 
