@@ -1,0 +1,42 @@
+import numpy as np
+
+from rateweave.llm import kdtree
+
+
+def test_top_k_equals_brute_force(spark, small_dir):
+    table = spark.read.parquet(f"{small_dir}/embeddings.parquet")
+    got = sorted(tuple(r) for r in kdtree.top_k(table, shard_rows=100, query_block=2).collect())
+    rows = sorted(table.select("vec_id", "embedding").collect())
+    ids = np.array([r.vec_id for r in rows])
+    vectors = np.floor(1024 * np.array([r.embedding for r in rows], np.float64)).astype(np.int64)
+    want = []
+    for i in np.flatnonzero(ids % 100 == 0):
+        scores = vectors @ vectors[i]
+        best = [j for j in np.lexsort((ids, -scores)) if j != i][:10]
+        want += [(int(ids[i]), n + 1, int(ids[j]), int(scores[j])) for n, j in enumerate(best)]
+    assert got == want
+
+
+def test_boxes_are_tight_and_searches_stop_early():
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-50, 50, (4000, 2))
+    tree = kdtree.build(np.arange(4000), vectors, 16)
+    for node in range(len(tree["first"])):
+        part = tree["vectors"][tree["first"][node] : tree["last"][node]]
+        assert (part.min(axis=0) == tree["low"][node]).all() and (part.max(axis=0) == tree["high"][node]).all()
+    seen = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, slice):
+                seen.append(key)
+            return super().__getitem__(key)
+
+    query = np.array([3.0, 1.0])
+    bounds = np.maximum(query, 0) @ tree["high"].T + np.minimum(query, 0) @ tree["low"].T
+    watched = tree | {"vectors": tree["vectors"].astype(float).view(Watched)}
+    best = kdtree.search(watched, query, bounds, -1, 10, -np.inf)
+    scores = vectors @ query
+    want = sorted(zip((-scores).tolist(), range(4000)))[:10]
+    assert [(-s, i) for s, i in best] == want
+    assert len(seen) < (tree["child"] == 0).sum() / 4
