@@ -15,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,6 +204,17 @@ def is_held_out(doc_id: str | None) -> bool:
     return doc_id is not None and zlib.crc32(doc_id.encode()) % FOLDS == HELD
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers with equal bytes side by side, compressed: most of them are small."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
@@ -219,7 +231,7 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({
                 "block": [block], "doc_ids": [doc_ids[a:b]], "held": [held.tolist()],
                 "sizes": [sizes.tolist()], "vocabulary": [vocabulary[often].tobytes()],
-                "trained": [trained.astype(np.uint32).tobytes()], "tokens": [place.tobytes()],
+                "trained": [trained.astype(np.uint32).tobytes()], "tokens": [packed(place)],
             })
             block += 1
 
@@ -237,7 +249,7 @@ def _words_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _token_classes(row, bits: int) -> np.ndarray:
     vocabulary = np.frombuffer(row.vocabulary, np.uint64)
     classes = (vocabulary & np.uint64((1 << bits) - 1)).astype(np.int64)
-    return classes[np.frombuffer(row.tokens, np.uint32)]
+    return classes[unpacked(row.tokens)]
 
 
 def _expect(batches: Iterator[pd.DataFrame], params: tuple) -> Iterator[pd.DataFrame]:
@@ -285,7 +297,7 @@ def _score(block: pd.DataFrame, counts: pd.DataFrame, shared: tuple) -> pd.DataF
     out = []
     for row in block.itertuples(index=False):
         sizes = np.array(row.sizes, np.int64)
-        tokens = np.frombuffer(row.tokens, np.uint32)
+        tokens = unpacked(row.tokens)
         n = np.zeros(len(row.vocabulary) // 8)
         n[counts.place.to_numpy()] = counts.c.to_numpy()
         n = n[tokens]

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep, pieces, text_mark
+from rateweave.llm.tables import id_text, keep, pieces, text_mark, whole_rows
 from rateweave.llm.words import WORD
 
 WEIGHTS = (1, 2, 3)
@@ -230,11 +230,11 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         F.col("source").alias("taken_source"), "times",
     )
     same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("taken_id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("taken_source"))
-        & (text_mark() == F.col("taken_mark"))
+        F.col("id").eqNullSafe(F.col("taken_id"))
+        & F.col("row.source").cast("string").eqNullSafe(F.col("taken_source"))
+        & (F.col("mark") == F.col("taken_mark"))
     )
     # Rows equal in id, source and text share their copies: one of them carries all.
-    joined = docs.join(taken, same).dropDuplicates(["taken_id", "taken_source", "taken_mark"])
+    joined = whole_rows(docs).join(taken, same).dropDuplicates(["taken_id", "taken_source", "taken_mark"])
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
-    return joined.select(*[docs[c] for c in docs.columns], copies.alias("__copy")).drop("__copy")
+    return joined.select("row", copies.alias("copy")).select("row.*")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep, text_mark
+from rateweave.llm.tables import id_text, keep, text_mark, whole_rows
 
 # Fixed patterns and least lengths of the strong kinds.
 ASSIGN = re.compile(
@@ -190,16 +190,16 @@ def hide_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
     # Copies have the same spans.
     found = found.where(F.size("spans") > 0).dropDuplicates(["found_id", "found_mark"])
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("found_id")) & (text_mark() == F.col("found_mark"))
-    joined = docs.join(found, same, "left")
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("mark") == F.col("found_mark"))
+    joined = whole_rows(docs).join(found, same, "left")
     hide = F.pandas_udf(_hide, "string")
-    text = hide(docs["text"], F.col("spans.start"), F.col("spans.stop"))
-    out = [text.alias(c) if c == "text" else docs[c] for c in docs.columns]
-    changed = joined.select(*out, F.col("spans").isNotNull().alias("__hidden"))
+    text = hide(F.col("row.text"), F.col("spans.start"), F.col("spans.stop"))
+    changed = joined.select("row", F.col("spans").isNotNull().alias("changed"), text.alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        size = F.when(F.col("__hidden"), F.length("text").cast(docs.schema["n_chars"].dataType))
-        changed = changed.withColumn("n_chars", size.otherwise(F.col("n_chars")))
-    return changed.drop("__hidden")
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("changed"), size).otherwise(F.col("row.n_chars"))
+    return changed.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def span_text(found: str = "found") -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm import words
 from rateweave.llm.components import components
-from rateweave.llm.tables import id_text, keep, text_mark
+from rateweave.llm.tables import id_text, keep, text_mark, whole_rows
 
 SHINGLE = 3
 SEED = 42
@@ -226,9 +226,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = near.groupBy("component").agg(first).select(
         F.col("f.doc_id").alias("kept_id"), F.col("f.text_mark").alias("kept_mark")
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_mark() == F.col("kept_mark"))
-    joined = docs.join(kept, same).dropDuplicates(["kept_id", "kept_mark"])
-    return joined.select(*[docs[c] for c in docs.columns])
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
+    joined = whole_rows(docs).join(kept, same).dropDuplicates(["kept_id", "kept_mark"])
+    return joined.select("row.*")
 
 
 def fingerprint_text(fp: str = "fp") -> Column:

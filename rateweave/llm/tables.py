@@ -29,6 +29,16 @@ def text_mark(name: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(name), F.lit("")))
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row`` with all columns of a document, and ``id`` and ``mark`` to join it by.
+
+    Whatever the documents' columns are called, they cannot clash with a join's own.
+    """
+    return docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_mark().alias("mark")
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
