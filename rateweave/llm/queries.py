@@ -87,4 +87,29 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+# The others need a hash, tokenizer or trained model that SQL lacks.
+ORACLES = {
+    "op4_kd_tree_search": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored) WHERE rank <= 10""",
+    "op8_write_archives": """
+WITH payloads AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes
+  FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE bytes >= 100 GROUP BY digest)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads LEFT JOIN firsts USING (digest)""",
+}
