@@ -20,7 +20,7 @@ def parse_rating_lines(lines: DataFrame, delimiter: str = "::") -> DataFrame:
 
 
 def drop_null_ratings(ratings: DataFrame) -> DataFrame:
-    """Keep rows whose four fields are all present."""
+    """Keep rows whose four fields are all present; a NaN rating counts as missing."""
     return ratings.dropna(subset=RATING.fieldNames())
 
 
@@ -52,7 +52,8 @@ def clean(lines: DataFrame, delimiter: str = "::") -> DataFrame:
 
 
 def _has_null() -> Column:
-    present = F.lit(True)
+    """What :func:`drop_null_ratings` drops; it takes NaN for missing too."""
+    present = ~F.coalesce(F.isnan("rating"), F.lit(False))
     for name in RATING.fieldNames():
         present = present & F.col(name).isNotNull()
     return ~present

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 def lines_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One ``customer::part::quantity/10::order time`` line per line item."""
-    rating = F.when(F.col("l_orderkey") % 97 == 0, F.lit("bad")).otherwise(
-        (F.col("l_quantity") / 10).cast("string")
+    rating = (
+        F.when(F.col("l_orderkey") % 97 == 0, F.lit("bad"))
+        .when(F.col("l_orderkey") % 101 == 0, F.lit("NaN"))
+        .otherwise((F.col("l_quantity") / 10).cast("string"))
     )
     # concat_ws leaves nulls out: these lines have three fields.
     ordered_at = F.when(

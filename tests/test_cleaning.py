@@ -118,7 +118,7 @@ def _float32(value):
 
 field = st.one_of(
     st.integers(0, 3).map(str),
-    st.sampled_from(["", "x", "4.5", "0.5", "5", "5.5", "-1", "1e0", "99999999999"]),
+    st.sampled_from(["", "x", "4.5", "0.5", "5", "5.5", "-1", "1e0", "99999999999", "NaN"]),
 )
 
 
@@ -144,9 +144,9 @@ def test_clean_against_plain_python(spark, table):
         padded = (parts + [""] * 4)[:4]
         user, item = to_int(padded[0], 32), to_int(padded[1], 32)
         rating, when = to_float(padded[2]), to_int(padded[3], 64)
-        if None in (user, item, rating, when):
+        if None in (user, item, rating, when) or math.isnan(rating):
             dropped["null"] += 1
-        elif math.isnan(rating) or not 0.5 <= rating <= 5.0:
+        elif not 0.5 <= rating <= 5.0:
             dropped["range"] += 1
         else:
             best[user, item] = max(best.get((user, item), (when, rating)), (when, rating))
