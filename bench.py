@@ -35,7 +35,7 @@ from rateweave.sources.files import stream_parquet  # noqa: E402
 from rateweave.sources.models import load_model  # noqa: E402
 from rateweave.sources.ratings import read_rating_lines, read_ratings  # noqa: E402
 from rateweave.streaming.lifecycle import run_to_end  # noqa: E402
-from rateweave.streaming.progress import progress_metrics  # noqa: E402
+from rateweave.streaming.progress import ProgressTable, read_progress  # noqa: E402
 from rateweave.streaming.recommendations import (  # noqa: E402
     Candidates,
     looked_up_in,
@@ -53,7 +53,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Events per micro-batch and number of micro-batches: those of the published latencies.
-BATCH_EVENTS, BATCHES = 200, 8
+BATCHES = 16
 
 
 def session() -> SparkSession:
@@ -88,10 +88,10 @@ def microbatch_latencies(spark: SparkSession, candidates: Candidates) -> list[fl
     """Seconds per micro-batch, the first (cold) one included."""
     path = new_scratch(spark, "latency")
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet")
-    first = rows.orderBy("ts").limit(BATCHES * BATCH_EVENTS)
-    records = adapters.envelope_from_events(first)
+    records = adapters.envelope_from_events(rows)
     records.repartitionByRange(BATCHES, "timestamp").write.parquet(f"{path}/topic")
     stream = stream_parquet(spark, f"{path}/topic", records.schema, max_files_per_trigger=1)
+    progress = ProgressTable(spark, f"{path}/progress", ["recommendations"])
     query = for_each_batch(
         watched_events(stream),
         "recommendations",
@@ -101,7 +101,9 @@ def microbatch_latencies(spark: SparkSession, candidates: Candidates) -> list[fl
         "append",
     )
     run_to_end([query])
-    steps = progress_metrics(spark, query).filter("num_input_rows > 0").orderBy("batch_id")
+    progress.wait([query])
+    progress.stop()
+    steps = read_progress(spark, f"{path}/progress").where("num_input_rows > 0").orderBy("batch_id")
     return [round(step.trigger_ms / 1000, 3) for step in steps.collect()]
 
 
@@ -177,7 +179,7 @@ def main() -> None:
         lambda: drain(recommend.recommend_all(model, 5)), runs=2
     )
     scored = microbatch_latencies(spark, scored_by(model))
-    looked_up = microbatch_latencies(spark, looked_up_in(candidates_path))
+    looked_up = microbatch_latencies(spark, looked_up_in(spark, candidates_path, model))
     measured["microbatch_median_scored"] = round(statistics.median(scored), 3)
     measured["microbatch_median_looked_up"] = round(statistics.median(looked_up), 3)
 

@@ -9,23 +9,24 @@ orders and events from the event table, both whole
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rateweave.operators import alerts, cleaning, events, model, profiling, recommend
 from rateweave.operators import window_metrics as wm
 from rateweave.plans.train_model import precompute_recommendations
-from rateweave.plans.watch_events import watched_events
+from rateweave.plans.watch_events import start_watching, watched_events
 from rateweave.session import new_scratch
 from rateweave.sinks.models import save_model
-from rateweave.sinks.tables import write_ratings
+from rateweave.sinks.tables import write_metrics, write_ratings
 from rateweave.sources import adapters
 from rateweave.sources.files import stream_parquet
-from rateweave.sources.models import load_model
+from rateweave.sources.models import load_model, read_recommendations
 from rateweave.sources.ratings import read_rating_lines, read_ratings
 from rateweave.streaming.lifecycle import run_to_end
-from rateweave.streaming.progress import progress_metrics
+from rateweave.streaming.progress import ProgressTable, read_progress
 from rateweave.streaming.recommendations import (
     looked_up_in,
     recommendation_handler,
@@ -47,9 +48,13 @@ LONG = {"size": "1 day", "slide": "8 hours"}
 def _register(sql: str | None = None) -> Callable[[Query], Query]:
     def wrap(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Times are compared as UTC.
+            # Times are compared as UTC: the frame is planned, and streams run, in it.
+            before = spark.conf.get("spark.sql.session.timeZone")
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return query(spark, sf_dir.rstrip("/"))
+            try:
+                return query(spark, sf_dir.rstrip("/"))
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", before)
 
         run.__doc__ = query.__doc__
         QUERIES[query.__name__] = run
@@ -65,7 +70,8 @@ def _register(sql: str | None = None) -> Callable[[Query], Query]:
 _RATINGS = """
 lines AS (
   SELECT concat_ws('::', o_custkey, l_partkey,
-           CASE WHEN l_orderkey % 97 = 0 THEN 'bad' ELSE (l_quantity / 10)::VARCHAR END,
+           CASE WHEN l_orderkey % 97 = 0 THEN 'bad' WHEN l_orderkey % 101 = 0 THEN 'NaN'
+                ELSE (l_quantity / 10)::VARCHAR END,
            CASE WHEN l_orderkey % 89 <> 0 THEN epoch(o_orderdate)::BIGINT::VARCHAR END) AS value
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 parts AS (SELECT string_split(value, '::') AS p FROM lines),
@@ -75,7 +81,7 @@ parsed AS (
   FROM parts),
 complete AS (
   SELECT * FROM parsed WHERE user_id IS NOT NULL AND item_id IS NOT NULL
-     AND rating IS NOT NULL AND "timestamp" IS NOT NULL),
+     AND rating IS NOT NULL AND NOT isnan(rating) AND "timestamp" IS NOT NULL),
 in_range AS (SELECT * FROM complete WHERE rating BETWEEN 0.5 AND 5.0),
 latest AS (
   SELECT user_id, item_id, rating, "timestamp" FROM (
@@ -85,12 +91,16 @@ latest AS (
 """
 
 _RATING_COLUMNS = 'user_id, item_id, rating::DOUBLE AS rating, "timestamp"'
+# NaN, which engines compare differently, is shown as -1.
+_PARSED_COLUMNS = (
+    'user_id, item_id, CASE WHEN isnan(rating) THEN -1 ELSE rating::DOUBLE END AS rating, "timestamp"'
+)
 
 _SPLIT = (
     _RATINGS
     + """,
 drawn AS (
-  SELECT user_id, item_id,
+  SELECT user_id, item_id, rating,
          ('0x' || substr(md5(concat_ws(':', '42', user_id, item_id)), 1, 8))::BIGINT
            / 4294967296.0::DOUBLE < 0.8 AS in_train
   FROM latest)
@@ -182,7 +192,7 @@ unseen AS (SELECT * FROM candidates ANTI JOIN seen USING (user_id, item_id))
 
 def _ranked_sql(relation: str, n: int) -> str:
     return f"""
-SELECT user_id, item_id, predicted_rating FROM (
+SELECT user_id, item_id, predicted_rating, rk::INTEGER AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id
                                ORDER BY predicted_rating DESC, item_id) AS rk
   FROM {relation}) WHERE rk <= {n}"""
@@ -200,8 +210,8 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plain(ratings: DataFrame) -> DataFrame:
-    """Ratings as double: what SQL engines compare exactly."""
-    return ratings.withColumn("rating", F.col("rating").cast("double"))
+    """Ratings as double, and NaN as -1: what SQL engines compare exactly."""
+    return ratings.withColumn("rating", F.nanvl(F.col("rating").cast("double"), F.lit(-1.0)))
 
 
 def _utc(frame: DataFrame) -> DataFrame:
@@ -248,12 +258,12 @@ def _seen(pairs: DataFrame) -> DataFrame:
 # --- Cleaning ---------------------------------------------------------------
 
 
-@_register(f"WITH {_RATINGS} SELECT {_RATING_COLUMNS} FROM parsed")
+@_register(f"WITH {_RATINGS} SELECT {_PARSED_COLUMNS} FROM parsed")
 def parse_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_parsed(spark, sf_dir))
 
 
-@_register(f"WITH {_RATINGS} SELECT {_RATING_COLUMNS} FROM parsed")
+@_register(f"WITH {_RATINGS} SELECT {_PARSED_COLUMNS} FROM parsed")
 def read_rating_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines written as text and read back with the text source."""
     path = new_scratch(spark, "lines")
@@ -496,11 +506,14 @@ def raw_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress rows of a stateless query; the times in them are left out here."""
     path = new_scratch(spark, "progress")
+    table = ProgressTable(spark, f"{path}/progress", ["progress"])
     query = to_parquet_append(
         _stream(spark, sf_dir), "progress", f"{path}/out", f"{path}/checkpoint", ONCE_THROUGH
     )
     run_to_end([query])
-    return progress_metrics(spark, query).select("query", "batch_id", "num_input_rows")
+    table.wait([query])
+    table.stop()
+    return read_progress(spark, f"{path}/progress").select("query", "batch_id", "num_input_rows")
 
 
 # --- Recommendations after the model -----------------------------------------
@@ -547,7 +560,7 @@ def flatten_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(f"WITH {_SPLIT} SELECT user_id, item_id, in_train FROM drawn")
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _split_on_disk(spark, sf_dir)
+    train, test = model.train_test_split(_clean(spark, sf_dir))
 
     def side(rows: DataFrame, in_train: bool) -> DataFrame:
         return rows.select("user_id", "item_id", F.lit(in_train).alias("in_train"))
@@ -562,12 +575,7 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE in_train) AS train_rows,
 FROM drawn"""
 )
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sides = train_test_split(spark, sf_dir)
-    return sides.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if("in_train").alias("train_rows"),
-        F.count_if(~F.col("in_train")).alias("test_rows"),
-    )
+    return model.split_counts(_clean(spark, sf_dir))
 
 
 @_register(
@@ -605,60 +613,137 @@ def _saved_model(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     return path, train
 
 
-@_register()
+# What the model must give can be said in SQL, up to the values of the factors:
+# which rows there are, and checks that are computed from all of them.
+_KNOWN = (
+    _SPLIT
+    + """,
+train AS (SELECT * FROM drawn WHERE in_train),
+predictable AS (
+  SELECT user_id, item_id, rating FROM drawn
+  WHERE NOT in_train AND user_id IN (SELECT user_id FROM train)
+    AND item_id IN (SELECT item_id FROM train)),
+n_items AS (SELECT count(DISTINCT item_id) AS n FROM train)
+"""
+)
+
+
+@_register(
+    f"""WITH {_KNOWN}
+SELECT 10 AS rank, (SELECT count(*) FROM train) AS train_rows,
+       (SELECT count(*) FROM drawn WHERE NOT in_train) AS test_rows,
+       (SELECT count(*) FROM predictable) AS predicted_rows, true AS same_rmse"""
+)
 def als_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a trial, and whether its error is that of its predictions."""
     train, test = _split_on_disk(spark, sf_dir)
     trial = model.train_eval(train, test)
-    rows = [(trial.config.rank, train.count(), test.count(), trial.rmse)]
-    return spark.createDataFrame(
-        rows, "rank int, train_rows bigint, test_rows bigint, rmse double"
+    miss = F.pow(F.col("prediction").cast("double") - F.col("rating").cast("double"), 2)
+    sides = model.split_counts(train.unionAll(test)).select("train_rows", "test_rows")
+    return (
+        model.predict(trial.model, test)
+        .agg(F.count("*").alias("predicted_rows"), F.avg(miss).alias("square"))
+        .crossJoin(sides)
+        .select(
+            F.lit(trial.config.rank).alias("rank"), "train_rows", "test_rows", "predicted_rows",
+            (F.abs(F.sqrt("square") - trial.rmse) < 1e-9).alias("same_rmse"),
+        )
     )
 
 
-@_register()
+@_register(
+    """
+SELECT rank, reg_param::DOUBLE AS reg_param, max_iter, is_best_least, needed FROM (VALUES
+  (10, 0.1, 10, true, true), (20, 0.05, 15, true, true), (15, 0.01, 20, true, true),
+  (10, 0.3, 20, true, true), (25, 0.05, 10, true, true)
+) AS tried(rank, reg_param, max_iter, is_best_least, needed)"""
+)
 def als_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per configuration tried."""
+    """One row per configuration tried: is the best one, and only it, of least
+    error, and did the first model miss the gate, so that the others were due."""
     best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir), keep_split=False)
+    least = min(t.rmse for t in trials)
     rows = [
-        (t.config.rank, t.config.reg_param, t.config.max_iter, t.rmse, t is best) for t in trials
-    ]
+        (
+            t.config.rank, t.config.reg_param, t.config.max_iter, (t is best) == (t.rmse == least),
+            trials[0].rmse > model.RMSE_GATE,
+        )
+        for t in trials
+    ]
     return spark.createDataFrame(
-        rows, "rank int, reg_param double, max_iter int, rmse double, is_best boolean"
+        rows, "rank int, reg_param double, max_iter int, is_best_least boolean, needed boolean"
     )
 
 
-@_register()
+@_register(f"WITH {_KNOWN} SELECT user_id, item_id, rating::DOUBLE AS rating FROM predictable")
 def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions for the test rows the model can predict."""
+    """The test rows the model can predict."""
     train, test = _split_on_disk(spark, sf_dir)
-    return model.predict(model.fit_als(train), test)
+    predicted = model.predict(model.fit_als(train), test).where("NOT isnan(prediction)")
+    return _plain(predicted.select("user_id", "item_id", "rating"))
+
+
+@_register(
+    f"""WITH {_KNOWN}
+SELECT 'user' AS kind, user_id AS id FROM train GROUP BY ALL
+UNION ALL SELECT 'item', item_id FROM train GROUP BY ALL"""
+)
+def model_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and items of a model that was saved and loaded again."""
+    path, _ = _saved_model(spark, sf_dir)
+    loaded = load_model(path)
+    return loaded.userFactors.select(F.lit("user").alias("kind"), "id").unionAll(
+        loaded.itemFactors.select(F.lit("item"), "id")
+    )
+
+
+def _counted(recommendations: DataFrame) -> DataFrame:
+    """Rows per user, and whether no score rises along the list."""
+    rising = F.exists(
+        F.sequence(F.lit(1), F.size("recommendations")),
+        lambda i: F.coalesce(
+            F.get(F.col("recommendations.rating"), i) > F.get(F.col("recommendations.rating"), i - 1),
+            F.lit(False),
+        ),
+    )
+    falling = recommendations.select("user_id", (~rising).alias("falling"))
+    listed = recommend.flatten_recommendations(recommendations)
+    counts = listed.groupBy("user_id").agg(F.count("*").alias("n_items"))
+    return counts.join(falling, "user_id")
 
 
-@_register()
+@_register(
+    f"""WITH {_KNOWN}
+SELECT DISTINCT user_id, least(5, (SELECT n FROM n_items)) AS n_items, true AS falling
+FROM train ORDER BY user_id LIMIT 5"""
+)
 def als_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 5 of a few users, in display order."""
+    """Lists of a few users."""
     path, train = _saved_model(spark, sf_dir)
-    found = recommend.recommend(load_model(path), recommend.sample_users(train))
-    return recommend.order_recommendations(recommend.flatten_recommendations(found))
+    return _counted(recommend.recommend(load_model(path), recommend.sample_users(train)))
 
 
-@_register()
+@_register(
+    f"""WITH {_KNOWN}
+SELECT DISTINCT user_id, least(20, (SELECT n FROM n_items)) AS n_items, true AS falling FROM train"""
+)
 def als_recommendations_all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of every user, as saved for streams."""
     path, _ = _saved_model(spark, sf_dir)
     out = new_scratch(spark, "candidates")
     precompute_recommendations(path, out)
-    return recommend.flatten_recommendations(spark.read.parquet(out))
+    return _counted(read_recommendations(spark, out))
 
 
 def _streamed_recommendations(spark: SparkSession, sf_dir: str, precomputed: bool) -> DataFrame:
     model_path, _ = _saved_model(spark, sf_dir)
     path = new_scratch(spark, "recommendations")
+    loaded = load_model(model_path)
     if precomputed:
         precompute_recommendations(model_path, f"{path}/candidates")
-        candidates = looked_up_in(f"{path}/candidates")
+        candidates = looked_up_in(spark, f"{path}/candidates", loaded)
     else:
-        candidates = scored_by(load_model(model_path))
+        candidates = scored_by(loaded)
     handler = recommendation_handler(candidates, write_batch(f"{path}/out"))
     run_to_end(
         [
@@ -672,16 +757,84 @@ def _streamed_recommendations(spark: SparkSession, sf_dir: str, precomputed: boo
             )
         ]
     )
-    return spark.read.parquet(f"{path}/out").drop("batch_id")
-
-
-@_register()
+    if not precomputed:
+        candidates.release()
+    found = spark.read.parquet(f"{path}/out").drop("batch_id")
+    seen = _valid(spark, sf_dir).select("user_id", "item_id").distinct().withColumn("old", F.lit(1))
+    by_rank = Window.partitionBy("user_id").orderBy("rank")
+    before = F.lag("predicted_rating").over(by_rank)
+    checked = found.join(seen, ["user_id", "item_id"], "left").select(
+        "user_id", "old",
+        (F.row_number().over(by_rank) == F.col("rank")).alias("numbered"),
+        F.coalesce(F.col("predicted_rating") <= before, F.lit(True)).alias("lower"),
+    )
+    return checked.groupBy("user_id").agg(
+        F.count("*").alias("n_items"), F.count("old").alias("n_seen"),
+        F.bool_and(F.col("numbered") & F.col("lower")).alias("falling"),
+    )
+
+
+# One pass over the events is one batch: what a user has seen is all of their events.
+_STREAMED = f"""WITH {_KNOWN}, {_EVENTS.replace("parsed", "parsed_events")},
+seen AS (
+  SELECT DISTINCT user_id, item_id, item_id IN (SELECT item_id FROM train) AS known FROM valid
+  WHERE user_id IN (SELECT user_id FROM train)),
+left_over AS (
+  SELECT user_id, least(5, any_value(n) - count(*) FILTER (WHERE known)) AS n_items
+  FROM seen, n_items GROUP BY user_id)
+SELECT user_id, n_items, 0::BIGINT AS n_seen, true AS falling FROM left_over WHERE n_items > 0"""
+
+
+@_register(_STREAMED)
 def stream_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of each micro-batch scored by the model."""
     return _streamed_recommendations(spark, sf_dir, precomputed=False)
 
 
-@_register()
+@_register(_STREAMED)
 def stream_recommendations_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of each micro-batch looked up in saved candidates."""
     return _streamed_recommendations(spark, sf_dir, precomputed=True)
+
+
+# --- Whole jobs -----------------------------------------------------------------
+
+
+@_register(
+    f"""WITH {_RATINGS}
+SELECT round(count(*)::DOUBLE, 4) AS n, round(avg(rating::DOUBLE), 4) AS mean FROM latest"""
+)
+def write_read_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named numbers through the metrics table."""
+    path = new_scratch(spark, "metrics")
+    measured = profiling.rating_summary(_clean(spark, sf_dir)).first()
+    write_metrics(spark, path, n=measured["n"], mean=measured["mean"])
+    return spark.read.schema("n double, mean double").json(path)
+
+
+@_register(
+    f"""WITH {_LONG_WINDOWS}
+SELECT 'avg_rating_per_item' AS output, count(*) AS n FROM item_metrics {_CLOSED}
+UNION ALL SELECT 'alerts/item', count(*) FROM item_alerts {_CLOSED}
+UNION ALL SELECT 'alerts/user', count(*) FROM user_alerts {_CLOSED}
+UNION ALL SELECT 'raw_events', count(*) FROM valid"""
+)
+def watch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the whole streaming job writes in one pass over the events."""
+    path = f"{sf_dir}/events.parquet"
+    rows = stream_parquet(spark, path, spark.read.parquet(path).schema)
+    out = new_scratch(spark, "watch")
+    run_to_end(
+        start_watching(
+            adapters.envelope_from_events(rows), f"{out}/tables", f"{out}/checkpoints",
+            fast=ONCE_THROUGH, slow=ONCE_THROUGH, **LONG,
+        )
+    )
+    tables = ("avg_rating_per_item", "alerts/item", "alerts/user", "raw_events")
+    counts = [
+        spark.read.parquet(f"{out}/tables/{name}").agg(
+            F.lit(name).alias("output"), F.count("*").alias("n")
+        )
+        for name in tables
+    ]
+    return reduce(DataFrame.unionAll, counts)

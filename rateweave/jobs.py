@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import functions as F
 
 from rateweave.operators.events import to_kafka_envelope
+from rateweave.operators.model import split_counts
 from rateweave.plans.clean_ratings import clean_ratings
 from rateweave.plans.train_model import (
     precompute_recommendations,
@@ -36,6 +37,7 @@ def _train(args: argparse.Namespace) -> None:
     _, trials = train_model(
         spark, args.ratings, args.model, args.metrics, num_blocks=args.blocks
     )
+    split_counts(read_ratings(spark, args.ratings)).show()
     for trial in trials:
         print(f"{trial.config}: RMSE {trial.rmse:.4f} in {trial.seconds:.1f} s")
     sample_recommendations(spark, args.ratings, args.model).show(25, truncate=False)
@@ -52,16 +54,19 @@ def _publish(args: argparse.Namespace) -> None:
         F.timestamp_seconds("timestamp"), "yyyy-MM-dd'T'HH:mm:ssXXX"
     ).alias("timestamp")
     records = read_ratings(spark, args.ratings).select("user_id", "item_id", "rating", stamp)
-    write_kafka(to_kafka_envelope(records, args.partitions), args.servers, args.topic)
+    write_kafka(
+        to_kafka_envelope(records, args.partitions), args.servers, args.topic, dict(args.option)
+    )
 
 
 def _watch(args: argparse.Namespace) -> None:
     spark = build_session("watch events", STATE_CONF)
     candidates = None
+    model = load_model(args.model) if args.model else None
     if args.candidates:
-        candidates = looked_up_in(args.candidates)
-    elif args.model:
-        candidates = scored_by(load_model(args.model))
+        candidates = looked_up_in(spark, args.candidates, model)
+    elif model is not None:
+        candidates = scored_by(model)
     envelope = read_kafka_events(
         spark,
         args.servers,
@@ -69,14 +74,31 @@ def _watch(args: argparse.Namespace) -> None:
         starting_offsets=args.starting_offsets,
         min_partitions=args.min_partitions,
         max_offsets_per_trigger=args.max_offsets,
+        fail_on_data_loss=args.fail_on_data_loss,
+        more=dict(args.option),
     )
     run_until_any_stops(
         start_watching(
-            envelope, args.out, args.checkpoints, candidates, args.window, args.slide, args.delay
-        )
+            envelope, args.out, args.checkpoints, candidates, args.window, args.slide, args.delay,
+            progress_path=f"{args.out}/progress",
+        )
     )
 
 
+def _key_value(text: str) -> tuple[str, str]:
+    key, found, value = text.partition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not key=value")
+    return key, value
+
+
+def _add_options(job: argparse.ArgumentParser) -> None:
+    job.add_argument(
+        "--option", type=_key_value, action="append", default=[], metavar="KEY=VALUE",
+        help="any other option of the connector; may be repeated",
+    )
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -104,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--servers", required=True)
     job.add_argument("--topic", required=True)
     job.add_argument("--partitions", type=int, default=2)
+    _add_options(job)
     job.set_defaults(run=_publish)
 
     job = jobs.add_parser("watch", help="metrics, alerts and recommendations of a topic")
@@ -112,13 +135,15 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoints", required=True)
     job.add_argument("--model", help="score users of each batch")
-    job.add_argument("--candidates", help="look users up instead")
+    job.add_argument("--candidates", help="look users up; --model is for those who need more")
     job.add_argument("--window", default="30 seconds")
     job.add_argument("--slide", default="10 seconds")
     job.add_argument("--delay", default="1 minute")
     job.add_argument("--starting-offsets", default="latest")
     job.add_argument("--min-partitions", type=int)
     job.add_argument("--max-offsets", type=int)
+    job.add_argument("--fail-on-data-loss", action="store_true")
+    _add_options(job)
     job.set_defaults(run=_watch)
     return top
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -37,10 +37,10 @@ TUNING_GRID = (
 
 @dataclass(frozen=True)
 class Trial:
-    """A fitted model with its error on the test rows."""
+    """A fitted model with its error on the test rows; only the best keeps its model."""
 
     config: AlsConfig
-    model: ALSModel
+    model: ALSModel | None
     rmse: float
     seconds: float
 
@@ -62,6 +62,18 @@ def train_test_split(
     return ratings.filter(draw < train_fraction), ratings.filter(draw >= train_fraction)
 
 
+def split_counts(
+    ratings: DataFrame, train_fraction: float = 0.8, seed: int = SEED
+) -> DataFrame:
+    """One row ``total_rows, train_rows, test_rows`` of the split, in one pass."""
+    in_train = unit_hash(("user_id", "item_id"), seed) < train_fraction
+    return ratings.agg(
+        F.count("*").alias("total_rows"),
+        F.count_if(in_train).alias("train_rows"),
+        F.count_if(~in_train).alias("test_rows"),
+    )
+
+
 def build_als(config: AlsConfig = AlsConfig(), num_blocks: int | None = None) -> ALS:
     """Explicit-feedback ALS; users or items unseen in training get no prediction."""
     als = ALS(
@@ -145,11 +157,17 @@ def tune_if_needed(
     if keep_split:
         sides = tuple(side.persist(StorageLevel.MEMORY_AND_DISK) for side in sides)
     try:
-        trials = [train_eval(*sides, first, num_blocks)]
-        if trials[0].rmse > threshold:
-            trials += [train_eval(*sides, config, num_blocks) for config in grid]
+        best = train_eval(*sides, first, num_blocks)
+        trials = [best]
+        for config in grid if best.rmse > threshold else ():
+            trial = train_eval(*sides, config, num_blocks)
+            trials.append(trial)
+            if trial.rmse < best.rmse:
+                best = trial
+            # A losing model's factors need not stay.
+            trials = [t if t is best else replace(t, model=None) for t in trials]
     finally:
         if keep_split:
             for side in sides:
                 side.unpersist()
-    return min(trials, key=lambda trial: trial.rmse), trials
+    return best, trials

@@ -33,30 +33,23 @@ def recommend_all(model: ALSModel, n: int = TOP_N) -> DataFrame:
 
 def flatten_recommendations(recommendations: DataFrame, digits: int = 3) -> DataFrame:
     """One row ``user_id, item_id, predicted_rating`` per recommended item."""
-    return recommendations.select(
-        "user_id", F.explode("recommendations").alias("rec")
-    ).select(
-        "user_id",
-        F.col("rec.item_id").alias("item_id"),
-        F.round("rec.rating", digits).alias("predicted_rating"),
-    )
+    listed = recommendations.select("user_id", F.inline("recommendations"))
+    rating = F.round("rating", digits).alias("predicted_rating")
+    return listed.select("user_id", "item_id", rating)
 
 
-def exclude_seen(candidates: DataFrame, seen: DataFrame, small_seen: bool = False) -> DataFrame:
+def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     """Drop candidates whose (user, item) pair is in ``seen``.
 
     Pairs are made distinct first; that needs the partitioning the join needs
-    anyway, and a pair repeated very often is one row per map task. Set
-    ``small_seen`` only after counting ``seen``: it is then broadcast.
+    anyway, and a pair repeated very often is one row per map task.
     """
     pairs = seen.select("user_id", "item_id").distinct()
-    if small_seen:
-        pairs = F.broadcast(pairs)
     return candidates.join(pairs, ["user_id", "item_id"], "left_anti")
 
 
 def rerank_top_n(candidates: DataFrame, n: int = TOP_N) -> DataFrame:
-    """The n best candidates per user; equal ratings by item id.
+    """The n best candidates per user, with their ``rank``; equal ratings by item id.
 
     Spark limits each user to n rows before the shuffle as well, so a user with
     very many candidates does not fill one task.
@@ -65,9 +58,8 @@ def rerank_top_n(candidates: DataFrame, n: int = TOP_N) -> DataFrame:
         F.col("predicted_rating").desc(), "item_id"
     )
     return (
-        candidates.withColumn("rk", F.row_number().over(best_first))
-        .filter(F.col("rk") <= n)
-        .drop("rk")
+        candidates.withColumn("rank", F.row_number().over(best_first))
+        .filter(F.col("rank") <= n)
     )
 
 

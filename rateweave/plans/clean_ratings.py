@@ -26,7 +26,7 @@ from rateweave.sources.ratings import read_rating_lines, read_ratings
 
 @dataclass(frozen=True)
 class CleanReport:
-    """Frames over the written table; nothing is computed until they are used."""
+    """Small frames, computed from the lines and the written table."""
 
     funnel: DataFrame
     cardinality: DataFrame
@@ -62,9 +62,16 @@ def clean_ratings(
         (F.col("valid_count") - final_count).alias("duplicate_dropped"),
         final_count.alias("final_count"),
     )
-    return CleanReport(
-        funnel=funnel,
-        cardinality=dataset_cardinality(ratings),
-        summary=rating_summary(ratings),
-        distribution=rating_distribution(ratings),
-    )
+    # Distinct counts and groups shuffle the table: they run in its sizing too.
+    with sized_for(lines):
+        return CleanReport(
+            funnel=_computed(funnel),
+            cardinality=_computed(dataset_cardinality(ratings)),
+            summary=_computed(rating_summary(ratings)),
+            distribution=_computed(rating_distribution(ratings)),
+        )
+
+
+def _computed(report: DataFrame) -> DataFrame:
+    """A report of one row, or one per rating value, as a frame of its own."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

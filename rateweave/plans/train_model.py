@@ -68,4 +68,6 @@ def precompute_recommendations(
     Works on the saved model: its factors are read from Parquet, so their size
     is known to the planner and no training lineage hangs on the job.
     """
-    save_recommendations(recommend_all(load_model(model_path), top_n * over_fetch), out_path)
+    model, depth = load_model(model_path), top_n * over_fetch
+    with sized_for(model.userFactors, model.itemFactors):
+        save_recommendations(recommend_all(model, depth), out_path, depth)

@@ -15,6 +15,7 @@ from rateweave.operators.window_metrics import (
     trending_top_k,
     user_window_metrics,
 )
+from rateweave.streaming.progress import ProgressTable
 from rateweave.streaming.recommendations import Candidates, recommendation_handler
 from rateweave.streaming.shared import Output, share, show_batch, unchanged, write_batch
 from rateweave.streaming.sinks import (
@@ -42,6 +43,7 @@ def start_watching(
     fast: Trigger = EVERY_10_SECONDS,
     slow: Trigger = EVERY_30_SECONDS,
     top_k: int = 5,
+    progress_path: str | None = None,
 ) -> list[StreamingQuery]:
     """Start five queries for ten outputs.
 
@@ -55,14 +57,18 @@ def start_watching(
     events                append  ``raw_events`` and ``recommendations``
     ====================  ======  ==================================================
 
-    Without ``candidates`` no recommendations are made.
+    Without ``candidates`` no recommendations are made, and raw events are written
+    at the slow trigger. Tables exist, empty, from the start. With ``progress_path``
+    the time and volume of every batch are appended to a table there.
     """
     events = watched_events(envelope, delay)
     items = item_window_metrics(events, size, slide)
     users = user_window_metrics(events, size, slide)
 
     event_outputs = [Output(unchanged, write_batch(f"{out_dir}/raw_events"))]
+    event_trigger = slow
     if candidates is not None:
+        event_trigger = fast
         recommendations = write_batch(f"{out_dir}/recommendations")
         event_outputs.append(
             Output(unchanged, recommendation_handler(candidates, recommendations))
@@ -110,8 +116,10 @@ def start_watching(
             slow,
             [Output(user_alerts, write_batch(f"{out_dir}/alerts/user", skip_empty=True))],
         ),
-        ("events", events, "append", fast, event_outputs),
+        ("events", events, "append", event_trigger, event_outputs),
     ]
+    if progress_path is not None:
+        ProgressTable(events.sparkSession, progress_path, [query[0] for query in queries])
     started: list[StreamingQuery] = []
     for name, frame, mode, trigger, outputs in queries:
         checkpoint = f"{checkpoint_dir}/{name}"

@@ -66,9 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 MB = 1 << 20
-# Bounds that keep maps x reducers, and with it the number of shuffle blocks, in hand.
-MOST_PARTITIONS = 20_000
-MOST_SCAN_TASKS = 100_000
+# Input per shuffle partition and per scan task, unless the job says otherwise.
+PARTITION_BYTES = 128 * MB
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
@@ -78,27 +77,35 @@ def scan_bytes(scan: DataFrame) -> int:
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def partition_plan(size: int, shuffle_partitions: int) -> dict[str, str]:
+def partition_plan(
+    size: int, shuffle_partitions: int, partition_bytes: int = PARTITION_BYTES
+) -> dict[str, str]:
     """Settings for an input of ``size`` bytes.
 
     AQE merges shuffle partitions that turn out small but cannot split those of
-    an aggregation, so it must start with enough of them: one per 128 MB, not
-    fewer than ``shuffle_partitions``. Scan tasks read 128 MB, or more of an
-    input that would need too many tasks.
+    an aggregation, so it must start with enough of them: one per
+    ``partition_bytes``, whatever the size, and not fewer than
+    ``shuffle_partitions``. A larger value trades memory for fewer shuffle blocks.
     """
-    partitions = min(MOST_PARTITIONS, max(shuffle_partitions, -(-size // (128 * MB))))
-    split = max(128 * MB, -(-size // MOST_SCAN_TASKS))
     return {
-        INITIAL_PARTITIONS: str(max(partitions, shuffle_partitions)),
-        SPLIT_BYTES: str(split),
+        INITIAL_PARTITIONS: str(max(shuffle_partitions, -(-size // partition_bytes))),
+        SPLIT_BYTES: str(partition_bytes),
     }
 
 
 @contextmanager
-def sized_for(scan: DataFrame) -> Iterator[None]:
-    """Partition what runs inside for the size of ``scan``; restores the settings."""
-    conf = scan.sparkSession.conf
-    plan = partition_plan(scan_bytes(scan), int(conf.get("spark.sql.shuffle.partitions")))
+def sized_for(
+    *scans: DataFrame, partition_bytes: int = PARTITION_BYTES, size: int | None = None
+) -> Iterator[None]:
+    """Partition what runs inside for the size of ``scans``; restores the settings.
+
+    Give ``size`` in bytes where the plan's statistics cannot be asked, such as
+    through a remote session.
+    """
+    conf = scans[0].sparkSession.conf
+    total = sum(map(scan_bytes, scans)) if size is None else size
+    shuffle_partitions = int(conf.get("spark.sql.shuffle.partitions"))
+    plan = partition_plan(total, shuffle_partitions, partition_bytes)
     before = {key: conf.get(key, None) for key in plan}
     for key, value in plan.items():
         conf.set(key, value)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def save_model(model: ALSModel, path: str) -> None:
@@ -11,11 +12,31 @@ def save_model(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def save_recommendations(recommendations: DataFrame, path: str) -> None:
+BUCKETS = 256
+
+
+def user_bucket(buckets: int) -> Column:
+    """Which folder a user's candidates are in."""
+    return F.pmod(F.hash("user_id"), F.lit(buckets)).alias("bucket")
+
+
+def save_recommendations(
+    recommendations: DataFrame, path: str, depth: int, buckets: int = BUCKETS
+) -> None:
     """Write ``user_id, recommendations`` once per model, for lookup by user.
 
-    The rows come from the shuffle by user that ranked them and are written as
-    they are: ordering the files by user would score every user twice, the first
-    time to sample the range bounds.
+    A folder per bucket of users, so that a lookup reads the buckets of its users
+    only. ``depth`` is how many items per user were asked for; it is kept beside
+    the rows, with the number of buckets.
     """
-    recommendations.write.mode("overwrite").parquet(path)
+    bucketed = recommendations.withColumn("bucket", user_bucket(buckets))
+    (
+        bucketed.repartition(buckets, "bucket")
+        .write.mode("overwrite")
+        .partitionBy("bucket")
+        .parquet(f"{path}/candidates")
+    )
+    about = recommendations.sparkSession.range(1).select(
+        F.lit(depth).alias("depth"), F.lit(buckets).alias("buckets")
+    )
+    about.write.mode("overwrite").parquet(f"{path}/about")

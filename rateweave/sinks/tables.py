@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +26,16 @@ def write_metrics(spark: SparkSession, path: str, **metrics: float) -> None:
     row.write.mode("overwrite").json(path)
 
 
-def write_kafka(envelope: DataFrame, servers: str, topic: str) -> None:
+def kafka_writer_options(
+    servers: str, topic: str, more: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """Writer options: wait for all replicas. ``more`` overrides."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all"}
+    return options | dict(more or {})
+
+
+def write_kafka(
+    envelope: DataFrame, servers: str, topic: str, more: Mapping[str, str] | None = None
+) -> None:
     """Publish ``key, value, partition`` rows to a topic."""
-    (
-        envelope.write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("kafka.acks", "all")
-        .save()
-    )
+    envelope.write.format("kafka").options(**kafka_writer_options(servers, topic, more)).save()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -12,9 +14,11 @@ def kafka_options(
     fail_on_data_loss: bool = False,
     min_partitions: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    more: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Reader options. By default start at the end of the topic and tolerate
-    records the broker has already dropped.
+    records the broker has already dropped. ``more`` are any other options of the
+    connector, such as ``kafka.security.protocol``; they override the rest.
 
     ``min_partitions`` above the number of topic partitions splits large ones
     over several tasks, which also evens out a topic keyed by a frequent user.
@@ -29,7 +33,7 @@ def kafka_options(
         options["minPartitions"] = str(min_partitions)
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    return options
+    return options | dict(more or {})
 
 
 def read_kafka_events(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

@@ -1,28 +1,81 @@
-"""Latency and volume of a streaming query."""
+"""Latency and volume of streaming queries, batch by batch."""
 
 from __future__ import annotations
 
+import threading
+import time
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS_SCHEMA = (
-    "query string, batch_id bigint, num_input_rows bigint, trigger_ms bigint, "
+    "query string, run_id string, batch_id bigint, num_input_rows bigint, trigger_ms bigint, "
     "add_batch_ms bigint, state_rows bigint, rows_dropped_late bigint"
 )
 
 
-def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch (Spark keeps the last 100)."""
-    rows = [
-        (
-            query.name,
-            step.batchId,
-            step.numInputRows,
-            step.durationMs.get("triggerExecution"),
-            step.durationMs.get("addBatch"),
-            sum(state.numRowsTotal for state in step.stateOperators),
+class ProgressTable(StreamingQueryListener):
+    """Append the progress of every micro-batch, as Spark reports it, to a table.
+
+    Nothing is kept in the session, so it does not matter how many batches of
+    progress the session itself remembers. ``only`` limits it to queries of these
+    names. Start it before the queries, and :meth:`wait` for the last rows, since
+    Spark reports a batch some time after its end.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, only: Sequence[str] = ()) -> None:
+        self.spark, self.path, self.only = spark, path, frozenset(only)
+        self.reported: dict[str, int] = {}
+        self.change = threading.Condition()
+        self._write([])
+        spark.streams.addListener(self)
+
+    def _write(self, rows: list[tuple]) -> None:
+        frame = self.spark.createDataFrame(rows, PROGRESS_SCHEMA)
+        frame.coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        step = event.progress
+        if self.only and step.name not in self.only:
+            return
+        run = str(step.runId)
+        times = step.durationMs
+        self._write([(
+            step.name, run, step.batchId, step.numInputRows, times.get("triggerExecution"),
+            times.get("addBatch"), sum(state.numRowsTotal for state in step.stateOperators),
             sum(state.numRowsDroppedByWatermark for state in step.stateOperators),
-        )
-        for step in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+        )])
+        with self.change:
+            self.reported[run] = step.batchId
+            self.change.notify_all()
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def wait(self, queries: Sequence[StreamingQuery], seconds: float = 60) -> None:
+        """Until the last batch of each query has its row."""
+        until = time.monotonic() + seconds
+        for query in queries:
+            last = query.lastProgress
+            while last is not None:
+                with self.change:
+                    if self.reported.get(str(query.runId), -1) >= last.batchId:
+                        break
+                    if not self.change.wait(max(0.0, until - time.monotonic())):
+                        raise TimeoutError(f"no progress reported for query {query.name}")
+
+    def stop(self) -> None:
+        self.spark.streams.removeListener(self)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch; a trigger that found no data has none of its own."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateweave.operators.recommend import (
@@ -17,49 +17,75 @@ from rateweave.operators.recommend import (
     recommend,
     rerank_top_n,
 )
-from rateweave.schemas import RECOMMENDATIONS
-from rateweave.streaming.sinks import BatchHandler
+from rateweave.sinks.models import user_bucket
+from rateweave.sources.models import read_recommendations, saved_depth
+from rateweave.streaming.shared import WriteBatch
 
 DIGITS = 2
-# Counted pairs up to here (some 16 MB as a hash table) are broadcast; beyond
-# it the same joins shuffle.
-BROADCAST_PAIRS = 500_000
 
-# (distinct users, candidates per user, users are few) -> user_id, recommendations
-Candidates = Callable[[DataFrame, int, bool], DataFrame]
+# (distinct users, candidates per user) -> user_id, recommendations
+Candidates = Callable[[DataFrame, int], DataFrame]
 
 
-def scored_by(model: ALSModel, keep_factors: bool = True) -> Candidates:
-    """Score the users of each batch against all items of the model.
+class Scored:
+    """Score the users of each batch against all items of a model.
 
     ``keep_factors`` holds the two factor tables on the executors, in memory and
-    on disk, instead of reading them again for every batch.
+    on disk, instead of reading them again for every batch, until :meth:`release`.
     """
-    if keep_factors:
-        model.userFactors.persist(StorageLevel.MEMORY_AND_DISK)
-        model.itemFactors.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def candidates(users: DataFrame, n: int, few: bool) -> DataFrame:
-        return recommend(model, users, n)
+    def __init__(self, model: ALSModel, keep_factors: bool = True) -> None:
+        self.model, self.kept = model, []
+        if keep_factors:
+            self.kept = [
+                factors.persist(StorageLevel.MEMORY_AND_DISK)
+                for factors in (model.userFactors, model.itemFactors)
+            ]
 
-    return candidates
+    def __call__(self, users: DataFrame, n: int) -> DataFrame:
+        return recommend(self.model, users, n)
 
+    def release(self) -> None:
+        for factors in self.kept:
+            factors.unpersist()
+        self.kept = []
 
-def looked_up_in(path: str) -> Candidates:
+
+class LookedUp:
     """Look the users up in recommendations saved once per model.
 
-    Gives what :func:`scored_by` gives if at least as many items per user were
-    saved as are asked for, without scoring in every batch.
+    Gives what :class:`Scored` gives, without scoring in every batch. Of the saved
+    table only the buckets of the batch's users are read. Users who need more items
+    than were saved are scored; without a model to score by that is an error.
     """
 
-    def candidates(users: DataFrame, n: int, few: bool) -> DataFrame:
-        saved = users.sparkSession.read.schema(RECOMMENDATIONS).parquet(path)
-        wanted = F.broadcast(users) if few else users
-        return saved.join(wanted, "user_id", "left_semi").withColumn(
-            "recommendations", F.slice("recommendations", 1, n)
+    def __init__(self, spark: SparkSession, path: str, model: ALSModel | None = None) -> None:
+        self.depth, self.buckets = saved_depth(spark, path)
+        self.path, self.model = path, model
+
+    def __call__(self, users: DataFrame, n: int) -> DataFrame:
+        if n > self.depth:
+            if self.model is None:
+                raise ValueError(
+                    f"{n} candidates per user are needed, {self.depth} were saved and there is "
+                    "no model to score by"
+                )
+            return recommend(self.model, users, n)
+        read = [row.bucket for row in users.select(user_bucket(self.buckets)).distinct().collect()]
+        saved = read_recommendations(users.sparkSession, self.path)
+        return (
+            saved.where(F.col("bucket").isin(read))
+            .join(users, "user_id", "left_semi")
+            .select("user_id", F.slice("recommendations", 1, n).alias("recommendations"))
         )
 
-    return candidates
+
+def scored_by(model: ALSModel, keep_factors: bool = True) -> Scored:
+    return Scored(model, keep_factors)
+
+
+def looked_up_in(spark: SparkSession, path: str, model: ALSModel | None = None) -> LookedUp:
+    return LookedUp(spark, path, model)
 
 
 def recommend_unseen(
@@ -67,41 +93,71 @@ def recommend_unseen(
     candidates: Candidates,
     top_n: int = TOP_N,
     over_fetch: int = OVER_FETCH,
-    few: bool = False,
 ) -> DataFrame:
     """Top n per user of ``seen`` (distinct pairs), without the pairs themselves.
 
-    ``over_fetch * top_n`` candidates are taken per user. A user with more than
-    ``(over_fetch - 1) * top_n`` of them in the batch may get fewer than n. Ratings are rounded
-    before ranking.
+    Every user gets n items as long as the model has n they have not seen:
+    ``over_fetch * top_n`` candidates are taken per user, which is enough for all
+    who have seen ``(over_fetch - 1) * top_n`` items at most; the others are
+    fetched apart, as deep as the largest number that one of them has seen.
+    Ratings are rounded before ranking. ``seen`` is read twice: keep it.
     """
-    users = seen.select("user_id").distinct()
-    fetched = flatten_recommendations(candidates(users, top_n * over_fetch, few), DIGITS)
-    return rerank_top_n(exclude_seen(fetched, seen, small_seen=few), top_n)
-
-
-def recommendation_handler(
-    candidates: Candidates,
-    write: BatchHandler,
-    top_n: int = TOP_N,
-    over_fetch: int = OVER_FETCH,
-    broadcast_pairs: int = BROADCAST_PAIRS,
-) -> BatchHandler:
+    depth = top_n * over_fetch
+    users = seen.groupBy("user_id").agg(F.count("*").alias("n_seen"))
+    many = F.col("n_seen") > depth - top_n
+    fetched = candidates(users.where(~many).select("user_id"), depth)
+    deepest = users.where(many).agg(F.max("n_seen")).first()[0]
+    if deepest is not None:
+        heavy = candidates(users.where(many).select("user_id"), top_n + deepest)
+        fetched = fetched.unionByName(heavy)
+    flat = flatten_recommendations(fetched, DIGITS)
+    return rerank_top_n(exclude_seen(flat, seen), top_n)
+
+
+class RecommendationHandler:
     """Handler for :func:`rateweave.streaming.sinks.for_each_batch`.
 
-    Only the batch's distinct (user, item) pairs are kept; counting them tells an
-    empty batch and decides how to join.
+    Only the batch's distinct (user, item) pairs are kept while it is worked on.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    SCHEMA = "user_id int, item_id int, predicted_rating float, rank int"
+
+    def __init__(
+        self,
+        candidates: Candidates,
+        write: WriteBatch,
+        top_n: int = TOP_N,
+        over_fetch: int = OVER_FETCH,
+    ) -> None:
+        self.candidates, self.write = candidates, write
+        self.top_n, self.over_fetch = top_n, over_fetch
+        depth = getattr(candidates, "depth", top_n * over_fetch)
+        if depth < top_n * over_fetch:
+            raise ValueError(
+                f"{depth} candidates per user were saved, {top_n * over_fetch} are needed"
+            )
+
+    def prepare(self, frame: DataFrame) -> None:
+        """Create the table the recommendations go to."""
+        prepare = getattr(self.write, "prepare", None)
+        if prepare is not None:
+            prepare(frame.sparkSession.createDataFrame([], self.SCHEMA))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
         seen = batch.select("user_id", "item_id").distinct()
         seen = seen.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            pairs = seen.count()
-            if pairs:
-                few = pairs <= broadcast_pairs
-                write(recommend_unseen(seen, candidates, top_n, over_fetch, few), batch_id)
+            if not seen.isEmpty():
+                found = recommend_unseen(seen, self.candidates, self.top_n, self.over_fetch)
+                self.write(found, batch_id)
         finally:
             seen.unpersist()
 
-    return handle
+
+def recommendation_handler(
+    candidates: Candidates,
+    write: WriteBatch,
+    top_n: int = TOP_N,
+    over_fetch: int = OVER_FETCH,
+) -> RecommendationHandler:
+    return RecommendationHandler(candidates, write, top_n, over_fetch)

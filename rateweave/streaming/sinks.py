@@ -67,6 +67,10 @@ def for_each_batch(
 
     A batch may be handed over again after a failure: handlers must give the
     same result for the same batch id, and should compute the whole batch. Those
-    made by :func:`rateweave.streaming.shared.share` do both.
+    made by :func:`rateweave.streaming.shared.share` do both. A handler with a
+    ``prepare`` method creates its tables before the query starts.
     """
+    prepare = getattr(handler, "prepare", None)
+    if prepare is not None:
+        prepare(frame)
     return _writer(frame, name, mode, checkpoint, trigger).foreachBatch(handler).start()

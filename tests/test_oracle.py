@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from rateweave import catalog
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -48,22 +49,18 @@ def test_query(spark, database, small_dir, name):
             assert a == b or (isinstance(a, float) and math.isclose(a, b, rel_tol=1e-12))
 
 
-def test_only_model_queries_lack_sql():
-    without = set(entry_point.queries()) - set(entry_point.oracle_sql())
-    assert without == {
-        "als_train_eval",
-        "als_tuned",
-        "als_predictions",
-        "als_recommendations",
-        "als_recommendations_all_users",
-        "stream_recommendations",
-        "stream_recommendations_lookup",
-    }
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
-@pytest.mark.parametrize("name", ["als_predictions", "stream_recommendations_lookup"])
-def test_model_query_gives_rows(spark, small_dir, name):
-    assert not entry_point.queries()[name](spark, small_dir).isEmpty()
+def test_queries_leave_the_time_zone(spark, small_dir):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        catalog.QUERIES["valid_events"](spark, small_dir)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_entry(spark):

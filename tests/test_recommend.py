@@ -6,9 +6,15 @@ from pyspark.sql import functions as F
 from rateweave.operators import model as m
 from rateweave.operators import recommend as r
 from rateweave.schemas import RECOMMENDATIONS
-from rateweave.sinks.models import save_model, save_recommendations
+from rateweave.sinks.models import save_model, save_recommendations, user_bucket
 from rateweave.sources.models import load_model
-from rateweave.streaming.recommendations import looked_up_in, recommend_unseen, scored_by
+from rateweave.streaming.recommendations import (
+    looked_up_in,
+    recommend_unseen,
+    recommendation_handler,
+    scored_by,
+)
+from rateweave.streaming.shared import write_batch
 
 from .conftest import plan_of, rows
 
@@ -76,17 +82,16 @@ def test_sample_users_is_reproducible(spark):
     assert [u.user_id for u in r.sample_users(frame, 3).collect()] == [2, 4, 7]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_exclude_seen(spark, small):
+def test_exclude_seen(spark):
     candidates = spark.createDataFrame([(1, 1, 5.0), (1, 2, 4.0), (2, 1, 3.0)], CANDIDATE)
     seen = spark.createDataFrame([(1, 1), (1, 1), (2, 9)], "user_id int, item_id int")
-    kept = r.exclude_seen(candidates, seen, small)
+    kept = r.exclude_seen(candidates, seen)
     assert rows(kept.select("user_id", "item_id")) == [(1, 2), (2, 1)]
 
 
 def test_rerank_breaks_ties_by_item(spark):
     frame = spark.createDataFrame([(1, i, 4.0) for i in (8, 2, 5)] + [(1, 9, 4.5)], CANDIDATE)
-    assert rows(r.rerank_top_n(frame, 3)) == [(1, 2, 4.0), (1, 5, 4.0), (1, 9, 4.5)]
+    assert rows(r.rerank_top_n(frame, 3)) == [(1, 2, 4.0, 2), (1, 5, 4.0, 3), (1, 9, 4.5, 1)]
 
 
 def test_rerank_limits_users_before_the_shuffle(spark):
@@ -114,14 +119,13 @@ def seen_pairs(spark, pairs):
     return spark.createDataFrame(pairs, "user_id int, item_id int")
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_unseen_by_score_and_by_lookup(spark, model, scores, tmp_path, few):
+def test_unseen_by_score_and_by_lookup(spark, model, scores, tmp_path):
     path = str(tmp_path / "candidates")
-    save_recommendations(r.recommend_all(model, 30), path)
+    save_recommendations(r.recommend_all(model, 30), path, 30, buckets=4)
     rated = [(3, scores[3][0][1]), (3, scores[3][2][1]), (7, scores[7][1][1]), (10**6, 1)]
     seen = seen_pairs(spark, rated)
-    scored = rows(recommend_unseen(seen, scored_by(model), few=few))
-    assert rows(recommend_unseen(seen, looked_up_in(path), few=few)) == scored
+    scored = rows(recommend_unseen(seen, scored_by(model)))
+    assert rows(recommend_unseen(seen, looked_up_in(spark, path))) == scored
     assert {x[0] for x in scored} == {3, 7}
     assert not {x[:2] for x in scored} & set(rated)
     for user in (3, 7):
@@ -133,7 +137,46 @@ def test_unseen_by_score_and_by_lookup(spark, model, scores, tmp_path, few):
         )
 
 
-def test_a_user_who_rated_most_candidates_gets_fewer(spark, model, scores):
+def test_users_who_rated_much_get_all_the_same(spark, model, scores, tmp_path):
+    """As many as are asked for, whenever the model has as many unseen items."""
+    n_items = len(scores[3])
     rated = [(3, item) for _, item in scores[3][:18]]
-    found = recommend_unseen(seen_pairs(spark, rated), scored_by(model), top_n=5, over_fetch=4)
-    assert found.count() == 2
+    rated += [(7, item) for _, item in scores[7][: n_items - 2]]
+    rated += [(9, item) for item in range(100, 3100)] + [(11, scores[11][0][1])]
+    rated += [(13, item) for _, item in scores[13]]
+    seen = seen_pairs(spark, rated).persist()
+    path = str(tmp_path / "candidates")
+    save_recommendations(r.recommend_all(model, 20), path, 20, buckets=4)
+    deep = scored_by(model)
+    scored = rows(recommend_unseen(seen, deep))
+    assert rows(recommend_unseen(seen, looked_up_in(spark, path, model))) == scored
+    deep.release()
+    for user, n in ((3, 5), (7, 2), (9, 5), (11, 5), (13, 0)):
+        own = [x for x in scored if x[0] == user]
+        assert len(own) == n
+        assert sorted(x[3] for x in own) == list(range(1, n + 1))
+        best = [s for s, i in scores[user] if (user, i) not in set(rated)][:n]
+        assert sorted((x[2] for x in own), reverse=True) == pytest.approx(best, abs=0.011)
+
+
+def test_a_lookup_too_shallow_is_an_error(spark, model, scores, tmp_path):
+    path = str(tmp_path / "candidates")
+    save_recommendations(r.recommend_all(model, 3), path, 3)
+    with pytest.raises(ValueError, match="3 candidates per user were saved, 20 are needed"):
+        recommendation_handler(looked_up_in(spark, path), write_batch(str(tmp_path / "out")))
+    deep = str(tmp_path / "deep")
+    save_recommendations(r.recommend_all(model, 20), deep, 20)
+    seen = seen_pairs(spark, [(3, item) for _, item in scores[3][:18]]).persist()
+    with pytest.raises(ValueError, match="no model to score by"):
+        recommend_unseen(seen, looked_up_in(spark, deep))
+
+
+def test_a_lookup_reads_the_buckets_of_its_users(spark, model, tmp_path):
+    path = str(tmp_path / "candidates")
+    save_recommendations(r.recommend_all(model, 20), path, 20, buckets=8)
+    found = looked_up_in(spark, path)(users_frame(spark, [3]), 20)
+    plan = plan_of(found)
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    read = {f for f in found.inputFiles() if "bucket=" in f}
+    bucket = users_frame(spark, [3]).select(user_bucket(8)).first().bucket
+    assert found.first().user_id == 3 and any(f"bucket={bucket}/" in f for f in read)

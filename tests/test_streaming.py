@@ -18,7 +18,7 @@ from rateweave.schemas import ENVELOPE
 from rateweave.sources.files import stream_parquet
 from rateweave.sources.kafka import kafka_options
 from rateweave.streaming.lifecycle import run_to_end, run_until_any_stops
-from rateweave.streaming.progress import progress_metrics
+from rateweave.streaming.progress import ProgressTable, read_progress
 from rateweave.streaming.recommendations import recommendation_handler, scored_by
 from rateweave.streaming.shared import Output, share, show_batch, unchanged, write_batch
 from rateweave.streaming.sinks import (
@@ -92,14 +92,17 @@ def test_append_gives_each_closed_window_once(spark, topic, tmp_path):
     publish_trace(topic)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     metrics = item_window_metrics(watched_events(topic.read()))
+    table = ProgressTable(spark, str(tmp_path / "progress"), ["trace"])
     query = to_parquet_append(metrics, "trace", out, checkpoint, ONCE_THROUGH)
     run_to_end([query])
+    table.wait([query])
+    table.stop()
     # Second 6 comes one batch after second 200 and still counts; second 7, a
     # batch later, is dropped; the windows of 400 stay open.
     assert spans(spark.read.parquet(out)) == [
         (-10, 2), (-20, 2), (0, 2), (180, 2), (190, 2), (200, 2),
     ]
-    steps = progress_metrics(spark, query).orderBy("batch_id").collect()
+    steps = read_progress(spark, str(tmp_path / "progress")).orderBy("batch_id").collect()
     assert [s.num_input_rows for s in steps] == [1, 1, 1, 2, 1, 0]
     assert [s.rows_dropped_late for s in steps] == [0, 0, 0, 3, 0, 0]
     assert all(s.trigger_ms > 0 for s in steps)
@@ -200,6 +203,7 @@ def test_shared_outputs_read_the_source_once(spark, topic, tmp_path):
 def test_state_is_whole_when_outputs_look_at_few_rows(spark, topic, tmp_path, capsys):
     for _ in range(3):
         topic.publish(*[(user, 1, 4.0, 5) for user in range(60)])
+    table = ProgressTable(spark, str(tmp_path / "progress"), ["few_rows"])
     query = for_each_batch(
         user_window_metrics(watched_events(topic.read())),
         "few_rows",
@@ -208,7 +212,9 @@ def test_state_is_whole_when_outputs_look_at_few_rows(spark, topic, tmp_path, ca
         ONCE_THROUGH,
     )
     run_to_end([query])
-    steps = progress_metrics(spark, query).filter("num_input_rows > 0").collect()
+    table.wait([query])
+    table.stop()
+    steps = read_progress(spark, str(tmp_path / "progress")).where("num_input_rows > 0").collect()
     assert [step.state_rows for step in steps] == [180, 180, 180]
     assert "|3 " in capsys.readouterr().out
 
@@ -309,15 +315,39 @@ def test_recommendations_leave_out_the_batch_only(spark, topic, tmp_path, model)
     assert {r.user_id for r in found.collect()} == {2}
 
 
-def test_joins_are_the_same_beyond_the_broadcast_bound(spark, tmp_path, model):
-    batch = spark.createDataFrame([(2, 3), (2, 4), (5, 3)], "user_id int, item_id int")
-    for bound, name in ((10, "small"), (1, "large")):
-        handler = recommendation_handler(
-            scored_by(model), write_batch(f"{tmp_path}/{name}"), broadcast_pairs=bound
+def test_tables_are_there_before_any_row(spark, topic, tmp_path, model):
+    """A stream without valid events leaves empty tables, not missing ones."""
+    topic.publish((1, 1, 9.5, 1))
+    out = tmp_path / "out"
+    run_to_end(
+        start_watching(
+            topic.read(), str(out), str(tmp_path / "c"), scored_by(model, keep_factors=False),
+            fast=ONCE_THROUGH, slow=ONCE_THROUGH,
         )
-        handler(batch, 0)
-    small, large = (rows(spark.read.parquet(f"{tmp_path}/{n}")) for n in ("small", "large"))
-    assert small == large and len(small) == 10
+    )
+    for name in ("raw_events", "recommendations", "avg_rating_per_item", "alerts/item", "alerts/user"):
+        table = spark.read.parquet(f"{out}/{name}")
+        assert table.count() == 0 and len(table.columns) >= 4
+
+
+def test_progress_of_every_batch_is_kept(spark, topic, tmp_path):
+    """Also of those that the session has forgotten."""
+    for at in range(5):
+        topic.publish((1, 1, 4.0, at))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        table = ProgressTable(spark, str(tmp_path / "progress"), ["kept"])
+        events = watched_events(topic.read())
+        query = to_parquet_append(events, "kept", str(tmp_path / "o"), str(tmp_path / "c"), ONCE_THROUGH)
+        run_to_end([query])
+        table.wait([query])
+        table.stop()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert len(query.recentProgress) <= 2
+    found = read_progress(spark, str(tmp_path / "progress")).where("num_input_rows > 0")
+    assert sorted(r.batch_id for r in found.collect()) == [0, 1, 2, 3, 4]
 
 
 def test_five_queries_give_all_outputs(spark, topic, tmp_path, model, capsys):
@@ -360,3 +390,5 @@ def test_kafka_options():
     assert more["minPartitions"] == "2"
     assert more["maxOffsetsPerTrigger"] == "9"
     assert (more["startingOffsets"], more["failOnDataLoss"]) == ("earliest", "true")
+    other = {"kafka.security.protocol": "SSL", "startingOffsets": "earliest", "groupIdPrefix": "x"}
+    assert kafka_options("b", "t", more=other).items() >= other.items()
