@@ -17,6 +17,7 @@ from rateweave.plans.train_model import (
 )
 from rateweave.plans.watch_events import start_watching
 from rateweave.session import STATE_CONF, build_session
+from rateweave.sinks.models import BUCKETS
 from rateweave.sinks.tables import write_kafka
 from rateweave.sources.kafka import read_kafka_events
 from rateweave.sources.models import load_model
@@ -45,7 +46,7 @@ def _train(args: argparse.Namespace) -> None:
 
 def _precompute(args: argparse.Namespace) -> None:
     build_session("precompute recommendations")
-    precompute_recommendations(args.model, args.candidates)
+    precompute_recommendations(args.model, args.candidates, buckets=args.buckets)
 
 
 def _publish(args: argparse.Namespace) -> None:
@@ -119,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("precompute", help="candidates of all users, for streams")
     job.add_argument("--model", required=True)
     job.add_argument("--candidates", required=True)
+    job.add_argument("--buckets", type=int, default=BUCKETS)
     job.set_defaults(run=_precompute)
 
     job = jobs.add_parser("publish", help="ratings as events on a topic")

@@ -24,7 +24,7 @@ from rateweave.operators.recommend import (
     sample_users,
 )
 from rateweave.session import sized_for
-from rateweave.sinks.models import save_model, save_recommendations
+from rateweave.sinks.models import BUCKETS, save_model, save_recommendations
 from rateweave.sinks.tables import write_metrics
 from rateweave.sources.models import load_model
 from rateweave.sources.ratings import read_ratings
@@ -61,7 +61,11 @@ def sample_recommendations(
 
 
 def precompute_recommendations(
-    model_path: str, out_path: str, top_n: int = TOP_N, over_fetch: int = OVER_FETCH
+    model_path: str,
+    out_path: str,
+    top_n: int = TOP_N,
+    over_fetch: int = OVER_FETCH,
+    buckets: int = BUCKETS,
 ) -> None:
     """Candidates of every user, once per model, for streams to look up.
 
@@ -70,4 +74,4 @@ def precompute_recommendations(
     """
     model, depth = load_model(model_path), top_n * over_fetch
     with sized_for(model.userFactors, model.itemFactors):
-        save_recommendations(recommend_all(model, depth), out_path, depth)
+        save_recommendations(recommend_all(model, depth), out_path, depth, buckets)

@@ -12,7 +12,8 @@ def save_model(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-BUCKETS = 256
+# Folders of a small model's candidates; take more where they are large.
+BUCKETS = 64
 
 
 def user_bucket(buckets: int) -> Column:

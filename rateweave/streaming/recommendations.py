@@ -61,7 +61,8 @@ class LookedUp:
 
     def __init__(self, spark: SparkSession, path: str, model: ALSModel | None = None) -> None:
         self.depth, self.buckets = saved_depth(spark, path)
-        self.path, self.model = path, model
+        # Files are listed once, not for every batch.
+        self.saved, self.model = read_recommendations(spark, path), model
 
     def __call__(self, users: DataFrame, n: int) -> DataFrame:
         if n > self.depth:
@@ -72,9 +73,8 @@ class LookedUp:
                 )
             return recommend(self.model, users, n)
         read = [row.bucket for row in users.select(user_bucket(self.buckets)).distinct().collect()]
-        saved = read_recommendations(users.sparkSession, self.path)
         return (
-            saved.where(F.col("bucket").isin(read))
+            self.saved.where(F.col("bucket").isin(read))
             .join(users, "user_id", "left_semi")
             .select("user_id", F.slice("recommendations", 1, n).alias("recommendations"))
         )
