@@ -46,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # "local" or "local[...]"; "local-cluster[...]" has executors of its own.
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError(
             "spark.checkpoint.dir is not set: name a folder shared by all executors"
         )

@@ -92,7 +92,9 @@ class _Cluster:
         master = "spark://head:7077"
 
 
-def test_no_machine_local_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["spark://head:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_no_machine_local_folder_on_a_cluster(monkeypatch, master):
+    monkeypatch.setattr(_Cluster.sparkContext, "master", master)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(_Cluster)
 
