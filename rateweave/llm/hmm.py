@@ -274,7 +274,7 @@ def first_params(class_counts: np.ndarray, states: int) -> Params:
     """Emissions near the corpus shares, disturbed by a hash; states that tend to stay."""
     share = (class_counts + 1) / (class_counts.sum() + len(class_counts))
     key = np.arange(len(share) * states, dtype=np.uint64) + np.uint64(1)
-    noise = words._mix(key * np.uint64(0x9E3779B97F4A7C15)).astype(float) / 2**64
+    noise = words.mix64(key * np.uint64(0x9E3779B97F4A7C15)).astype(float) / 2**64
     emit = share[:, None] * (0.25 + noise.reshape(len(share), states))
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * 0.9
     return Params(

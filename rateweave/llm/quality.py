@@ -74,8 +74,8 @@ def _repeated(hashes: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     if len(hashes) < 3:
         return np.zeros(n_docs, np.int64)
     a, b, c = hashes[:-2], hashes[1:-1], hashes[2:]
-    window = words._mix(words._mix(words._mix(a) + b) + c)
-    window = words._mix(window + doc[:-2].astype(np.uint64))
+    window = words.mix64(words.mix64(words.mix64(a) + b) + c)
+    window = words.mix64(window + doc[:-2].astype(np.uint64))
     inside = doc[:-2] == doc[2:]
     _, place, times = np.unique(window[inside], return_inverse=True, return_counts=True)
     again = np.flatnonzero(inside)[times[place] > 1]

@@ -15,14 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE = 1 << 22
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash so that every bit depends on every other."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEP = 0xD1342543DE82EF95
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -63,7 +63,7 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
         first, last = begin[at:to] - low, end[at:to] - low
         back = _powers(_BACK, high - low)
         value = (sums[last] - sums[first]) * back[first]
-        out[at:to] = _mix(value + (last - first).astype(np.uint64))
+        out[at:to] = mix64(value + (last - first).astype(np.uint64))
         at = to
     return out
 
