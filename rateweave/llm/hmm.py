@@ -30,6 +30,7 @@ FOLDS, HELD = 7, 2
 # Documents run side by side, token by token. A longer one is cut into stretches of
 # so many tokens, which run side by side too.
 STRETCH = 4096
+GROUP_TOKENS = 1 << 20
 BLOCK_CHARS = 1 << 23
 END = np.uint64(0x9B05688C2B3E6C1F)
 SCALE_EVERY = 8
@@ -58,7 +59,6 @@ class Layout(NamedTuple):
     doc: np.ndarray
     at: list[np.ndarray]  # at[j]: the j-th stretch of each document that has one
     last: np.ndarray  # whether a stretch ends its document
-    active: np.ndarray  # how many stretches are longer than l
 
 
 def layout(sizes: np.ndarray) -> Layout:
@@ -71,8 +71,7 @@ def layout(sizes: np.ndarray) -> Layout:
     doc, number, begin, size = doc[order], number[order], begin[order], size[order]
     by_number = np.lexsort((doc, number))
     cuts = np.searchsorted(number[by_number], np.arange(1, int(count.max(initial=0))))
-    active = len(size) - np.cumsum(np.bincount(size, minlength=STRETCH + 1))[:STRETCH]
-    return Layout(begin, size, doc, np.split(by_number, cuts), number == count[doc] - 1, active)
+    return Layout(begin, size, doc, np.split(by_number, cuts), number == count[doc] - 1)
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:
@@ -98,14 +97,9 @@ def _transfers(classes: np.ndarray, lay: Layout, params: Params) -> np.ndarray:
     return out
 
 
-def forward(classes: np.ndarray, lay: Layout, params: Params, transfers: np.ndarray):
-    """Filtered state chances of each stretch and token, and ln-likelihood per stretch.
-
-    The state at the start of every stretch comes from the products of those before
-    it, so all stretches run at once; scaling at each token gives the likelihood.
-    """
-    k = len(params.start)
-    ahead = np.empty((len(lay.begin), k))
+def entering(lay: Layout, params: Params, transfers: np.ndarray) -> np.ndarray:
+    """State chances ahead of each stretch, by the products of those before it."""
+    ahead = np.empty((len(lay.begin), len(params.start)))
     for j, here in enumerate(lay.at):
         if j == 0:
             ahead[here] = params.start
@@ -113,17 +107,27 @@ def forward(classes: np.ndarray, lay: Layout, params: Params, transfers: np.ndar
             before = lay.at[j - 1][entry_rows(lay, j)]
             passed = np.einsum("ns,nst->nt", ahead[before], transfers[before])
             ahead[here] = passed / passed.sum(axis=1, keepdims=True)
-    alpha = []
-    total = np.zeros(len(lay.begin))
-    for n in range(STRETCH):
-        m = lay.active[n]
-        if not m:
-            break
-        own = ahead[:m] * params.emit[classes[lay.begin[:m] + n]]
+    return ahead
+
+
+def forward(classes, lay: Layout, params: Params, chosen, ahead, keep: bool):
+    """Filtered state chances of each token, and ln-likelihood, of the ``chosen`` stretches.
+
+    Stretches start from the chances ``ahead``, so they run at once; scaling at each
+    token gives the likelihood.
+    """
+    ahead, size, begin = ahead.copy(), lay.size[chosen], lay.begin[chosen]
+    alpha, total = [], np.zeros(len(begin))
+    longer = len(size) - np.cumsum(np.bincount(size, minlength=STRETCH + 1))
+    for n in range(int(size.max(initial=0))):
+        m = longer[n]  # the longest come first
+        own = ahead[:m] * params.emit[classes[begin[:m] + n]]
         norm = own.sum(axis=1, keepdims=True)
-        alpha.append(own / norm)
+        own /= norm
         total[:m] += np.log(norm[:, 0])
-        ahead[:m] = alpha[n] @ params.move
+        ahead[:m] = own @ params.move
+        if keep:
+            alpha.append(own)
     return alpha, total
 
 
@@ -158,11 +162,21 @@ def backward(classes, lay: Layout, params: Params, alpha, chosen, after, collect
     return after
 
 
+def groups(size: np.ndarray) -> list[np.ndarray]:
+    """Stretches, in order, in groups of some ``GROUP_TOKENS`` tokens."""
+    number = (np.cumsum(size) - size) // GROUP_TOKENS
+    return np.split(np.arange(len(size)), np.flatnonzero(np.diff(number)) + 1)
+
+
 def expected_counts(classes: np.ndarray, sizes: np.ndarray, params: Params):
-    """Expected starts, moves and emissions of some documents, and their ln-likelihood."""
+    """Expected starts, moves and emissions of some documents, and their ln-likelihood.
+
+    What enters each stretch from both sides is found first; then some stretches at
+    a time are worked on, so memory does not grow with the length of a document.
+    """
     lay, k = layout(sizes), len(params.start)
     transfers = _transfers(classes, lay, params)
-    alpha, total = forward(classes, lay, params, transfers)
+    ahead = entering(lay, params, transfers)
     after = np.ones((len(lay.begin), k))
     ends = np.flatnonzero(lay.last)
     entry = np.empty_like(after)
@@ -171,21 +185,27 @@ def expected_counts(classes: np.ndarray, sizes: np.ndarray, params: Params):
         before = lay.at[j - 1][entry_rows(lay, j)]
         after[before] = entry[lay.at[j]]
         entry[before] = _scaled(np.einsum("nst,nt->ns", transfers[before], after[before]))
-    moves = np.zeros((k, k))
-    backward(classes, lay, params, alpha, np.arange(len(lay.begin)), after, moves)
-    token = np.concatenate([lay.begin[: len(a)] + n for n, a in enumerate(alpha)])
-    seen = np.concatenate(alpha)
-    emits = np.stack(
-        [np.bincount(classes[token], seen[:, s], len(params.emit)) for s in range(k)], axis=1
-    )
-    starts = alpha[0][lay.at[0]].sum(axis=0)
-    return starts, moves * params.move, emits, total.sum()
+    starts, moves, emits, log = np.zeros(k), np.zeros((k, k)), np.zeros((len(params.emit), k)), 0.0
+    first = np.zeros(len(lay.begin), bool)
+    if lay.at:
+        first[lay.at[0]] = True
+    for chosen in groups(lay.size):
+        alpha, total = forward(classes, lay, params, chosen, ahead[chosen], keep=True)
+        backward(classes, lay, params, alpha, chosen, after[chosen], moves)
+        token = np.concatenate([lay.begin[chosen[: len(a)]] + n for n, a in enumerate(alpha)])
+        seen = np.concatenate(alpha)
+        for s in range(k):
+            emits[:, s] += np.bincount(classes[token], seen[:, s], len(params.emit))
+        starts += alpha[0][first[chosen]].sum(axis=0)
+        log += total.sum()
+    return starts, moves * params.move, emits, log
 
 
 def likelihood(classes: np.ndarray, sizes: np.ndarray, params: Params) -> np.ndarray:
     """Exact ln-likelihood of each document, by the scaled forward recursion."""
     lay = layout(sizes)
-    _, total = forward(classes, lay, params, _transfers(classes, lay, params))
+    ahead = entering(lay, params, _transfers(classes, lay, params))
+    _, total = forward(classes, lay, params, np.arange(len(lay.begin)), ahead, keep=False)
     return np.bincount(lay.doc, total, len(sizes))
 
 

@@ -38,6 +38,7 @@ def slow_counts(classes, sizes, params):
 @pytest.mark.parametrize("stretch", [4, 64, 4096])
 def test_counts_and_likelihood_equal_the_plain_recursion(stretch, monkeypatch):
     monkeypatch.setattr(hmm, "STRETCH", stretch)
+    monkeypatch.setattr(hmm, "GROUP_TOKENS", 150)
     rng = np.random.default_rng(stretch)
     states, size = 3, 16
     params = hmm.Params(
