@@ -639,13 +639,13 @@ def als_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split_on_disk(spark, sf_dir)
     trial = model.train_eval(train, test)
     miss = F.pow(F.col("prediction").cast("double") - F.col("rating").cast("double"), 2)
-    sides = model.split_counts(train.unionAll(test)).select("train_rows", "test_rows")
+    sides = model.split_counts(train.unionAll(test)).first()
     return (
         model.predict(trial.model, test)
         .agg(F.count("*").alias("predicted_rows"), F.avg(miss).alias("square"))
-        .crossJoin(sides)
         .select(
-            F.lit(trial.config.rank).alias("rank"), "train_rows", "test_rows", "predicted_rows",
+            F.lit(trial.config.rank).alias("rank"), F.lit(sides.train_rows).cast("bigint").alias("train_rows"),
+            F.lit(sides.test_rows).cast("bigint").alias("test_rows"), "predicted_rows",
             (F.abs(F.sqrt("square") - trial.rmse) < 1e-9).alias("same_rmse"),
         )
     )
