@@ -14,10 +14,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep, pieces, text_mark, whole_rows
+from rateweave.llm.tables import id_text, join_id, keep, pieces, text_mark, whole_rows
 from rateweave.llm.words import WORD
 
 WEIGHTS = (1, 2, 3)
@@ -222,19 +222,21 @@ def mix(
     )
 
 
+def _source_key(name: str) -> Column:
+    """A source as it is joined by: null is a source of its own."""
+    source = F.col(name).cast("string")
+    return F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source)).alias("source_key")
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row as often as :func:`mix` takes it; all columns stay."""
-    taken = mix(docs, **options).groupBy("doc_id", "text_mark", "source").agg(F.sum("copies").alias("times"))
-    taken = taken.where("times > 0").select(
-        F.col("doc_id").alias("taken_id"), F.col("text_mark").alias("taken_mark"),
-        F.col("source").alias("taken_source"), "times",
-    )
-    same = (
-        F.col("id").eqNullSafe(F.col("taken_id"))
-        & F.col("row.source").cast("string").eqNullSafe(F.col("taken_source"))
-        & (F.col("mark") == F.col("taken_mark"))
+    taken = mix(docs, **options).select(
+        join_id().alias("id"), F.col("text_mark").alias("mark"), _source_key("source"), "copies"
     )
+    keys = ["id", "mark", "source_key"]
+    taken = taken.groupBy(keys).agg(F.sum("copies").alias("times")).where("times > 0")
     # Rows equal in id, source and text share their copies: one of them carries all.
-    joined = whole_rows(docs).join(taken, same).dropDuplicates(["taken_id", "taken_source", "taken_mark"])
+    rows = whole_rows(docs).select("*", _source_key("row.source"))
+    joined = rows.join(taken, keys).dropDuplicates(keys)
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
     return joined.select("row", copies.alias("copy")).select("row.*")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep, text_mark, whole_rows
+from rateweave.llm.tables import id_text, join_id, keep, text_mark, whole_rows
 
 # Fixed patterns and least lengths of the strong kinds.
 ASSIGN = re.compile(
@@ -186,12 +186,11 @@ def hide_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     found = find_secrets(docs, scope)
     hidden = F.filter("found", lambda x: x.kind != KINDS.index("endpoint"))
     found = found.select(
-        F.col("doc_id").alias("found_id"), F.col("text_mark").alias("found_mark"), hidden.alias("spans")
+        join_id().alias("id"), F.col("text_mark").alias("mark"), hidden.alias("spans")
     )
     # Copies have the same spans.
-    found = found.where(F.size("spans") > 0).dropDuplicates(["found_id", "found_mark"])
-    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("mark") == F.col("found_mark"))
-    joined = whole_rows(docs).join(found, same, "left")
+    found = found.where(F.size("spans") > 0).dropDuplicates(["id", "mark"])
+    joined = whole_rows(docs).join(found, ["id", "mark"], "left")
     hide = F.pandas_udf(_hide, "string")
     text = hide(F.col("row.text"), F.col("spans.start"), F.col("spans.stop"))
     changed = joined.select("row", F.col("spans").isNotNull().alias("changed"), text.alias("text"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rateweave.llm import words
 from rateweave.llm.components import components
-from rateweave.llm.tables import id_text, keep, text_mark, whole_rows
+from rateweave.llm.tables import id_text, join_id, keep, text_mark, whole_rows
 
 SHINGLE = 3
 SEED = 42
@@ -224,10 +224,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     near = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")).alias("f")
     kept = near.groupBy("component").agg(first).select(
-        F.col("f.doc_id").alias("kept_id"), F.col("f.text_mark").alias("kept_mark")
+        join_id("f.doc_id").alias("id"), F.col("f.text_mark").alias("mark")
     )
-    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark"))
-    joined = whole_rows(docs).join(kept, same).dropDuplicates(["kept_id", "kept_mark"])
+    # Both steps need the same partitioning: the texts are shuffled once.
+    joined = whole_rows(docs).join(kept, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
     return joined.select("row.*")
 
 

@@ -34,9 +34,16 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
     Whatever the documents' columns are called, they cannot clash with a join's own.
     """
-    return docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_mark().alias("mark")
-    )
+    return docs.select(F.struct("*").alias("row"), join_id().alias("id"), text_mark().alias("mark"))
+
+
+def join_id(name: str = "doc_id") -> Column:
+    """An id as text, empty for null: equal where the ids are, with plain equality.
+
+    A null-safe comparison would join by other expressions than the columns
+    themselves, and grouping by them afterwards would shuffle the texts again.
+    """
+    return F.coalesce(F.col(name).cast("long").cast("string"), F.lit(""))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
