@@ -41,3 +41,11 @@ def test_ratio_is_of_all_grams(spark):
     docs = spark.createDataFrame([(1, "aaaa aaaa"), (2, "bbbb bbbb")], "doc_id long, text string")
     raw = quality.gram_counts(docs)
     assert raw.sum() == 2 * (len("aaaa aaaa") + 1 - 3)
+
+
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(20_200).selectExpr("id AS doc_id", "concat('text ', hex(xxhash64(id))) AS text")
+    # All are trusted, so both multinomials are the same.
+    assert quality.judge(docs, docs).where("llr <> 0").count() == 0
+    ratios = quality.judge(docs, docs, trusted_block=6_000).selectExpr("max(abs(llr)) AS most").first()
+    assert ratios.most < 0.01
