@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +37,8 @@ STEM = (3, 8)
 WORD = re.compile(r"[^\W\d_]+")
 DENSE = 4
 MOST_CACHED = 1 << 18
+# Characters looked at together; bounds the memory of :func:`capitals`.
+SLICE = 1 << 20
 
 
 def word_features(word: str) -> tuple[int, ...]:
@@ -47,14 +50,27 @@ def word_features(word: str) -> tuple[int, ...]:
     )
 
 
+@cache
+def _upper() -> np.ndarray:
+    return np.fromiter(map(str.isupper, map(chr, range(0x110000))), bool, 0x110000)
+
+
+def capitals(text: str) -> int:
+    """Upper-case characters of the whole text."""
+    found = 0
+    for at in range(0, len(text), SLICE):
+        part = text[at : at + SLICE].encode("utf-32-le", "surrogatepass")
+        found += int(np.count_nonzero(_upper()[np.frombuffer(part, np.uint32)]))
+    return found
+
+
 def dense_features(text: str, words: list[str], distinct: int) -> list[float]:
     """Shares of symbols and capitals, repetition of words, and one for all texts."""
     size = max(1, len(text))
     symbols = sum(text.count(c) for c in "#*$%&|<>")
-    capitals = sum(map(str.isupper, text[:: max(1, size // 2000)]))
     return [
         min(1.0, 10 * symbols / size),
-        capitals / max(1, len(text[:: max(1, size // 2000)])),
+        capitals(text) / size,
         1 - distinct / max(1, len(words)),
         1.0,
     ]

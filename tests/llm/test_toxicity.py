@@ -18,6 +18,12 @@ def test_unseen_documents_are_told_apart(spark, small_dir):
     assert kept == {r.doc_id for r in toxicity.classify(docs, model).where("NOT toxic").collect()}
 
 
+def test_capitals_are_counted_over_the_whole_text():
+    for text in ("Abcdefghi\n" * 2_000, "aBcdefghi\n" * 2_000, "É\U0001d400ǅ\ud800x" * 300_000, "Ab", ""):
+        share = toxicity.dense_features(text, [], 0)[1]
+        assert share == sum(map(str.isupper, text)) / max(1, len(text))
+
+
 def rows_of(n, rng):
     """Two features and noise; the second label follows from the first one."""
     first, second = rng.random(n) < 0.5, rng.random(n) < 0.5
