@@ -43,13 +43,21 @@ def gram_buckets(data: np.ndarray, bits: int = BUCKET_BITS, gram: int = GRAM) ->
     return (key * np.uint32(2654435761)) >> np.uint32(32 - bits)
 
 
+def own_grams(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text of every gram that lies in one text and the line break after it."""
+    data, starts = words.joined(texts, lower=False)
+    buckets = gram_buckets(data, bits)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(starts, append=len(data)))
+    inside = doc[: len(buckets)] == doc[len(data) - len(buckets) :]
+    return buckets[inside], doc[: len(buckets)][inside]
+
+
 def _count(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
     total = np.zeros(1 << bits, np.int64)
     for batch in batches:
         texts = batch.text.tolist()
         for a, b in words.batches(texts):
-            data, _ = words.joined(texts[a:b], lower=False)
-            total += np.bincount(gram_buckets(data, bits), minlength=1 << bits)
+            total += np.bincount(own_grams(texts[a:b], bits)[0], minlength=1 << bits)
     (some,) = total.nonzero()
     yield pd.DataFrame({"bucket": some, "n": total[some]})
 
@@ -126,9 +134,7 @@ def rule_features(texts: list[str | None]) -> dict[str, np.ndarray]:
 
 
 def _ratios(texts: list[str | None], weight: np.ndarray, bits: int) -> np.ndarray:
-    data, starts = words.joined(texts, lower=False)
-    buckets = gram_buckets(data, bits)
-    doc = words.owner(np.arange(len(buckets)), starts)
+    buckets, doc = own_grams(texts, bits)
     n = np.bincount(doc, minlength=len(texts))
     return np.bincount(doc, weights=weight[buckets], minlength=len(texts)) / np.maximum(n, 1)
 
@@ -163,7 +169,8 @@ def judge(
     text has no words and fails; null ids are never trusted; without any trusted
     document every ratio only tells the smoothing apart from the corpus; an empty
     table gives no rows. Words and windows are compared by 64-bit hashes, windows
-    only within a document. A long text is taken whole.
+    only within a document, and so are n-grams: a text's ratio does not depend on
+    its neighbours. A long text is taken whole.
     """
     docs = docs.select(id_text("doc_id"), "text")
     raw = gram_counts(docs, bits)
