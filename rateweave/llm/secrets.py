@@ -32,10 +32,10 @@ KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
 # Weak candidates: the span reported is the whole match.
 WEAK_ID = re.compile(
     r"""\b(?:access_key_id|client_id|account_id|user_?name|login)["']?\x20*[:=]\x20*["']?"""
-    r"""[A-Za-z0-9_.@-]{3,64}""",
+    r"""[A-Za-z0-9_.@-]{3,}+""",
     re.IGNORECASE | re.ASCII,
 )
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,88}={0,2}(?![A-Za-z0-9+/=])")
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]+")
 
 # Parts that complete each other lie at most so many code points apart.
@@ -63,19 +63,27 @@ def strong_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted((start, kind, stop) for start, stop, kind in out)
 
 
+def _mixed(run: str) -> bool:
+    return all(re.search(kind, run) for kind in ("[0-9]", "[A-Z]", "[a-z]"))
+
+
 def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Weak candidates that do not overlap a strong span."""
+    """Weak candidates that do not overlap a strong span.
+
+    Of an identifier or mixed string that runs into a strong span, the part before
+    that span is the candidate, if it is one by itself.
+    """
     out = [(*m.span(), 3) for m in WEAK_ID.finditer(text)]
-    out += [
-        (*m.span(), 4)
-        for m in WEAK_SECRET.finditer(text)
-        if re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])
-    ]
+    out += [(*m.span(), 4) for m in WEAK_SECRET.finditer(text) if _mixed(m[0])]
     out += [(*m.span(), 5) for m in ENDPOINT.finditer(text)]
     taken, at, kept = [(a, b) for a, _, b in strong], 0, []
     for start, stop, kind in sorted(out):
         while at < len(taken) and taken[at][1] <= start:
             at += 1
+        if at < len(taken) and start < taken[at][0] < stop and kind in (3, 4):
+            part = (WEAK_ID, WEAK_SECRET)[kind - 3].match(text, start, taken[at][0])
+            if part and (kind == 3 or _mixed(part[0])):
+                stop = part.end()
         if at == len(taken) or taken[at][0] >= stop:
             kept.append((start, kind, stop))
     return kept

@@ -54,6 +54,18 @@ def test_weak_parts_are_reported_only_together(spark):
     assert [s.split(":")[0] for s in endpoint.split(",")] == ["endpoint", "assign", "endpoint"]
 
 
+def test_weak_parts_of_any_length_are_whole(spark):
+    token, name = "Ab3" * 40, "user_name = " + "bob." * 30
+    pair, url, cut = found(
+        spark, f"{name} {token}==", f"https://db.example.com {'Xy9' * 5_000}", f"{name}{'deadbeef' * 4}"
+    )
+    assert pair == f"weak_id:0:{len(name)},weak_secret:{len(name) + 1}:{len(name) + 123}"
+    assert url == "endpoint:0:22,weak_secret:23:15023"
+    assert cut == f"weak_id:0:{len(name)},hex:{len(name)}:{len(name) + 32}"
+    docs = spark.createDataFrame([(1, f"{name} {token}")], "doc_id long, text string")
+    assert secrets.hide_secrets(docs).first().text == f"{secrets.HIDDEN} {secrets.HIDDEN}"
+
+
 def test_hidden_secrets_leave_the_rest(spark):
     docs = spark.createDataFrame(
         [(1, "x token = abcdef1234 y", 22, "s"), (2, "clean", 5, "s"), (3, None, None, "s")],
