@@ -10,17 +10,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, keep
+from rateweave.llm.tables import id_text, keep, text_mark
 
 # Category and the condition on the labels that makes it true, in the chain's order.
 CATEGORIES = {
@@ -37,8 +36,6 @@ STEM = (3, 8)
 WORD = re.compile(r"[^\W\d_]+")
 DENSE = 4
 MOST_CACHED = 1 << 18
-# Characters looked at together; bounds the memory of :func:`capitals`.
-SLICE = 1 << 20
 
 
 def word_features(word: str) -> tuple[int, ...]:
@@ -50,18 +47,9 @@ def word_features(word: str) -> tuple[int, ...]:
     )
 
 
-@cache
-def _upper() -> np.ndarray:
-    return np.fromiter(map(str.isupper, map(chr, range(0x110000))), bool, 0x110000)
-
-
 def capitals(text: str) -> int:
     """Upper-case characters of the whole text."""
-    found = 0
-    for at in range(0, len(text), SLICE):
-        part = text[at : at + SLICE].encode("utf-32-le", "surrogatepass")
-        found += int(np.count_nonzero(_upper()[np.frombuffer(part, np.uint32)]))
-    return found
+    return sum(text.count(c) for c in set(text) if c.isupper())
 
 
 def dense_features(text: str, words: list[str], distinct: int) -> list[float]:
@@ -80,7 +68,7 @@ def _count(batches: Iterator[pd.DataFrame], n_labels: int) -> Iterator[pd.DataFr
     counts: dict[int, np.ndarray] = {}
     for batch in batches:
         for text, labels in zip(batch.text, batch.labels, strict=True):
-            own = np.array([1, *labels], np.int64)
+            own = np.array([1, *[v > 0 for v in labels]], np.int64)
             words = set(WORD.findall((text or "").lower()))
             for key in {f for word in words for f in word_features(word)}:
                 if key in counts:
@@ -122,7 +110,7 @@ def _describe(batches: Iterator[pd.DataFrame], place: dict[int, int]) -> Iterato
     for batch in batches:
         rows = list(_present(batch.text.tolist(), place))
         batch["sparse"], batch["dense"] = [r[0] for r in rows], [r[1] for r in rows]
-        yield batch[["doc_id", "labels", "sparse", "dense"]]
+        yield batch[["doc_id", "text_mark", "labels", "sparse", "dense"]]
 
 
 class Rows(NamedTuple):
@@ -181,17 +169,21 @@ def fit(rows: Rows, goal: np.ndarray, rounds: int = 150, penalty: float = 0.3) -
 
 
 def fit_chain(rows: Rows, labels: np.ndarray, folds: int = FOLDS) -> list[np.ndarray]:
-    """Weights of each category's model; earlier probabilities are out of fold."""
+    """Weights of each category's model; earlier probabilities are out of fold.
+
+    A label of -1 is unknown: its row takes no part in fitting that category.
+    """
     fold = np.arange(len(labels)) % folds
     chain, earlier = [], []
     for c in range(labels.shape[1]):
-        seen, goal = rows.with_columns(earlier), labels[:, c].astype(float)
+        seen, goal, known = rows.with_columns(earlier), labels[:, c].astype(float), labels[:, c] >= 0
         unseen = np.zeros(len(goal))
         for f in range(folds):
             if (fold == f).any():
-                model = fit(seen.pick(fold != f), goal[fold != f])
+                others = known & (fold != f)
+                model = fit(seen.pick(others), goal[others])
                 unseen[fold == f] = probability(seen.pick(fold == f).times(model))
-        chain.append(fit(seen, goal))
+        chain.append(fit(seen.pick(known), goal[known]))
         earlier.append(unseen)
     return chain
 
@@ -218,18 +210,31 @@ def train(
 ) -> Model:
     """Fit the chain on at most ``sample`` labelled documents, those of least hash.
 
-    Documents without any label value are unlabelled; of repeated labels the
-    largest count; without labels every probability is one half.
+    A category that the labels leave open (null) for a document learns nothing from
+    it, the other categories do; a document without any is unlabelled. Of repeated
+    labels the largest count, of documents with one id and text one row does, and of
+    those that share an id, and so may be many, the texts of least hash within
+    ``sample``. Without labels every probability is one half.
     """
     names = [f"n{i}" for i in range(len(categories))]
     marks = labels.select(
         id_text("doc_id"),
         *[F.expr(f"CAST({rule} AS INT)").alias(n) for n, rule in zip(names, categories.values(), strict=True)],
-    ).dropna()
-    marks = marks.groupBy("doc_id").agg(F.array(*[F.max(n) for n in names]).alias("labels"))
+    ).dropna(subset=["doc_id"]).dropna(how="all", subset=names)
+    marks = marks.groupBy("doc_id").agg(
+        F.array(*[F.coalesce(F.max(n), F.lit(-1)) for n in names]).alias("labels")
+    )
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select(id_text("doc_id"), "text").dropna(subset=["doc_id"])
-    chosen = keep(texts.join(F.broadcast(marks), "doc_id"), "toxic-sample")
+    texts = docs.select(id_text("doc_id"), "text", text_mark().alias("text_mark")).dropna(subset=["doc_id"])
+    labelled = texts.join(F.broadcast(marks), "doc_id")
+    # Ids and marks alone decide which rows are taken: no text is shuffled.
+    rows = labelled.groupBy("doc_id", "text_mark").count()
+    order = (F.xxhash64("doc_id"), "doc_id", "text_mark")
+    rows = rows.orderBy(*order).limit(sample).select("doc_id", "text_mark")
+    chosen = labelled.join(F.broadcast(rows), ["doc_id", "text_mark"], "left_semi")
+    one = Window.partitionBy("doc_id", "text_mark").orderBy("text")
+    chosen = chosen.withColumn("row", F.row_number().over(one)).where("row = 1").drop("row")
+    chosen = keep(chosen, "toxic-sample")
 
     n = len(categories)
     schema = "key long, n long, " + ", ".join(f"{x} long" for x in names)
@@ -237,7 +242,7 @@ def train(
     counts = counts.groupBy("key").agg(F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in names])
     counts = keep(counts, "toxic-counts")
     totals = chosen.agg(
-        F.count("*").alias("n"), *[F.sum(F.get("labels", F.lit(i))).alias(x) for i, x in enumerate(names)]
+        F.count("*").alias("n"), *[F.count_if(F.get("labels", F.lit(i)) > 0).alias(x) for i, x in enumerate(names)]
     ).first()
     place: dict[int, int] = {}
     for x in names:
@@ -248,9 +253,10 @@ def train(
         for row in best.select("key").collect():
             place.setdefault(row.key, len(place))
     described = chosen.mapInPandas(
-        lambda it: _describe(it, place), "doc_id string, labels array<int>, sparse array<int>, dense array<double>"
+        lambda it: _describe(it, place),
+        "doc_id string, text_mark long, labels array<int>, sparse array<int>, dense array<double>",
     )
-    rows = described.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    rows = described.orderBy(F.xxhash64("doc_id"), "doc_id", "text_mark").collect()
     features = gather([r.sparse for r in rows], [r.dense for r in rows], len(place))
     marked = np.array([list(r.labels) for r in rows], int).reshape(len(rows), n)
     return Model(tuple(categories), place, fit_chain(features, marked))

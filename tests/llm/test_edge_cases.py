@@ -43,6 +43,20 @@ OPERATORS = {
 }
 
 
+def write_pages(spark):
+    pages = spark.createDataFrame([(1, "u", "a" * 100), (2, "u", "a" * 100)], "page_id long, url string, html string")
+    folder = new_scratch(spark, "warc-few")
+    return warc.read_archives(warc.write_archives(pages, folder), folder)
+
+
+def search_few(spark):
+    return kdtree.top_k(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>"))
+
+
+# Operators on other tables than documents.
+TABLES = {"warc": write_pages, "kdtree": search_few}
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_odd_rows_each_give_a_result(spark, name):
     out = OPERATORS[name](documents(spark, ODD)).collect()

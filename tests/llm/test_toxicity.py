@@ -51,3 +51,60 @@ def test_the_fit_is_the_optimum():
     weights = toxicity.fit(rows, goal, rounds=3000, penalty=1.0)
     gradient = rows.back(toxicity.probability(rows.times(weights)) - goal) + weights
     assert gradient == pytest.approx(np.zeros_like(gradient), abs=1e-3)
+
+
+def test_open_labels_of_one_category_leave_the_others(spark):
+    """The same verdicts whether the quality is known, or null everywhere."""
+    bad = "awful nasty vile words here"
+    docs = spark.createDataFrame(
+        [(i, bad if i % 2 else f"a pleasant walk by the river {i}") for i in range(200)], "doc_id long, text string"
+    )
+    for quality in ("1", "CAST(NULL AS INT)"):
+        labels = docs.selectExpr("doc_id", f"{quality} AS quality", "CAST(doc_id % 2 AS INT) AS toxic")
+        got = toxicity.classify(docs, toxicity.train(docs, labels))
+        assert got.where("toxic").count() == 100, quality
+
+
+def test_an_id_shared_by_many_rows_stays_within_the_sample(spark):
+    docs = spark.range(300).selectExpr("0L AS doc_id", "concat('text ', id % 150) AS text")
+    labels = spark.createDataFrame([(0, 1, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    plain = toxicity.fit_chain
+    toxicity.fit_chain = lambda rows, marked: seen.append(len(marked)) or plain(rows, marked)
+    try:
+        toxicity.train(docs, labels, sample=100)
+        toxicity.train(docs, labels)
+    finally:
+        toxicity.fit_chain = plain
+    assert seen == [100, 150]
+
+
+def plain_chain(rows, labels, folds=3):
+    """The chain as a loop: fold models by a plain gradient descent on dense features."""
+
+    def table(extra):
+        wide = np.zeros((len(labels), rows.n_places))
+        wide[rows.doc, rows.place] = 1
+        return np.column_stack([wide, rows.dense, *extra])
+
+    def slow_fit(x, y):
+        w = np.zeros(x.shape[1])
+        for _ in range(20_000):
+            w -= 0.002 * (x.T @ (toxicity.probability(x @ w) - y) + 0.3 * w)
+        return w
+
+    fold, chain, extra = np.arange(len(labels)) % folds, [], []
+    for label in labels.T:
+        x, out = table(extra), np.zeros(len(labels))
+        for f in range(folds):
+            out[fold == f] = toxicity.probability(x[fold == f] @ slow_fit(x[fold != f], label[fold != f]))
+        chain.append(slow_fit(x, label))
+        extra.append(out)
+    return chain
+
+
+def test_the_chain_equals_a_plain_chain():
+    rows, labels = rows_of(300, np.random.default_rng(3))
+    got = toxicity.fit_chain(rows, labels)
+    for mine, plain in zip(got, plain_chain(rows, labels), strict=True):
+        assert mine == pytest.approx(plain, abs=0.02)
