@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import hmm, kdtree, mixing, packing, pii, quality, secrets, simhash, toxicity, warc
+from rateweave.llm import (
+    hmm, kdtree, mixing, negatives, packing, phrases, pii, quality, secrets, simhash, toxicity, warc,
+)
 from rateweave.llm.tables import table
 from rateweave.session import new_scratch
 
@@ -74,6 +76,16 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth row of ``embeddings``, for each of its positives."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scoring phrases of each language of ``documents``."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_hidden_markov_scores": op1_hidden_markov_scores,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
@@ -85,6 +97,8 @@ QUERIES = {
     "op8_write_archives": op8_write_archives,
     "op9_personal_data": op9_personal_data,
     "op10_mix_sources": op10_mix_sources,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 # The others need a hash, tokenizer or trained model that SQL lacks.
@@ -112,4 +126,63 @@ SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
        CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM payloads LEFT JOIN firsts USING (digest)""",
+    "op11_hard_negatives": """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (
+  SELECT * FROM whole WHERE vec_id % 50 = 0
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM anchors a JOIN whole c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same QUALIFY place <= 5),
+fitting AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+         n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM fitting WHERE rank <= 3""",
+    "op13_phrase_collocations": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+cut AS (
+  SELECT lang, w[i : i + size - 1] AS phrase
+  FROM places, range(1, 6) t(size) WHERE i + size - 1 <= len(w)),
+counts AS (SELECT lang, phrase, count(*) AS a FROM cut GROUP BY ALL HAVING a >= 100),
+candidates AS (SELECT * FROM counts WHERE len(phrase) > 1),
+inside AS (
+  SELECT lang, phrase[i : i + size - 1] AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, len(phrase))) AS i FROM candidates WHERE len(phrase) > 2), range(2, 5) t(size)
+  WHERE size < len(phrase) AND i + size - 1 <= len(phrase) GROUP BY ALL),
+kept AS (
+  SELECT c.lang, c.phrase, c.a FROM candidates c LEFT JOIN inside i
+    ON c.lang = i.lang AND c.phrase = i.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.a),
+cuts AS (SELECT *, unnest(range(1, len(phrase))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n,
+         ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN totals t ON c.lang = t.lang
+  JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[: c.k]
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[c.k + 1 :]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank
+  FROM scored) WHERE rank <= 2000""",
 }

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateweave.session import new_scratch
+from rateweave.session import INITIAL_PARTITIONS, new_scratch, partition_plan, scan_bytes
+
+# Frames without statistics claim to be larger than any table.
+UNKNOWN_BYTES = 1 << 60
 
 
 def keep(frame: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
@@ -53,3 +59,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pieces(rows: int, per_piece: int) -> int:
     """Number of groups that hold some ``per_piece`` rows each."""
     return max(1, -(-rows // per_piece))
+
+
+@contextmanager
+def shuffles_sized_for(frame: DataFrame, times: int = 1) -> Iterator[None]:
+    """Let shuffles inside start from one partition per 128 MB of ``times`` the input.
+
+    Scans keep the session's split size. AQE merges what turns out small.
+    """
+    conf, size = frame.sparkSession.conf, times * scan_bytes(frame)
+    before = conf.get(INITIAL_PARTITIONS, None)
+    if size < UNKNOWN_BYTES:
+        own = int(conf.get("spark.sql.shuffle.partitions"))
+        conf.set(INITIAL_PARTITIONS, partition_plan(size, own)[INITIAL_PARTITIONS])
+    try:
+        yield
+    finally:
+        if before is not None:
+            conf.set(INITIAL_PARTITIONS, before)
+        else:
+            conf.unset(INITIAL_PARTITIONS)

@@ -1,0 +1,115 @@
+"""Collocations against plain counting."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from rateweave.llm import phrases
+
+
+def plain_pieces(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [re.findall(r"[^ \t]+", piece) for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", lower)]
+
+
+def plain_collocations(rows, least, top):
+    counts, totals = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        own = counts.setdefault(lang, Counter())
+        for words in plain_pieces(text):
+            totals[lang] += len(words)
+            for size in range(1, 6):
+                own.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, own in counts.items():
+        some = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        gone = {
+            q[i : i + size]
+            for q, b in some.items() for size in range(2, len(q)) for i in range(len(q) - size + 1)
+            if b >= some[q[i : i + size]]
+        }
+        scored = []
+        for p, a in some.items():
+            if p not in gone:
+                cuts = [(1000 * a * totals[lang] // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                scored.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def prose(n, seed=1):
+    draw = random.Random(seed)
+    words = ["the", "Of", "a\x01b", "é", "zz", "New", "york", "a", "a", "b\x00", "naïve", "x"]
+    marks = [" ", " ", " ", " ", "  ", "\t", ". ", "\n", "\x0b", ";", "\x1c", " "]
+    rows = []
+    for _ in range(n):
+        text = "".join(draw.choice(words) + draw.choice(marks) for _ in range(draw.randrange(0, 60)))
+        rows.append((draw.choice(["en", "en", "fr", None]), draw.choice([text, text, text, "New York City is big.", None])))
+    return rows
+
+
+def test_collocations_equal_plain_counts(spark):
+    rows = [*prose(400), ("en", "long " * 30_000 + "end of it"), ("x", "")]
+    docs = spark.createDataFrame([(r[0], r[1], i) for i, r in enumerate(rows)], "lang string, text string, n long")
+    docs = docs.selectExpr("*", "'mine' AS phrase", "1 AS a", "2 AS total", "3 AS head")
+    for least, top, most in ((5, 50, 1 << 20), (12, 2000, 40)):
+        got = phrases.collocations(docs, least=least, top=top, most_entries=most, burst=4)
+        assert sorted(tuple(r) for r in got.collect()) == plain_collocations(rows, least, top)
+
+
+def test_none_without_frequent_phrases(spark):
+    docs = spark.createDataFrame([("en", "one two three"), ("en", None)], "lang string, text string")
+    assert phrases.collocations(docs).collect() == []
+    assert phrases.collocations(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("cut", [8, 64, 1 << 20])
+def test_slices_and_spills_change_no_count(cut):
+    rows = prose(200, seed=3)
+    frame = pd.DataFrame(rows, columns=["lang", "text"]).fillna({"lang": "und"})
+    for most, burst in ((1 << 20, 1 << 20), (16, 2)):
+        for lowest, longest in ((1, 1), (2, 2), (3, 5)):
+            got = Counter()
+            for run in phrases.count_words(iter([frame]), lowest, longest, None, 1, most, burst, cut):
+                for row in run.itertuples():
+                    words = row.phrase.split(" ")
+                    assert row.head.split(" ") == words[:lowest] and row.n_words == len(words)
+                    for size in range(lowest, len(words) + 1):
+                        got[row.lang, tuple(words[:size])] += row.n
+            want = Counter()
+            for lang, text in rows:
+                for words in plain_pieces(text):
+                    for size in range(lowest, longest + 1):
+                        want.update((lang or "und", tuple(words[i : i + size])) for i in range(len(words) - size + 1))
+            assert got == want
+
+
+def test_a_subtree_is_one_sorted_run():
+    counter = phrases.Counter(2, burst=2)
+    names = [b"", b"b", b"a", b"c"]
+    for words in ((1, 2, 3), (1, 3), (1, 2), (1, 2, 3), (1, 1, 1, 1), (2, 1)):
+        counter.add("en", words)
+    (run,) = counter.spill(names, everything=True)
+    assert run.phrase.tolist() == ["b a", "b a c", "b b b b", "b c", "a b"]
+    assert run.n.tolist() == [1, 2, 1, 1, 1] and counter.total == 0 and not counter.tries
+
+
+def test_the_bit_table_holds_what_it_was_given(spark):
+    given = [("en", f"word{i} other") for i in range(500)]
+    table, bits = phrases.bit_table(spark.createDataFrame(given, "lang string, phrase string"))
+    seed = np.uint64(phrases.language_seed("en"))
+
+    def found(texts):
+        split = [t.encode().split() for t in texts]
+        parts = [np.array([phrases.word_hash(w, 0) for w in ws], np.uint64) ^ seed for ws in zip(*split)]
+        return phrases.present(table, bits, phrases.chained(parts))
+
+    assert found([p for _, p in given]).all()
+    assert found([f"other word{i}" for i in range(10_000)]).mean() < 0.02
