@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rateweave.llm import (
-    hmm, kdtree, mixing, negatives, packing, phrases, pii, quality, secrets, simhash, toxicity, warc,
+    hmm, kdtree, mixing, negatives, packing, phrases, pii, quality, secrets, simhash, toxicity, urls, warc,
 )
 from rateweave.llm.tables import table
 from rateweave.session import new_scratch
@@ -81,11 +81,28 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every url of ``pages``."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.judge(table(spark, sf_dir, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best-scoring phrases of each language of ``documents``."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
+
+
 QUERIES = {
     "op1_hidden_markov_scores": op1_hidden_markov_scores,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
@@ -98,6 +115,7 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_mix_sources": op10_mix_sources,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_url_filter": op12_url_filter,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
@@ -185,4 +203,22 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score,
          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank
   FROM scored) WHERE rank <= 2000""",
+    "op12_url_filter": rf"""
+WITH rules(host, path, verdict) AS (VALUES {_values(URL_RULES)}),
+words(word) AS (VALUES {_values((w,) for w in urls.WORDS)}),
+parts AS (
+  SELECT row_number() OVER () AS i, page_id,
+         translate(coalesce(regexp_extract(url, '{urls.PARTS}', 1), ''), '{urls.CAPITALS}',
+                   '{urls.CAPITALS.lower()}') AS host,
+         coalesce(regexp_extract(url, '{urls.PARTS}', 2), '') AS path
+  FROM pages),
+fitting AS (
+  SELECT i, r.host || r.path AS rule, verdict FROM parts p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY i ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) = 1)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN list_has_any(regexp_split_to_array(host, '[.\-_]'),
+                                                (SELECT list(word) FROM words))
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fitting USING (i)""",
 }

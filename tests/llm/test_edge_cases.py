@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rateweave.llm import hmm, kdtree, mixing, packing, pii, quality, secrets, simhash, toxicity, warc
+from rateweave.llm import (
+    hmm, kdtree, mixing, negatives, packing, phrases, pii, quality, secrets, simhash, toxicity, urls, warc,
+)
 from rateweave.session import new_scratch
 
 LONG = "lorem ipsum dolor " * 20_000
@@ -53,8 +55,25 @@ def search_few(spark):
     return kdtree.top_k(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>"))
 
 
-# Operators on other tables than documents.
-TABLES = {"warc": write_pages, "kdtree": search_few}
+def mine_few(spark):
+    rows = [(0, [1.0], 1), (1, [2.0], 1), (2, [1.0], 2)]
+    return negatives.mine(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+
+
+def judge_few(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/"), (2, None)], "page_id long, url string")
+    rules = spark.createDataFrame([("org", "/", "allow")], "host string, path string, verdict string")
+    return urls.blocked_out(urls.judge(pages, rules).join(pages, "page_id").select(pages.columns), rules)
+
+
+def phrases_of_few(spark):
+    return phrases.collocations(spark.createDataFrame([("en", "a b c d")] * 9, "lang string, text string"), least=3)
+
+
+# Operators on other tables than documents, or with other results.
+TABLES = {
+    "warc": write_pages, "kdtree": search_few, "negatives": mine_few, "urls": judge_few, "phrases": phrases_of_few,
+}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
