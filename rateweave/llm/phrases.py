@@ -13,9 +13,7 @@ never too little: counts stay exact.
 
 from __future__ import annotations
 
-import itertools
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateweave.llm.tables import keep, shuffles_sized_for
+from rateweave.llm.words import word_bounds, word_hashes
 
 LONGEST = 5
 LEAST = 100
@@ -38,61 +37,57 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BURST = 4096
 # Entries of all tries of a task, and distinct words, before subtrees are written out.
 MOST_ENTRIES = 1 << 20
-MOST_WORDS = 1 << 20
+MOST_WORDS = 1 << 18
 # Bytes of text worked on together; longer texts are cut between words.
-SLICE = 1 << 22
+SLICE = 1 << 23
 # Bits of the table of frequent phrases: 16 for each, within these bounds (16 MB).
 FILTER_BITS = (16, 27)
 HASHES = 4
 RUN_ROWS = 1 << 16
 
-# No byte of UTF-8, so no word has it.
-BREAK = b"\xff"
-RUN = "lang string, head string, phrase string, n_words int, n long"
+# Phrases waiting to be added to the tries, sorted and counted together.
+WAITING = 1 << 22
+RUN = "lang string, phrase string, n long"
+# Three word numbers make one 64-bit key.
+NUMBER_BITS, PER_KEY = 21, 3
 
 
 def _byte_table() -> bytes:
+    """A-Z in lower case, and a line break for every byte that ends a piece."""
     table = bytearray(range(256))
     for c in range(ord("A"), ord("Z") + 1):
         table[c] = c + 32
     for c in PIECE_ENDS:
-        table[c] = BREAK[0]
+        table[c] = ord("\n")
     return bytes(table)
 
 
-def slices(texts: list[str | None], table: bytes, most: int = SLICE) -> Iterator[list[bytes]]:
-    """Lower-case words of some texts, with a break after each piece and text.
+def slices(texts: list[str | None], table: bytes, most: int = SLICE) -> Iterator[tuple[bytes, bool]]:
+    """Bytes of texts, a line break after each, some ``most`` at a time.
 
-    What is cut between two slices is not a break: it has none at its end.
+    Cut between texts, or between words of a long one; then the slice is marked as
+    going on.
     """
+    some, size = [], 0
     for text in texts:
         data = (text or "").encode("utf-8", "surrogatepass").translate(table)
         at = 0
-        while at < len(data):
-            to = at + most
-            if to < len(data):
-                ends = [e for e in (data.find(c, to) for c in (b" ", b"\t", BREAK)) if e >= 0]
-                to = min(ends, default=len(data))
-            # After the table, of all white space only spaces and tabs are left.
-            yield data[at:to].replace(BREAK, b" \xff ").split()
-            at = to
-        yield [BREAK]
-
-
-def batched(parts: Iterator[list[bytes]], most: int) -> Iterator[list[bytes]]:
-    """The same words, some ``most`` at a time."""
-    some: list[bytes] = []
-    for part in parts:
-        some += part
-        if len(some) >= most:
-            yield some
-            some = []
+        while len(data) - at > most:
+            ends = [e for e in (data.find(c, at + most) for c in (b" ", b"\t", b"\n")) if e >= 0]
+            to = min(ends, default=len(data))
+            yield b"".join([*some, data[at:to]]), True
+            some, size, at = [], 0, to
+        some += [data[at:], b"\n"]
+        size += len(data) - at + 1
+        if size > most:
+            yield b"".join(some), False
+            some, size = [], 0
     if some:
-        yield some
+        yield b"".join(some), False
 
 
 class Trie:
-    """Counts of word sequences under one first word."""
+    """Counts of word sequences behind the words that lead here."""
 
     __slots__ = ("ends", "held", "below")
 
@@ -134,66 +129,59 @@ class Trie:
             yield before, self.ends
         for words, n in self.held.items():
             yield before + words, n
-        for word, child in (self.below or {}).items():
-            yield from child.entries((*before, word))
+        if self.below is not None:
+            for word, child in self.below.items():
+                yield from child.entries((*before, word))
 
 
 class Counter:
     """Tries of one task, by language and first word."""
 
-    def __init__(self, lowest: int, most: int = MOST_ENTRIES, burst: int = BURST) -> None:
-        self.lowest, self.most, self.burst = lowest, most, burst
+    def __init__(self, most: int = MOST_ENTRIES, burst: int = BURST) -> None:
+        self.most, self.burst = most, burst
         self.tries: dict[tuple[str, int], Trie] = {}
         self.sizes: dict[tuple[str, int], int] = {}
         self.total = 0
 
-    def add(self, lang: str, words: tuple[int, ...], n: int = 1) -> None:
-        own = (lang, words[0])
-        trie = self.tries.get(own)
-        if trie is None:
-            trie, self.sizes[own] = Trie(), 1
-            self.tries[own] = trie
-            self.total += 1
-        new = trie.add(words[1:], n, self.burst)
-        if new:
-            self.sizes[own] += 1
-            self.total += 1
-
-    def full(self) -> bool:
-        return self.total > self.most
-
-    def spill(self, names: list[bytes], everything: bool) -> Iterator[pd.DataFrame]:
+    def add(self, lang: str, phrases: Iterable[tuple[tuple[int, ...], int]]) -> Iterator[None]:
+        """Count phrases, best given in order; stops for a moment each time it is full."""
+        last, trie, burst = None, None, self.burst
+        for words, n in phrases:
+            if words[0] != last:
+                last = words[0]
+                own = (lang, last)
+                trie = self.tries.get(own)
+                if trie is None:
+                    trie = self.tries[own] = Trie()
+                    self.sizes[own] = 1
+                    self.total += 1
+            if trie.add(words[1:], n, burst):
+                self.sizes[own] += 1
+                self.total += 1
+                if self.total > self.most:
+                    yield
+                    last = None
+
+    def spill(self, names: list[str], everything: bool) -> Iterator[pd.DataFrame]:
         """Runs of the largest subtrees, until half of the room is free, or of all."""
-        left = 0 if everything else self.most // 2
         run: list[tuple] = []
+        name = names.__getitem__
         for own in sorted(self.sizes, key=self.sizes.get, reverse=True):
-            if self.total <= left and not everything:
+            if not everything and self.total <= self.most // 2:
                 break
-            run += self._run(own, names)
+            lang, first = own
+            entries = self.tries.pop(own).entries((first,))
+            run += [(lang, " ".join(map(name, words)), n) for words, n in entries]
             self.total -= self.sizes.pop(own)
-            del self.tries[own]
             if len(run) >= RUN_ROWS:
-                yield pd.DataFrame(run, columns=["lang", "head", "phrase", "n_words", "n"])
+                yield _sorted_run(run)
                 run = []
         if run:
-            yield pd.DataFrame(run, columns=["lang", "head", "phrase", "n_words", "n"])
+            yield _sorted_run(run)
 
-    def _run(self, own: tuple[str, int], names: list[bytes]) -> list[tuple]:
-        lang, first = own
-        sorted_words = sorted(
-            ([names[w] for w in words], n) for words, n in self.tries[own].entries((first,))
-        )
-        return [
-            (lang, _text(words[: self.lowest]), _text(words), len(words), n) for words, n in sorted_words
-        ]
 
-
-def _text(words: list[bytes]) -> str:
-    return b" ".join(words).decode("utf-8", "surrogatepass")
-
-
-def word_hash(word: bytes, seed: int) -> int:
-    return xxhash.xxh64_intdigest(word, seed)
+def _sorted_run(run: list[tuple[str, str, int]]) -> pd.DataFrame:
+    return pd.DataFrame(sorted(run), columns=["lang", "phrase", "n"])
 
 
 def chained(parts: list[np.ndarray]) -> np.ndarray:
@@ -220,26 +208,71 @@ def present(table: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
 
 
 def lengths(
-    ids: np.ndarray, hashes: np.ndarray, known: tuple[np.ndarray, int] | None, step: int, longest: int
+    pieces: np.ndarray, hashes: np.ndarray, known: tuple[np.ndarray, int] | None, step: int, longest: int
 ) -> np.ndarray:
-    """Words of the longest phrase to count at each place.
+    """Words of the longest phrase to count that begins at each word.
 
-    It ends before a break (number 0), after ``longest`` words, and where the ``step``
-    words that are looked up together in the table ``known`` are too rare.
+    It ends with its piece, after ``longest`` words, and before ``step`` words that the
+    table ``known`` shows to be too rare together.
     """
-    n = len(ids)
-    words = np.concatenate([ids != 0, np.zeros(longest, bool)])
-    good = np.logical_and.reduce([words[i : i + n] for i in range(step)])
+    n = len(pieces)
+    places = np.arange(n)
+    last = np.append(np.flatnonzero(np.diff(pieces)) + 1, n)
+    size = np.minimum(last[np.searchsorted(last, places, "right")] - places, longest)
     if known is not None:
-        ahead = np.concatenate([hashes, np.zeros(step, np.uint64)])
-        good &= present(*known, chained([ahead[i : i + n] for i in range(step)]))
-    good = np.concatenate([good, np.zeros(longest, bool)])
-    # How many places in a row are good, up to what the longest phrase needs.
-    run, reach = np.zeros(n, np.int64), np.ones(n, bool)
-    for i in range(longest - step + 1):
-        reach &= good[i : i + n]
-        run += reach
-    return np.where(run > 0, run + step - 1, 0)
+        rare = np.ones(n, bool)
+        windows = max(0, n - step + 1)
+        rare[:windows] = ~present(*known, chained([hashes[i : i + windows] for i in range(step)]))
+        next_rare = np.minimum.accumulate(np.where(rare, places, n)[::-1])[::-1]
+        size = np.minimum(size, next_rare - places + step - 1)
+    return size
+
+
+class Numbered:
+    """Numbers of the distinct words of a task, from 1."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.names: list[str] = [""]
+
+    def of(self, data: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Number of each word; within a slice words are told apart by 64 bits."""
+        _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        own = np.empty(len(first), np.int64)
+        for i, (at, to) in enumerate(zip(begin[first].tolist(), end[first].tolist(), strict=True)):
+            word = data[at:to]
+            number = self.numbers.get(word)
+            if number is None:
+                number = self.numbers[word] = len(self.names)
+                self.names.append(word.decode("utf-8", "surrogatepass"))
+            own[i] = number
+        return own[place]
+
+
+def keys_of(numbers: np.ndarray, places: np.ndarray, size: np.ndarray, longest: int) -> np.ndarray:
+    """A row of keys for the phrase at each place: its words' numbers, three to a key."""
+    keys = np.zeros((-(-longest // PER_KEY), len(places)), np.int64)
+    ahead = np.concatenate([numbers, np.zeros(longest, np.int64)])
+    for i in range(longest):
+        word = np.where(size > i, ahead[places + i], 0)
+        keys[i // PER_KEY] |= word << (NUMBER_BITS * (PER_KEY - 1 - i % PER_KEY))
+    return keys
+
+
+def counted(keys: np.ndarray) -> Iterator[tuple[tuple[int, ...], int]]:
+    """The distinct phrases of some keys, as word numbers, and how often each is there."""
+    keys = keys[:, np.lexsort(keys[::-1])]
+    fresh = np.ones(keys.shape[1], bool)
+    fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+    at = np.flatnonzero(fresh)
+    times = np.diff(np.append(at, keys.shape[1])).tolist()
+    mask = (1 << NUMBER_BITS) - 1
+    words = [
+        (key[at] >> (NUMBER_BITS * (PER_KEY - 1 - i)) & mask) for key in keys for i in range(PER_KEY)
+    ]
+    size = sum((w > 0).astype(np.int64) for w in words).tolist()
+    for row, n, k in zip(zip(*(w.tolist() for w in words), strict=True), times, size, strict=True):
+        yield row[:k], n
 
 
 def count_words(
@@ -257,52 +290,47 @@ def count_words(
     A phrase is counted once at each place, with all its beginnings: the longest one
     there. :func:`merged` gives the beginnings their counts.
     """
-    counter, translate = Counter(lowest, most, burst), _byte_table()
+    counter, table, numbered = Counter(most, burst), _byte_table(), Numbered()
+    waiting: dict[str, list[np.ndarray]] = {}
 
-    def numbering() -> defaultdict:
-        fresh: defaultdict = defaultdict(itertools.count().__next__)
-        fresh[BREAK]
-        return fresh
+    def add_waiting() -> Iterator[pd.DataFrame]:
+        for lang, keys in waiting.items():
+            for _ in counter.add(lang, counted(np.concatenate(keys, axis=1))):
+                yield from counter.spill(numbered.names, everything=False)
+        waiting.clear()
 
-    number, hashes = numbering(), np.zeros(1, np.uint64)
-    seeds: dict[str, np.uint64] = {}
+    held = 0
     for batch in batches:
         for lang, texts in batch.groupby("lang", sort=False).text:
-            seed = seeds.setdefault(lang, np.uint64(language_seed(lang)))
-            carried: list[bytes] = []
-            for words in batched(slices(texts.tolist(), translate, cut), cut // 8):
-                words = carried + words
-                # The places of the last words are counted with what follows them.
-                ahead = 0 if words[-1] == BREAK else longest - 1
-                counted = max(0, len(words) - ahead)
-                carried = words[counted:]
-                ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-                if len(number) > len(hashes):
-                    new = itertools.islice(number, len(hashes), None)
-                    more = np.fromiter((word_hash(w, 0) for w in new), np.uint64)
-                    hashes = np.concatenate([hashes, more])
-                size = lengths(ids, hashes[ids] ^ seed, known, step, longest)
-                size[counted:] = 0
-                yield from _add_all(counter, lang, ids, size, number)
-                if len(number) > MOST_WORDS:
-                    yield from counter.spill(list(number), everything=True)
-                    number, hashes = numbering(), np.zeros(1, np.uint64)
-    yield from counter.spill(list(number), everything=True)
-
-
-def _add_all(counter: Counter, lang: str, ids: np.ndarray, size: np.ndarray, number) -> Iterator[pd.DataFrame]:
-    add = counter.add
-    if counter.lowest == 1:
-        words, n = np.unique(ids[size > 0], return_counts=True)
-        for word, times in zip(words.tolist(), n.tolist(), strict=True):
-            add(lang, (word,), times)
-        return
-    places = np.flatnonzero(size >= counter.lowest)
-    listed = ids.tolist()
-    for at, to in zip(places.tolist(), (places + size[places]).tolist(), strict=True):
-        add(lang, tuple(listed[at:to]))
-        if counter.total > counter.most:
-            yield from counter.spill(list(number), everything=False)
+            seed, before = np.uint64(language_seed(lang)), b""
+            for part, goes_on in slices(texts.tolist(), table, cut):
+                data = before + part
+                array = np.frombuffer(data, np.uint8)
+                begin, end = word_bounds(array)
+                pieces = np.searchsorted(np.flatnonzero(array == 10), begin)
+                # The last words of a slice that goes on are counted with the next one.
+                n = len(begin) - (longest - 1 if goes_on else 0)
+                before = data[begin[max(n, 0)] :] if goes_on and longest > 1 and len(begin) else b""
+                if n <= 0:
+                    continue
+                hashes = word_hashes(array, begin, end)
+                size = lengths(pieces, hashes ^ seed, known, step, longest)
+                places = np.flatnonzero(size[:n] >= lowest)
+                # Only words of phrases that are counted get a number.
+                turns = np.bincount(places, minlength=len(begin) + 1)
+                used = np.cumsum(turns - np.bincount(places + size[places], minlength=len(begin) + 1))[:-1] > 0
+                numbers = np.zeros(len(begin), np.int64)
+                numbers[used] = numbered.of(data, begin[used], end[used], hashes[used])
+                waiting.setdefault(lang, []).append(keys_of(numbers, places, size[places], longest))
+                held += len(places)
+                if held > WAITING or len(numbered.names) > MOST_WORDS:
+                    yield from add_waiting()
+                    held = 0
+                if len(numbered.names) > MOST_WORDS:
+                    yield from counter.spill(numbered.names, everything=True)
+                    numbered = Numbered()
+    yield from add_waiting()
+    yield from counter.spill(numbered.names, everything=True)
 
 
 def language_seed(lang: str) -> int:
@@ -315,28 +343,35 @@ def merged(runs: DataFrame, lowest: int, longest: int, least: int) -> DataFrame:
     One shuffle, to the partition of the phrase's first words; there every phrase
     counts for all its beginnings.
     """
-    dealt = runs.repartition("lang", "head")
+    dealt = runs.repartition("lang", _part(F.lit(1), F.lit(lowest)) if lowest < longest else F.col("phrase"))
     if lowest < longest:
-        words = F.split("phrase", " ")
-        sizes = F.sequence(F.lit(lowest), "n_words")
-        dealt = dealt.select("lang", "head", words.alias("words"), "n", F.explode(sizes).alias("n_words"))
-        phrase = F.array_join(F.slice("words", 1, F.col("n_words")), " ")
-        dealt = dealt.select("lang", "head", phrase.alias("phrase"), "n_words", "n")
-    counted = dealt.groupBy("lang", "head", "phrase", "n_words").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least).select("lang", "phrase", "n_words", "n")
+        n_words = F.size(F.split("phrase", " "))
+        dealt = dealt.select("lang", "phrase", "n", F.explode(F.sequence(F.lit(lowest), n_words)).alias("size"))
+        dealt = dealt.select("lang", _part(F.lit(1), F.col("size")).alias("phrase"), "n")
+    summed = dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return summed.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("n_words"), "n")
+
+
+def _part(first: Column, size: Column) -> Column:
+    """Some words of ``phrase``, from the ``first`` one (1 is the first)."""
+    return F.array_join(F.slice(F.split("phrase", " "), first, size), " ")
 
 
 def _mark(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        marks: dict[int, int] = {}
         for lang, phrases in batch.groupby("lang", sort=False).phrase:
-            seed = np.uint64(language_seed(lang))
-            split = [p.encode("utf-8", "surrogatepass").split(b" ") for p in phrases.tolist()]
-            parts = [np.fromiter((word_hash(w, 0) for w in ws), np.uint64) ^ seed for ws in zip(*split, strict=True)]
-            for places in bit_places(chained(parts), bits):
-                for place in places.tolist():
-                    marks[place >> 5] = marks.get(place >> 5, 0) | 1 << (place & 31)
-        yield pd.DataFrame({"cell": list(marks), "mark": list(marks.values())}, dtype="int64")
+            places = bit_places(phrase_hashes(lang, phrases.tolist()), bits)
+            cells, place = np.unique(np.concatenate(places) >> np.uint64(5), return_inverse=True)
+            marks = np.zeros(len(cells), np.int64)
+            np.bitwise_or.at(marks, place, np.int64(1) << (np.concatenate(places) & np.uint64(31)).astype(np.int64))
+            yield pd.DataFrame({"cell": cells.astype(np.int64), "mark": marks})
+
+
+def phrase_hashes(lang: str, phrases: list[str]) -> np.ndarray:
+    """Hashes of phrases of one number of words."""
+    data = np.frombuffer("\n".join([*phrases, ""]).encode("utf-8", "surrogatepass"), np.uint8)
+    hashes = word_hashes(data, *word_bounds(data)) ^ np.uint64(language_seed(lang))
+    return chained(list(hashes.reshape(len(phrases), -1).T))
 
 
 def bit_table(phrases: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> tuple[np.ndarray, int]:
@@ -377,11 +412,6 @@ def count_phrases(
     return frequent.unionAll(pairs).unionAll(more), words.groupBy("lang").agg(F.sum("n").alias("total"))
 
 
-def _part(first: Column, size: Column) -> Column:
-    """Some words of ``phrase``, from the ``first`` one (1 is the first)."""
-    return F.array_join(F.slice(F.split("phrase", " "), first, size), " ")
-
-
 def not_inside(candidates: DataFrame, percent: int = INSIDE_PERCENT) -> DataFrame:
     """Candidates that no longer one contains with ``percent`` of their occurrences."""
     places = F.transform(
