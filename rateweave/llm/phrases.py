@@ -340,18 +340,52 @@ def language_seed(lang: str) -> int:
 def merged(runs: DataFrame, lowest: int, longest: int, least: int) -> DataFrame:
     """``lang, phrase, n_words, n`` of all phrases found at least ``least`` times.
 
-    One shuffle, to the partition of the phrase's first words; there every phrase
-    counts for all its beginnings.
+    One shuffle, to the partition of the phrase's first words. There the runs are
+    merged in order of their words, so that a phrase follows its beginnings and one
+    pass over the rows counts it for them.
     """
-    dealt = runs.repartition("lang", _part(F.lit(1), F.lit(lowest)) if lowest < longest else F.col("phrase"))
-    if lowest < longest:
-        n_words = F.size(F.split("phrase", " "))
-        dealt = dealt.select("lang", "phrase", "n", F.explode(F.sequence(F.lit(lowest), n_words)).alias("size"))
-        dealt = dealt.select("lang", _part(F.lit(1), F.col("size")).alias("phrase"), "n")
-    summed = dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    if lowest == longest:
+        summed = runs.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    else:
+        dealt = runs.repartition("lang", _part(F.lit(1), F.lit(lowest)))
+        in_order = dealt.sortWithinPartitions("lang", F.split("phrase", " "))
+        summed = in_order.mapInPandas(lambda it: sum_beginnings(it, lowest, least), RUN)
     return summed.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("n_words"), "n")
 
 
+def sum_beginnings(batches: Iterator[pd.DataFrame], lowest: int, least: int) -> Iterator[pd.DataFrame]:
+    """Frequent phrases of rows in order, each with what is counted for longer ones."""
+    lang, path, sums, out = None, [], [], []
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            n = sums.pop()
+            if n >= least and len(path) >= lowest:
+                out.append((lang, " ".join(path), n))
+            path.pop()
+            if sums:
+                sums[-1] += n
+
+    for batch in batches:
+        for own, phrase, n in zip(batch.lang.tolist(), batch.phrase.tolist(), batch.n.tolist(), strict=True):
+            words = phrase.split(" ")
+            same = 0
+            if own == lang:
+                for a, b in zip(words, path):
+                    if a != b:
+                        break
+                    same += 1
+            close(same)
+            lang = own
+            path += words[same:]
+            sums += [0] * (len(words) - same)
+            sums[-1] += n
+        yield pd.DataFrame(out, columns=["lang", "phrase", "n"])
+        out.clear()
+    close(0)
+    yield pd.DataFrame(out, columns=["lang", "phrase", "n"]).astype({"n": "int64"})
+
+
 def _part(first: Column, size: Column) -> Column:
     """Some words of ``phrase``, from the ``first`` one (1 is the first)."""
     return F.array_join(F.slice(F.split("phrase", " "), first, size), " ")
