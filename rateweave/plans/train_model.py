@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rateweave.operators.factor_search import FactorSearch
 from rateweave.operators.model import (
     RMSE_GATE,
     TUNING_GRID,
@@ -24,7 +26,7 @@ from rateweave.operators.recommend import (
     sample_users,
 )
 from rateweave.session import sized_for
-from rateweave.sinks.models import BUCKETS, save_model, save_recommendations
+from rateweave.sinks.models import BUCKETS, save_model, save_ranked, save_recommendations
 from rateweave.sinks.tables import write_metrics
 from rateweave.sources.models import load_model
 from rateweave.sources.ratings import read_ratings
@@ -75,3 +77,15 @@ def precompute_recommendations(
     model, depth = load_model(model_path), top_n * over_fetch
     with sized_for(model.userFactors, model.itemFactors):
         save_recommendations(recommend_all(model, depth), out_path, depth, buckets)
+
+
+def precompute_ranked(
+    model_path: str, out_path: str, depth: int = TOP_N * OVER_FETCH, digits: int | None = 2
+) -> None:
+    """Ranked lists of every user, once per model, for point lookups."""
+    model = load_model(model_path)
+    search = FactorSearch.of(model)
+    everyone = model.userFactors.select(F.col("id").alias("user_id"))
+    with sized_for(model.userFactors, model.itemFactors):
+        save_ranked(search.lists(everyone, depth, digits), out_path, depth, digits)
+    search.release()

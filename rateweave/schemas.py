@@ -47,3 +47,21 @@ RECOMMENDATIONS = T.StructType(
         ),
     ]
 )
+
+# Items in ranking order, best first.
+RANKED = T.StructType(
+    [
+        T.StructField("user_id", T.IntegerType()),
+        T.StructField(
+            "recommendations",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("item_id", T.IntegerType()),
+                        T.StructField("predicted_rating", T.FloatType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)

@@ -41,3 +41,29 @@ def save_recommendations(
         F.lit(depth).alias("depth"), F.lit(buckets).alias("buckets")
     )
     about.write.mode("overwrite").parquet(f"{path}/about")
+
+
+# Rows of a page, the least that a lookup by user reads.
+PAGE_ROWS = 512
+
+
+def save_ranked(lists: DataFrame, path: str, depth: int, digits: int | None) -> None:
+    """Write ``user_id, recommendations`` for point lookups, clustered by user.
+
+    Files, row groups and pages hold a range of users each, and row groups a Bloom
+    filter of them: a reader that asks for a few ids skips the rest. There are as many
+    files as the shuffle has partitions of the advised size, whatever the size. The
+    lists have ``depth`` items in ranking order, with ratings rounded to ``digits``.
+    """
+    in_order = lists.select("user_id", "recommendations").repartitionByRange("user_id")
+    (
+        in_order.sortWithinPartitions("user_id")
+        .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#user_id", "true")
+        .option("parquet.page.row.count.limit", PAGE_ROWS)
+        .parquet(f"{path}/ranked")
+    )
+    about = lists.sparkSession.range(1).select(
+        F.lit(depth).alias("depth"), F.lit(digits).cast("int").alias("digits")
+    )
+    about.write.mode("overwrite").parquet(f"{path}/about")

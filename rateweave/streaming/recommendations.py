@@ -9,6 +9,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateweave.operators.factor_search import FactorSearch, ranked_rows, with_seen
 from rateweave.operators.recommend import (
     OVER_FETCH,
     TOP_N,
@@ -18,7 +19,12 @@ from rateweave.operators.recommend import (
     rerank_top_n,
 )
 from rateweave.sinks.models import user_bucket
-from rateweave.sources.models import read_recommendations, saved_depth
+from rateweave.sources.models import (
+    ranked_depth,
+    read_ranked,
+    read_recommendations,
+    saved_depth,
+)
 from rateweave.streaming.shared import WriteBatch
 
 DIGITS = 2
@@ -161,3 +167,106 @@ def recommendation_handler(
     over_fetch: int = OVER_FETCH,
 ) -> RecommendationHandler:
     return RecommendationHandler(candidates, write, top_n, over_fetch)
+
+
+# ``user_id, seen`` of distinct users -> ``user_id, item_id, predicted_rating, rank``
+Finder = Callable[[DataFrame], DataFrame]
+
+
+class SearchUnseen:
+    """The best items a user has not seen, searched in a model's factors.
+
+    Equal to scoring all items, leaving out the seen ones and ranking the rest.
+    """
+
+    def __init__(self, search: FactorSearch, top_n: int = TOP_N, digits: int | None = DIGITS) -> None:
+        self.search, self.top_n, self.digits = search, top_n, digits
+
+    def __call__(self, users: DataFrame) -> DataFrame:
+        return self.search.top(users, self.top_n, self.digits)
+
+
+class LookUpUnseen:
+    """What :class:`SearchUnseen` gives, looked up in lists saved once per model.
+
+    The ids of up to ``most_ids`` users are pushed into the read, which then skips
+    files, row groups and pages without them; more users read the table. Users who have
+    seen so much that their saved list may not do are searched for; without a
+    ``search`` they are an error.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        search: FactorSearch | None = None,
+        top_n: int = TOP_N,
+        most_ids: int = 4096,
+    ) -> None:
+        self.depth, self.digits = ranked_depth(spark, path)
+        if top_n > self.depth:
+            raise ValueError(f"{top_n} items per user are asked for, {self.depth} were saved")
+        # Files are listed once, not for every batch.
+        self.saved, self.search = read_ranked(spark, path), search
+        self.top_n, self.most_ids = top_n, most_ids
+        # Beyond this many ids Spark asks Parquet for their range instead of for them.
+        limit = "spark.sql.parquet.pushdown.inFilterThreshold"
+        spark.conf.set(limit, str(max(most_ids, int(spark.conf.get(limit)))))
+
+    def of_users(self, ids: list[int]) -> DataFrame:
+        """The saved lists of some users."""
+        return self.saved.where(F.col("user_id").isin(ids))
+
+    def __call__(self, users: DataFrame) -> DataFrame:
+        sizes = users.select("user_id", F.size("seen").alias("n_seen"))
+        asked = sizes.limit(self.most_ids + 1).collect()
+        if len(asked) <= self.most_ids:
+            saved = self.of_users([row.user_id for row in asked])
+            most_seen = max((row.n_seen for row in asked), default=0)
+        else:
+            saved, most_seen = self.saved, sizes.agg(F.max("n_seen")).first()[0]
+        unseen = F.filter(
+            "recommendations", lambda item: ~F.array_contains("seen", item["item_id"])
+        )
+        joined = saved.join(users, "user_id").select(
+            "user_id", "seen", F.size("recommendations").alias("n_saved"), unseen.alias("unseen")
+        )
+        # A list shorter than was asked for holds all items there are.
+        enough = (F.size("unseen") >= self.top_n) | (F.col("n_saved") < self.depth)
+        best = joined.where(enough).select(
+            "user_id", F.slice("unseen", 1, self.top_n).alias("recommendations")
+        )
+        found = ranked_rows(best)
+        if most_seen <= self.depth - self.top_n:
+            return found
+        short = joined.where(~enough).select("user_id", "seen")
+        if self.search is None:
+            if not short.isEmpty():
+                raise ValueError("users have seen more than was saved, and there is no search")
+            return found
+        return found.unionByName(self.search.top(short, self.top_n, self.digits))
+
+
+class UnseenHandler:
+    """Handler for :func:`rateweave.streaming.sinks.for_each_batch`.
+
+    Only the batch's users, each with the distinct items of the batch, are kept while
+    it is worked on.
+    """
+
+    def __init__(self, find: Finder, write: WriteBatch) -> None:
+        self.find, self.write = find, write
+
+    def prepare(self, frame: DataFrame) -> None:
+        """Create the table the recommendations go to."""
+        prepare = getattr(self.write, "prepare", None)
+        if prepare is not None:
+            prepare(frame.sparkSession.createDataFrame([], RecommendationHandler.SCHEMA))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        users = with_seen(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not users.isEmpty():
+                self.write(self.find(users), batch_id)
+        finally:
+            users.unpersist()
