@@ -8,26 +8,40 @@ orders and events from the event table, both whole
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateweave.operators import alerts, cleaning, events, model, profiling, recommend
+from rateweave.operators import alerts, cleaning, events, latency, model, profiling, recommend
 from rateweave.operators import window_metrics as wm
+from rateweave.operators.factor_search import FactorSearch
+from rateweave.operators.profile_parts import RELATIVE_ERROR, part_profile, profile_of_parts
 from rateweave.plans.train_model import precompute_recommendations
 from rateweave.plans.watch_events import start_watching, watched_events
 from rateweave.session import new_scratch
-from rateweave.sinks.models import save_model
+from rateweave.sinks.models import save_model, save_ranked
+from rateweave.sinks.rating_table import RatingTable
 from rateweave.sinks.tables import write_metrics, write_ratings
 from rateweave.sources import adapters
 from rateweave.sources.files import stream_parquet
 from rateweave.sources.models import load_model, read_recommendations
-from rateweave.sources.ratings import read_rating_lines, read_ratings
+from rateweave.sources.ratings import (
+    line_numbers,
+    read_lines_with_place,
+    read_rating_lines,
+    read_ratings,
+)
+from rateweave.streaming.late import LateRows, without_redelivered
 from rateweave.streaming.lifecycle import run_to_end
 from rateweave.streaming.progress import ProgressTable, read_progress
 from rateweave.streaming.recommendations import (
+    Finder,
+    LookUpUnseen,
+    SearchUnseen,
+    UnseenHandler,
     looked_up_in,
     recommendation_handler,
     scored_by,
@@ -295,6 +309,18 @@ def write_read_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(read_ratings(spark, path))
 
 
+@_register(f"WITH {_RATINGS} SELECT {_RATING_COLUMNS} FROM latest")
+def merge_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest ratings of all lines, taken into a table in three steps."""
+    path = new_scratch(spark, "merged")
+    table = RatingTable(spark, f"ratings_{uuid.uuid4().hex}", path, folders=4, buckets=8)
+    lines = adapters.rating_lines(spark, sf_dir)
+    for step in range(3):
+        own = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == step)
+        table.merge(cleaning.filter_rating_range(cleaning.drop_null_ratings(cleaning.parse_rating_lines(own))))
+    return _plain(table.read())
+
+
 @_register(
     f"""WITH {_RATINGS}
 SELECT (SELECT count(*) FROM parsed) AS raw_count,
@@ -318,9 +344,69 @@ def preprocess_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.preprocess_funnel(_parsed(spark, sf_dir))
 
 
+@_register(
+    f"""WITH {_RATINGS},
+judged AS (
+  SELECT value, user_id, item_id, rating, "timestamp",
+         CASE WHEN user_id IS NULL OR item_id IS NULL OR rating IS NULL OR isnan(rating)
+                   OR "timestamp" IS NULL THEN 'null'
+              WHEN rating NOT BETWEEN 0.5 AND 5.0 THEN 'range' END AS reason
+  FROM (SELECT value, try_cast(p[1] AS INTEGER) AS user_id, try_cast(p[2] AS INTEGER) AS item_id,
+               try_cast(p[3] AS FLOAT) AS rating, try_cast(p[4] AS BIGINT) AS "timestamp"
+        FROM (SELECT value, string_split(value, '::') AS p FROM lines)))
+SELECT value, reason, CASE WHEN reason = 'range' THEN 'rating' ELSE concat_ws(',',
+         CASE WHEN user_id IS NULL THEN 'user_id' END, CASE WHEN item_id IS NULL THEN 'item_id' END,
+         CASE WHEN rating IS NULL OR isnan(rating) THEN 'rating' END,
+         CASE WHEN "timestamp" IS NULL THEN 'timestamp' END) END AS fields, true AS placed
+FROM judged WHERE reason IS NOT NULL"""
+)
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a text table that cleaning drops, and whether each has its own place."""
+    path = new_scratch(spark, "lines")
+    adapters.rating_lines(spark, sf_dir).write.text(path)
+    lines = read_lines_with_place(spark, path)
+    rejected = line_numbers(cleaning.rejected_lines(lines), lines)
+    place = Window.partitionBy("file", "block_start", "line")
+    placed = (F.count("*").over(place) == 1) & (F.col("line") >= 0) & F.col("file").contains(path)
+    return rejected.select("value", "reason", F.array_join("fields", ",").alias("fields"), placed.alias("placed"))
+
+
 # --- Profiling --------------------------------------------------------------
 
 
+@_register(
+    f"""WITH {_RATINGS}
+SELECT count(*) AS n_ratings, round(avg(rating::DOUBLE), 6) AS mean, min(rating)::DOUBLE AS min_rating,
+       max(rating)::DOUBLE AS max_rating, count(DISTINCT user_id) AS n_users,
+       count(DISTINCT item_id) AS n_items, count(DISTINCT (user_id, item_id)) AS n_pairs,
+       true AS within_error
+FROM in_range"""
+)
+def profile_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of three parts merged; beside exact counts, and whether they agree."""
+    path = new_scratch(spark, "profiles")
+    valid = cleaning.filter_rating_range(cleaning.drop_null_ratings(_parsed(spark, sf_dir)))
+    for i in range(3):
+        # A part is profiled when it comes; earlier rows are not needed again.
+        part = valid.where(F.col("item_id") % 3 == i)
+        part_profile(part, f"part {i}").write.mode("append").parquet(path)
+    about = profile_of_parts(spark.read.parquet(path))
+    exact = valid.agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("item_id").alias("items"),
+        F.count_distinct("user_id", "item_id").alias("pairs"),
+    )
+
+    def near(estimate: str, truth: str):
+        return F.abs(F.col(estimate) - F.col(truth)) <= RELATIVE_ERROR * F.col(truth)
+
+    return about.join(exact, F.lit(True)).select(
+        "n_ratings", F.round("mean", 6).alias("mean"), F.col("min_rating").cast("double").alias("min_rating"),
+        F.col("max_rating").cast("double").alias("max_rating"), F.col("users").alias("n_users"),
+        F.col("items").alias("n_items"), F.col("pairs").alias("n_pairs"),
+        (near("n_users", "users") & near("n_items", "items") & near("n_pairs", "pairs")).alias("within_error"),
+    )
+
+
 @_register(
     f"""WITH {_RATINGS}
 SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users,
@@ -516,6 +602,157 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_progress(spark, f"{path}/progress").select("query", "batch_id", "num_input_rows")
 
 
+_SPANS = """
+spans AS (SELECT event_type AS query, 1000 + floor(value * 100)::BIGINT AS ms FROM events)
+"""
+
+
+@_register(
+    f"""WITH {_SPANS}
+SELECT query, count(*) AS n, max(ms) AS longest_ms, true AS median_near, true AS p95_near
+FROM spans GROUP BY query"""
+)
+def latency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and p95 from merged daily sketches, and whether their ranks are near.
+
+    Each event stands for a batch, its value for the time that took.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    progress = rows.select(
+        F.col("event_type").alias("query"), F.col("ts").cast("timestamp").alias("started"),
+        F.lit(1).alias("num_input_rows"),
+        (1000 + F.floor(F.col("value") * 100)).cast("long").alias("trigger_ms"),
+    )
+    path = new_scratch(spark, "sketches")
+    latency.latency_sketches(progress).write.parquet(path)
+    report = latency.latency_report(spark.read.parquet(path))
+    ms = F.col("trigger_ms")
+
+    def near(column: str, q: float):
+        """The quantile's place among all values, against the share it stands for."""
+        below = F.count_if(ms < F.col(column)) / F.count("*")
+        to = F.count_if(ms <= F.col(column)) / F.count("*")
+        allowed = F.lit(3 * latency.RANK_ERROR)
+        return (below <= q + allowed) & (to >= q - allowed)
+
+    both = progress.select("query", "trigger_ms").join(report, "query")
+    return both.groupBy("query", "n", "longest_ms").agg(
+        near("p50_ms", 0.5).alias("median_near"), near("p95_ms", 0.95).alias("p95_near")
+    )
+
+
+# Streams of several batches: events dealt to batches by their number.
+BATCHES = 4
+_EVENTS_BY_ID = (
+    _EVENTS.replace("AS ingest_time\n  FROM records", "AS ingest_time, event_id\n  FROM records")
+    .replace("AS body, ingest_time FROM", "AS body, ingest_time, event_id FROM")
+    .replace("AS event_time\n  FROM bodies", "AS event_time, event_id\n  FROM bodies")
+)
+_IN_ORDER = f"event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events)"
+
+
+def _batches(spark: SparkSession, sf_dir: str, parts: list[DataFrame]) -> DataFrame:
+    """A stream of valid events with one batch for each part of the event table."""
+    path, files = new_scratch(spark, "batches"), spark.sparkContext.defaultParallelism
+    for part in parts:
+        # The file stream takes older files first, as many to a batch as a part has.
+        envelope = adapters.envelope_from_events(part)
+        envelope.repartition(files).write.mode("append").parquet(path)
+    return watched_events(stream_parquet(spark, path, envelope.schema, files))
+
+
+def _in_order(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The event table in parts, one after the other."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    last = rows.agg(F.max("event_id")).first()[0]
+    part = F.floor(F.col("event_id") * BATCHES / (last + 1))
+    return [rows.where(part == i) for i in range(BATCHES)]
+
+
+def _in_disorder(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The event table in parts that all span the whole time."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return [rows.where(F.col("event_id") % BATCHES == i) for i in range(BATCHES)]
+
+
+@_register(
+    f"""WITH {_LONG_WINDOWS.replace("FROM valid v,", "FROM (SELECT DISTINCT * FROM valid) v,")}
+SELECT {_ITEM_COLUMNS} FROM item_metrics {_CLOSED}"""
+)
+def item_metrics_redelivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record delivered twice at once, and again with the next batch: counted once."""
+    parts = _in_order(spark, sf_dir)
+    delivered = [
+        part.unionAll(part) if i == 0 else part.unionAll(part).unionAll(parts[i - 1])
+        for i, part in enumerate(parts)
+    ]
+    events = without_redelivered(_batches(spark, sf_dir, delivered))
+    return _appended(spark, wm.item_window_metrics(events, **LONG), "redelivered")
+
+
+# A batch drops what is late by the watermark that the batch before it had.
+_LATE = f"""WITH {_EVENTS_BY_ID},
+dealt AS (SELECT *, event_id % {BATCHES} AS batch FROM valid),
+times AS (SELECT batch, max(event_time) AS latest FROM dealt GROUP BY batch),
+marks AS (
+  SELECT b.batch, max(t.latest) - INTERVAL 1 MINUTE AS watermark
+  FROM times b LEFT JOIN times t ON t.batch <= b.batch - 2 GROUP BY b.batch),
+placed AS (
+  SELECT d.*, watermark, time_bucket(INTERVAL 28800 SECOND, event_time, TIMESTAMP '1970-01-01')
+                - i * INTERVAL 28800 SECOND AS window_start
+  FROM dealt d JOIN marks USING (batch), range(3) t(i)),
+judged AS (
+  SELECT *, window_start + INTERVAL 1 DAY AS window_end,
+         coalesce(window_start + INTERVAL 1 DAY <= watermark, false) AS late
+  FROM placed)
+"""
+
+
+def _late_rows(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    path = new_scratch(spark, "late")
+    handler = share([Output(unchanged, LateRows(f"{path}/out", **LONG))])
+    run_to_end(
+        [for_each_batch(stream, "late", handler, f"{path}/checkpoint", ONCE_THROUGH, "append")]
+    )
+    return spark.read.parquet(f"{path}/out/late")
+
+
+@_register(
+    _LATE
+    + """SELECT batch::INTEGER AS batch_id, user_id, item_id, rating::DOUBLE AS rating, event_time,
+       window_start, window_end, watermark,
+       round((epoch_us(watermark) - epoch_us(window_end)) / 1e6, 6) AS late_by_seconds
+FROM judged WHERE late"""
+)
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come too late for their windows, in batches that overlap in time."""
+    late = _late_rows(spark, _batches(spark, sf_dir, _in_disorder(spark, sf_dir)))
+    late = late.where("batch_id >= 0").withColumn("late_by_seconds", F.round("late_by_seconds", 6))
+    return _utc(_plain(late))
+
+
+@_register(
+    _LATE
+    + """SELECT window_start, item_id, count(*) FILTER (WHERE NOT late) AS n_kept,
+       count(*) FILTER (WHERE late) AS n_late
+FROM judged GROUP BY window_start, item_id"""
+)
+def kept_and_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the windowed aggregation counted, beside what it left out as late."""
+    stream = _batches(spark, sf_dir, _in_disorder(spark, sf_dir))
+    path = new_scratch(spark, "kept")
+    handler = share([Output(unchanged, write_batch(f"{path}/out"))])
+    metrics = wm.item_window_metrics(stream, **LONG)
+    run_to_end([for_each_batch(metrics, "kept", handler, f"{path}/checkpoint", ONCE_THROUGH)])
+    # Of each window, the last batch that changed it has the final count.
+    kept = spark.read.parquet(f"{path}/out").groupBy("window_start", "item_id").agg(
+        F.max(F.struct("batch_id", "interaction_count"))["interaction_count"].alias("n_kept")
+    )
+    late = _late_rows(spark, stream).groupBy("window_start", "item_id").agg(F.count("*").alias("n_late"))
+    both = kept.join(late, ["window_start", "item_id"], "full_outer")
+    return _utc(both.fillna(0, ["n_kept", "n_late"]))
+
+
 # --- Recommendations after the model -----------------------------------------
 
 
@@ -797,6 +1034,82 @@ def stream_recommendations_lookup(spark: SparkSession, sf_dir: str) -> DataFrame
     return _streamed_recommendations(spark, sf_dir, precomputed=True)
 
 
+# Factors that any engine has: vectors as those of items, and backwards as those of users.
+_FACTORS = """
+items AS (SELECT vec_id AS item_id, list_transform(embedding, lambda x: x::DOUBLE) AS f FROM embeddings),
+users AS (SELECT item_id AS user_id, list_reverse(f) AS f FROM items)
+"""
+
+
+def _scored_sql(users: str, keys: str, unseen: str) -> str:
+    """The five best unseen items of each user, over all scores."""
+    return f"""
+scored AS (
+  SELECT {keys}, u.user_id::INTEGER AS user_id, i.item_id::INTEGER AS item_id,
+         round(list_inner_product(u.f, i.f)::FLOAT::DOUBLE, 2) AS predicted_rating
+  FROM {users} u, items i WHERE {unseen})
+SELECT {keys.replace("u.", "")}, user_id, item_id, predicted_rating, row_number() OVER (
+  PARTITION BY {keys.replace("u.", "")}, user_id ORDER BY predicted_rating DESC, item_id)::INTEGER AS rank
+FROM scored QUALIFY rank <= 5"""
+
+
+def _factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Factors of users and items."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    items = vectors.select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
+    return items.withColumn("features", F.reverse("features")), items
+
+
+def _two_digits(found: DataFrame) -> DataFrame:
+    rating = F.round(F.col("predicted_rating").cast("double"), 2)
+    return found.withColumn("predicted_rating", rating)
+
+
+@_register(
+    f"""WITH {_FACTORS},
+{_scored_sql("users", "0 AS batch_id", "i.item_id NOT BETWEEN u.user_id AND u.user_id + 60").replace("0 AS batch_id, user_id ORDER", "user_id ORDER")}"""
+)
+def recommendations_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best items of every user, some sixty of them seen, by the pruned search."""
+    users, items = _factors(spark, sf_dir)
+    search = FactorSearch(users, items)
+    seen = F.sequence("id", F.col("id") + 60).alias("seen")
+    found = search.top(users.select(F.col("id").alias("user_id"), seen), recommend.TOP_N, 2)
+    return _two_digits(found).withColumn("batch_id", F.lit(0))
+
+
+_UNSEEN_BY_BATCH = f"""WITH {_FACTORS}, {_EVENTS_BY_ID},
+seen AS (SELECT DISTINCT ({_IN_ORDER})::INTEGER AS batch_id, user_id, item_id FROM valid),
+asked AS (SELECT DISTINCT batch_id, user_id, f FROM seen JOIN users USING (user_id)),
+{_scored_sql("asked", "u.batch_id", "NOT EXISTS (FROM seen s WHERE s.batch_id = u.batch_id AND s.user_id = u.user_id AND s.item_id = i.item_id)")}"""
+
+
+def _unseen_by_batch(spark: SparkSession, sf_dir: str, find: Finder) -> DataFrame:
+    path = new_scratch(spark, "unseen")
+    stream = _batches(spark, sf_dir, _in_order(spark, sf_dir))
+    handler = UnseenHandler(find, write_batch(f"{path}/out"))
+    run_to_end(
+        [for_each_batch(stream, "unseen", handler, f"{path}/checkpoint", ONCE_THROUGH, "append")]
+    )
+    return _two_digits(spark.read.parquet(f"{path}/out").where("batch_id >= 0"))
+
+
+@_register(_UNSEEN_BY_BATCH)
+def stream_unseen_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best unseen items of the users of each of several batches, searched in factors."""
+    search = FactorSearch(*_factors(spark, sf_dir))
+    return _unseen_by_batch(spark, sf_dir, SearchUnseen(search))
+
+
+@_register(_UNSEEN_BY_BATCH)
+def stream_unseen_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, looked up in lists of 30 items saved once."""
+    users, items = _factors(spark, sf_dir)
+    search, path = FactorSearch(users, items), new_scratch(spark, "ranked")
+    save_ranked(search.lists(users.select(F.col("id").alias("user_id")), 30, 2), path, 30, 2)
+    return _unseen_by_batch(spark, sf_dir, LookUpUnseen(spark, path, search))
+
+
 # --- Whole jobs -----------------------------------------------------------------
 
 

@@ -64,6 +64,33 @@ def _rejected_by(lo: float, hi: float) -> Column:
     return F.when(_has_null(), "null").when(~F.col("rating").between(lo, hi), "range")
 
 
+def rejected_lines(
+    lines: DataFrame,
+    delimiter: str = "::",
+    lo: float = LOWEST_RATING,
+    hi: float = HIGHEST_RATING,
+) -> DataFrame:
+    """The lines that cleaning drops, with the reason, the fields at fault and their place.
+
+    ``lines`` are those of :func:`rateweave.sources.ratings.read_lines_with_place`, whose
+    other columns are kept. The reason is ``null`` or ``range``, as in the funnel: what
+    the funnel counts as dropped at these steps is here, and every other line is kept.
+    """
+    place = [name for name in lines.columns if name != "value"]
+    parts = lines.select("value", *place, split_line(F.col("value"), delimiter).alias("parts"))
+    parsed = computed_once(parts, "value", *place, *rating_fields(F.col("parts")))
+    missing = [
+        F.when(F.col(name).isNull() | (F.isnan(name) if name == "rating" else F.lit(False)), F.lit(name))
+        for name in RATING.fieldNames()
+    ]
+    reason = _rejected_by(lo, hi)
+    fields = F.when(reason == "range", F.array(F.lit("rating"))).otherwise(
+        F.array_compact(F.array(*missing))
+    )
+    judged = parsed.select("value", *place, reason.alias("reason"), fields.alias("fields"))
+    return judged.where(F.col("reason").isNotNull())
+
+
 def stage_counts(
     parsed: DataFrame, lo: float = LOWEST_RATING, hi: float = HIGHEST_RATING
 ) -> DataFrame:

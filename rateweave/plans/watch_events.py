@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
 from rateweave.operators.alerts import item_alerts, user_alerts
 from rateweave.operators.events import parse_events, valid_events
@@ -15,8 +14,15 @@ from rateweave.operators.window_metrics import (
     trending_top_k,
     user_window_metrics,
 )
+from rateweave.streaming.late import LateRows
+from rateweave.streaming.lifecycle import stop_all
 from rateweave.streaming.progress import ProgressTable
-from rateweave.streaming.recommendations import Candidates, recommendation_handler
+from rateweave.streaming.recommendations import (
+    Candidates,
+    Finder,
+    UnseenHandler,
+    recommendation_handler,
+)
 from rateweave.streaming.shared import Output, share, show_batch, unchanged, write_batch
 from rateweave.streaming.sinks import (
     EVERY_10_SECONDS,
@@ -32,6 +38,19 @@ def watched_events(envelope: DataFrame, delay: str = DELAY) -> DataFrame:
     return with_event_watermark(valid_events(parse_events(envelope)), delay)
 
 
+class Watching(list):
+    """The queries that were started, and the table of their progress, if there is one."""
+
+    progress: ProgressTable | None = None
+
+    def stop(self) -> None:
+        """Stop the queries and write the last of their progress."""
+        stop_all(self)
+        if self.progress is not None:
+            self.progress.wait(self)
+            self.progress.stop()
+
+
 def start_watching(
     envelope: DataFrame,
     out_dir: str,
@@ -44,7 +63,9 @@ def start_watching(
     slow: Trigger = EVERY_30_SECONDS,
     top_k: int = 5,
     progress_path: str | None = None,
-) -> list[StreamingQuery]:
+    unseen: Finder | None = None,
+    late_path: str | None = None,
+) -> Watching:
     """Start five queries for ten outputs.
 
     ====================  ======  ==================================================
@@ -59,7 +80,10 @@ def start_watching(
 
     Without ``candidates`` no recommendations are made, and raw events are written
     at the slow trigger. Tables exist, empty, from the start. With ``progress_path``
-    the time and volume of every batch are appended to a table there.
+    the time and volume of every batch are appended to a table there, until the result
+    is stopped. ``unseen`` makes the recommendations in place of ``candidates``, and with
+    ``late_path`` events too late for their windows are kept there, as judged by the
+    batches of the query ``events``.
     """
     events = watched_events(envelope, delay)
     items = item_window_metrics(events, size, slide)
@@ -67,12 +91,17 @@ def start_watching(
 
     event_outputs = [Output(unchanged, write_batch(f"{out_dir}/raw_events"))]
     event_trigger = slow
-    if candidates is not None:
+    recommendations = write_batch(f"{out_dir}/recommendations")
+    if unseen is not None:
+        event_trigger = fast
+        event_outputs.append(Output(unchanged, UnseenHandler(unseen, recommendations)))
+    elif candidates is not None:
         event_trigger = fast
-        recommendations = write_batch(f"{out_dir}/recommendations")
         event_outputs.append(
             Output(unchanged, recommendation_handler(candidates, recommendations))
         )
+    if late_path is not None:
+        event_outputs.append(Output(unchanged, LateRows(late_path, size, slide, delay)))
 
     queries = [
         (
@@ -118,9 +147,10 @@ def start_watching(
         ),
         ("events", events, "append", event_trigger, event_outputs),
     ]
+    started = Watching()
     if progress_path is not None:
-        ProgressTable(events.sparkSession, progress_path, [query[0] for query in queries])
-    started: list[StreamingQuery] = []
+        names = [query[0] for query in queries]
+        started.progress = ProgressTable(events.sparkSession, progress_path, names)
     for name, frame, mode, trigger, outputs in queries:
         checkpoint = f"{checkpoint_dir}/{name}"
         started.append(for_each_batch(frame, name, share(outputs), checkpoint, trigger, mode))
