@@ -186,13 +186,19 @@ class SearchUnseen:
         return self.search.top(users, self.top_n, self.digits)
 
 
+# Ids that a read asks Parquet for one by one; Spark nests a condition for each.
+FEW_IDS = 128
+# Ranges of ids that a read asks for otherwise.
+ID_RANGES = 64
+
+
 class LookUpUnseen:
     """What :class:`SearchUnseen` gives, looked up in lists saved once per model.
 
-    The ids of up to ``most_ids`` users are pushed into the read, which then skips
-    files, row groups and pages without them; more users read the table. Users who have
-    seen so much that their saved list may not do are searched for; without a
-    ``search`` they are an error.
+    Few users are asked for by their ids, up to ``most_ids`` users by ranges around
+    them; the read then skips files, row groups and pages without them. More users read
+    the table. Users who have seen so much that their saved list may not do are searched
+    for; without a ``search`` they are an error.
     """
 
     def __init__(
@@ -201,7 +207,7 @@ class LookUpUnseen:
         path: str,
         search: FactorSearch | None = None,
         top_n: int = TOP_N,
-        most_ids: int = 4096,
+        most_ids: int = 100_000,
     ) -> None:
         self.depth, self.digits = ranked_depth(spark, path)
         if top_n > self.depth:
@@ -211,17 +217,28 @@ class LookUpUnseen:
         self.top_n, self.most_ids = top_n, most_ids
         # Beyond this many ids Spark asks Parquet for their range instead of for them.
         limit = "spark.sql.parquet.pushdown.inFilterThreshold"
-        spark.conf.set(limit, str(max(most_ids, int(spark.conf.get(limit)))))
-
-    def of_users(self, ids: list[int]) -> DataFrame:
-        """The saved lists of some users."""
-        return self.saved.where(F.col("user_id").isin(ids))
+        spark.conf.set(limit, str(max(FEW_IDS, int(spark.conf.get(limit)))))
+
+    def near(self, ids: list[int]) -> DataFrame:
+        """The saved lists of some users, and of others with ids between theirs."""
+        if not ids:
+            return self.saved.where(F.lit(False))
+        if len(ids) <= FEW_IDS:
+            return self.saved.where(f"user_id IN ({', '.join(str(int(i)) for i in ids)})")
+        own = sorted(int(i) for i in ids)
+        # Cut where the widest gaps are.
+        gaps = sorted(range(1, len(own)), key=lambda i: own[i - 1] - own[i])[: ID_RANGES - 1]
+        cuts = [0, *sorted(gaps), len(own)]
+        ranges = [
+            f"user_id BETWEEN {own[a]} AND {own[b - 1]}" for a, b in zip(cuts, cuts[1:])
+        ]
+        return self.saved.where(" OR ".join(ranges))
 
     def __call__(self, users: DataFrame) -> DataFrame:
         sizes = users.select("user_id", F.size("seen").alias("n_seen"))
         asked = sizes.limit(self.most_ids + 1).collect()
         if len(asked) <= self.most_ids:
-            saved = self.of_users([row.user_id for row in asked])
+            saved = self.near([row.user_id for row in asked])
             most_seen = max((row.n_seen for row in asked), default=0)
         else:
             saved, most_seen = self.saved, sizes.agg(F.max("n_seen")).first()[0]

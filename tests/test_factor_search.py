@@ -178,9 +178,13 @@ def rows_read(frame):
 def test_a_lookup_reads_rows_near_its_users_only(spark, saved):
     path = saved[3]
     find = LookUpUnseen(spark, path)
-    assert rows_read(find.of_users([123])) <= 2_000
-    assert rows_read(find.of_users([123, 19_999])) <= 4_000
-    assert rows_read(find.of_users([10**6])) == 0
+    assert rows_read(find.near([123])) <= 2_000
+    assert rows_read(find.near([123, 19_999])) <= 4_000
+    assert rows_read(find.near([10**6])) == 0 == rows_read(find.near([]))
     scattered = list(range(0, 20_000, 800))
-    assert len(find.of_users(scattered).collect()) == len(scattered)
+    assert len(find.near(scattered).collect()) == len(scattered)
+    # Many ids, in two places.
+    many = [*range(300, 900, 2), *range(15_000, 15_300)]
+    assert rows_read(find.near(many)) <= 4_000
+    assert {r.user_id for r in find.near(many).collect()} >= set(many)
     assert rows_read(find.saved.select("user_id")) == 20_000
