@@ -345,7 +345,9 @@ def merged(runs: DataFrame, lowest: int, longest: int, least: int) -> DataFrame:
     pass over the rows counts it for them.
     """
     if lowest == longest:
-        summed = runs.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        # The runs are counted: summing them once more before the shuffle saves nothing.
+        dealt = runs.repartition("lang", "phrase")
+        summed = dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     else:
         dealt = runs.repartition("lang", _part(F.lit(1), F.lit(lowest)))
         in_order = dealt.sortWithinPartitions("lang", F.split("phrase", " "))
