@@ -59,8 +59,8 @@ def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_write_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``pages`` as it is read back from the archives written."""
     folder = new_scratch(spark, "warc")
-    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    return warc.read_archives(manifest, folder, payloads=False).select(
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(warc.committed(spark, folder), folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
@@ -139,11 +139,14 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WITH payloads AS (
   SELECT page_id, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes
   FROM pages),
-firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE bytes >= 100 GROUP BY digest)
+placed AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first,
+         row_number() OVER (PARTITION BY digest ORDER BY page_id NULLS LAST) AS place
+  FROM payloads)
 SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
-       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN first <> page_id THEN first END AS refers_to
-FROM payloads LEFT JOIN firsts USING (digest)""",
+       CASE WHEN bytes >= 100 AND first IS NOT NULL AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND first IS NOT NULL AND place > 1 THEN first END AS refers_to
+FROM placed""",
     "op11_hard_negatives": """
 WITH whole AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,

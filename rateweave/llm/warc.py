@@ -1,8 +1,9 @@
 """Write pages as WARC archives, shard by shard, and read archives back.
 
-Records are sorted by range of their id. A task writes one range into files that
-are rolled by compressed size, under temporary names; the names of the attempts
-that succeeded make the manifest, and only those files get their final names.
+Records are sorted by range of their id and digest. A task writes one range into
+files that are rolled by compressed size, under temporary names; only the files of
+the attempts that succeeded get their final names. The manifest, a table beside the
+files, is written last: files it does not list are left over.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateweave.llm.tables import keep, pieces
@@ -29,6 +30,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_URN = "urn:page:"
 READ_BYTES = 1 << 16
 
+MANIFEST_FOLDER = "manifest.parquet"
 MANIFEST = "name string, temporary string, records long, bytes long, sha256 string"
 RECORD = (
     "page_id string, url string, payload binary, payload_bytes long, payload_digest string, "
@@ -44,16 +46,21 @@ def record(headers: list[tuple[str, str]], block: bytes, level: int = LEVEL) ->
     return pack.compress(head.encode()) + pack.compress(block) + pack.compress(b"\r\n\r\n") + pack.flush()
 
 
-def page_record(
-    page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, revisit: bool, place: int
-) -> bytes:
-    """Response or revisit record; all headers and digests are made from the payload."""
-    digest = hashlib.sha256(payload).hexdigest()
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{PAGE_URN}{page_id}/{place}/{digest}")
+def record_id(page_id: str | None, digest: str, place: int) -> str:
+    """Id of the record that is number ``place`` of those with this page and payload."""
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{PAGE_URN}{page_id}/{digest}/{place}').urn}>"
+
+
+def page_record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, place: int) -> bytes:
+    """Response, or revisit of the first record of page ``refers_to`` with this payload.
+
+    All headers and digests are made from the payload.
+    """
+    digest, revisit = hashlib.sha256(payload).hexdigest(), refers_to is not None
     target = "".join((url or "").split()) or f"{PAGE_URN}{page_id}"
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{name}>"),
+        ("WARC-Record-ID", record_id(page_id, digest, place)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", target),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
@@ -65,7 +72,10 @@ def page_record(
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode()
     if revisit:
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{PAGE_URN}{refers_to}>")]
+        headers += [
+            ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, 0)),
+            ("Refers-To-Page", refers_to),
+        ]
     else:
         block += payload
     headers.append(("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"))
@@ -116,25 +126,17 @@ class Roll:
 
 def _write_shard(batches: Iterator[pd.DataFrame], folder: str, most: int) -> Iterator[pd.DataFrame]:
     roll = Roll(folder, TaskContext.get().partitionId(), most)
-    notes: dict[str, str] = {}  # digests of the page at hand that are stored elsewhere or twice
-    page, place, stored = object(), 0, set()
+    page, place, first = object(), 0, None
     for batch in batches:
         for row in batch.itertuples(index=False):
-            own = row.page_id
-            if own != page:
-                page, place, notes, stored = own, 0, {}, set()
-            if row.digest is not None:
-                notes[row.digest] = row.first
+            if (row.page_id, row.digest) != page:
+                page, place, first = (row.page_id, row.digest), 0, None
+            if row.note:
+                first = row.first
                 continue
+            revisit = first is not None and (first != row.page_id or place > 0)
             payload = (row.html or "").encode()
-            first, revisit = None, False
-            if notes:
-                digest = hashlib.sha256(payload).hexdigest()
-                if digest in notes:
-                    first = notes[digest]
-                    revisit = first != own or digest in stored
-                    stored.add(digest)
-            roll.write(page_record(own, row.url, payload, first, revisit, place))
+            roll.write(page_record(row.page_id, row.url, payload, first if revisit else None, place))
             place += 1
     roll.close()
     yield pd.DataFrame(roll.done, columns=[f.split()[0] for f in MANIFEST.split(", ")])
@@ -164,19 +166,17 @@ def write_archives(
 
     Takes ``page_id``, ``url``, ``html``; other columns are ignored. Of records with
     equal payloads of at least ``least_revisit`` bytes the one with the smallest id
-    is a response, others revisit it; of repeated rows with that id the first is
-    the response. A null html is an empty payload; a null url becomes a URN of the
-    id; null ids are written, but a payload that only they hold is a response each
+    is a response, others revisit it, also those of null id; of repeated rows with
+    that id the first is the response. A null html is an empty payload; a null url
+    becomes a URN of the id; a payload that only null ids hold is a response each
     time. An empty table gives an empty manifest. The same rows in the same files
     give the same archives. Each file is listed in the manifest with its size and
-    SHA-256; files that are not listed are left over from lost attempts.
+    SHA-256; a folder takes one set of archives, and a second is refused.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     payload = F.coalesce("html", F.lit(""))
-    known = keep(
-        pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("bytes")),
-        "warc-digests",
-    )
+    digest = F.sha2(payload, 256).alias("digest")
+    known = keep(pages.select("page_id", digest, F.octet_length(payload).alias("bytes")), "warc-digests")
     total = known.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     large = known.where(F.col("bytes") >= least_revisit)
     shared = (
@@ -186,20 +186,42 @@ def write_archives(
     )
     notes = large.join(shared, "digest").select("page_id", "digest", "first").distinct()
     rows = pages.select(
-        "page_id", "url", "html", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("first")
+        "page_id", digest, F.lit(False).alias("note"), F.lit(None).cast("long").alias("first"), "url", "html"
     ).unionByName(
         notes.select(
-            "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"),
-            "digest", "first",
+            "page_id", "digest", F.lit(True).alias("note"), "first",
+            F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"),
         )
     )
+    # By digest too, so that an id with a third of the rows is more than one shard.
     shards = pieces(total, shard_bytes)
-    dealt = rows.repartitionByRange(shards, "page_id").sortWithinPartitions(
-        "page_id", F.col("digest").isNull(), "digest", "url", "html"
+    dealt = rows.repartitionByRange(shards, "page_id", "digest").sortWithinPartitions(
+        "page_id", "digest", F.desc("note"), "url"
     )
     dealt = dealt.withColumns({c: F.col(c).cast("string") for c in ("page_id", "first")})
-    manifest = keep(dealt.mapInPandas(lambda it: _write_shard(it, folder, file_bytes), MANIFEST), "warc-manifest")
-    return keep(manifest.mapInPandas(lambda it: _commit(it, folder), MANIFEST), "warc-committed")
+    written = keep(dealt.mapInPandas(lambda it: _write_shard(it, folder, file_bytes), MANIFEST), "warc-written")
+    final = dealt_by_size(written).mapInPandas(lambda it: _commit(it, folder), MANIFEST)
+    final.write.parquet(f"{folder}/{MANIFEST_FOLDER}")
+    return committed(pages.sparkSession, folder)
+
+
+def committed(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest in ``folder``; there is none before all files have their names."""
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/{MANIFEST_FOLDER}")
+
+
+def left_over(spark: SparkSession, folder: str) -> DataFrame:
+    """``name`` of files in ``folder`` that the manifest does not list; none is removed."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz*").load(folder)
+    names = files.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    return names.join(committed(spark, folder).select("name"), "name", "left_anti")
+
+
+def dealt_by_size(manifest: DataFrame, task_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The manifest's rows in a partition per ``task_bytes`` of files, or one per core if that is more."""
+    size = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    return manifest.repartition(max(pieces(size.bytes, task_bytes), min(size.files, cores), 1))
 
 
 def members(store: fs.FileSystem, path: str) -> Iterator[bytes]:
@@ -229,12 +251,10 @@ def parse(member: bytes) -> tuple | None:
     payload = None if revisit else block.partition(b"\r\n\r\n")[2]
     if payload is not None and hashlib.sha256(payload).hexdigest() != digest:
         raise ValueError(f"damaged payload {headers['WARC-Record-ID']}")
-    refers_to = headers["WARC-Refers-To"].strip("<>").removeprefix(PAGE_URN) if revisit else None
     return (
         headers["Page-ID"] or None,
         headers["WARC-Target-URI"] if headers["Page-Has-URL"] == "1" else None,
-        payload, int(headers["Payload-Length"]), digest, headers["WARC-Type"],
-        refers_to,
+        payload, int(headers["Payload-Length"]), digest, headers["WARC-Type"], headers.get("Refers-To-Page"),
     )
 
 
@@ -266,6 +286,6 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
 
     A revisit has no payload of its own; its size and digest are of the full one.
     """
-    names = manifest.select("name").repartition(F.col("name"))
-    records = names.mapInPandas(lambda it: _read(it, folder, payloads), RECORD)
+    files = dealt_by_size(manifest).select("name")
+    records = files.mapInPandas(lambda it: _read(it, folder, payloads), RECORD)
     return records.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})

@@ -1,9 +1,13 @@
 import gzip
 import hashlib
 
+import duckdb
+import pytest
+
 from pyarrow import fs
 
 from rateweave.llm import warc
+from rateweave.llm.queries import ORACLES, op8_write_archives
 from rateweave.session import new_scratch
 
 
@@ -58,3 +62,59 @@ def test_a_repeated_commit_changes_nothing(spark, small_dir):
     before = archives(manifest, folder)
     list(warc._commit(iter([manifest.toPandas()]), folder))
     assert archives(manifest, folder) == before
+
+
+def headers(member):
+    return dict(line.split(": ", 1) for line in member.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:])
+
+
+def test_every_revisit_names_a_response(spark):
+    rows = [(i % 7, f"u{i}", "x" * (100 + i % 5)) for i in range(60)] + [(None, "n", "x" * 102)]
+    folder = new_scratch(spark, "warc-revisits")
+    manifest = warc.write_archives(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), folder, shard_bytes=500, file_bytes=900
+    )
+    store, root = fs.FileSystem.from_uri(folder)
+    found = [headers(m) for r in manifest.collect() for m in warc.members(store, f"{root}/{r.name}")]
+    found = [h for h in found if h["WARC-Type"] != "warcinfo"]
+    names = {h["WARC-Record-ID"]: h for h in found}
+    assert len(names) == len(found) == 61
+    revisits = [h for h in found if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 61 - 5
+    for h in revisits:
+        target = names[h["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response" and target["Page-ID"] == h["Refers-To-Page"]
+        assert target["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
+def test_many_files_are_read_by_many_tasks_and_only_listed_ones(spark):
+    pages = spark.range(500).selectExpr("id AS page_id", "'u' AS url", "concat(repeat('x', 90), id, repeat('y', 20)) AS html")
+    folder = new_scratch(spark, "warc-many")
+    manifest = warc.write_archives(pages, folder, file_bytes=1)
+    assert manifest.count() == 500
+    records = warc.read_archives(warc.committed(spark, folder), folder)
+    assert records.rdd.getNumPartitions() >= 4 and records.count() == 500
+    assert warc.dealt_by_size(manifest, 10_000).rdd.getNumPartitions() > 10
+    store, root = fs.FileSystem.from_uri(folder)
+    for name in ("part-000009-000000.warc.gz", "part-000000-000000.warc.gz.0.tmp"):
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+            out.write(b"lost")
+    assert sorted(r.name for r in warc.left_over(spark, folder).collect()) == [
+        "part-000000-000000.warc.gz.0.tmp", "part-000009-000000.warc.gz",
+    ]
+    assert warc.read_archives(warc.committed(spark, folder), folder).count() == 500
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        warc.write_archives(pages, folder)
+
+
+def test_repeated_and_null_ids_are_as_in_sql(spark, tmp_path):
+    big = "a" * 100
+    rows = [(1, "u", big), (1, "u", big), (1, "v", big + "b"), (2, "u", big), (None, "u", big), (None, "u", big + "c"),
+            (None, "u", big + "c"), (None, None, None), (3, "u", big + "b"), (3, "u", "s"), (3, "u", "s")]
+    path = str(tmp_path / "pages.parquet")
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(path)
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW pages AS SELECT * FROM '{path}/*.parquet'")
+    want = database.execute(ORACLES["op8_write_archives"]).fetchall()
+    got = [tuple(r) for r in op8_write_archives(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
