@@ -122,16 +122,20 @@ QUERIES = {
 # The others need a hash, tokenizer or trained model that SQL lacks.
 ORACLES = {
     "op4_kd_tree_search": """
-WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (
+  SELECT vec_id, list_transform(v, lambda x: x::BIGINT) AS v FROM usable
+  WHERE list_sum(list_transform(v, lambda x: x * x)) < 4611686018427387904),
+queries AS (
+  SELECT * FROM whole WHERE vec_id % 100 = 0 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY v) = 1),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
-  WHERE q.vec_id % 100 = 0)
+  FROM queries q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
   FROM scored) WHERE rank <= 10""",

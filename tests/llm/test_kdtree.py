@@ -1,6 +1,8 @@
+import duckdb
 import numpy as np
 
 from rateweave.llm import kdtree
+from rateweave.llm.queries import ORACLES, op4_kd_tree_search
 
 
 def test_top_k_equals_brute_force(spark, small_dir):
@@ -40,3 +42,51 @@ def test_boxes_are_tight_and_searches_stop_early():
     want = sorted(zip((-scores).tolist(), range(4000)))[:10]
     assert [(-s, i) for s, i in best] == want
     assert len(seen) < (tree["child"] == 0).sum() / 4
+
+
+def as_in_sql(spark, folder, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame.write.parquet(f"{folder}/embeddings.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    want = sorted(database.execute(ORACLES["op4_kd_tree_search"]).fetchall())
+    got = sorted(tuple(r) for r in op4_kd_tree_search(spark, str(folder)).collect())
+    assert got == want
+    return got
+
+
+def test_repeated_ids_are_as_in_sql(spark, tmp_path):
+    rows = [(0, [1.0, 0.5]), (0, [0.5, 2.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [0.0, 3.0]), (2, [1.0, 0.0])]
+    got = as_in_sql(spark, tmp_path, rows + [(100, [2.0, 2.0])] * 40 + [(7, [1.0])])
+    assert [r[2] for r in got if r[0] == 0] == [1] + [100] * 9
+
+
+def test_sums_beyond_doubles_are_as_in_sql(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    base = rng.integers(-(2**20), 2**20, 6).astype(float)
+    rows = [(i, (base + rng.integers(-3, 4, 6) / 1024).tolist()) for i in range(300)]
+    huge = [(1001, [1e300] * 6), (1002, [2.0**21] * 6), (1003, [-(2.0**21)] * 6)]
+    got = as_in_sql(spark, tmp_path, rows + huge)
+    assert max(r[3] for r in got) > 2**58 and 1001 not in {r[2] for r in got}
+    assert any(int(float(r[3])) != r[3] for r in got)
+
+
+def test_a_third_of_equal_rows_is_no_large_shard(spark):
+    rows = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, 5, id) AS vec_id", "if(id % 3 = 0, array(1f, 2f), array(float(id % 50), 1f)) AS embedding"
+    )
+    seen = []
+    keep = kdtree.keep
+
+    def watched(frame, label):
+        out = keep(frame, label)
+        if label == "kd-trees":
+            seen.extend(len(r.ids) // 8 for r in out.select("ids").collect())
+        return out
+
+    kdtree.keep = watched
+    try:
+        got = kdtree.top_k(rows, shard_rows=200).collect()
+    finally:
+        kdtree.keep = keep
+    assert len(got) > 100 and sum(seen) == 4010 and max(seen) < 300
