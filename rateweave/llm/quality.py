@@ -15,15 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.llm import words
-from rateweave.llm.tables import id_text, keep, pieces
+from rateweave.llm.tables import id_text, shuffles_sized_for
 
 BUCKET_BITS = 16
 GRAM = 4
 THRESHOLD = -0.7
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
-# Ids of trusted documents that are sent round at a time.
-TRUSTED_BLOCK = 1_000_000
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -71,24 +69,16 @@ def gram_counts(texts: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray:
     return out
 
 
-def trusted_counts(
-    docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS, block: int = TRUSTED_BLOCK
-) -> np.ndarray:
+def trusted_counts(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray:
     """Counts of all buckets over all rows of ``docs`` whose id is in ``trusted``.
 
-    The ids are sent round in blocks of some ``block``, dealt by hash, and the texts
-    stay where they are. Each block reads the documents once; each trusted
-    document is counted in one of them.
+    One pass at any number of ids. Where Spark finds the ids small it sends them
+    round and the texts stay where they are; else ids and texts are shuffled once.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
-    ids = keep(ids, "trusted-ids")
-    n_blocks = pieces(ids.count(), block)
-    out = np.zeros(1 << bits)
-    for k in range(n_blocks):
-        some = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == k)
-        out += gram_counts(texts.join(F.broadcast(some), "doc_id", "left_semi"), bits)
-    return out
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with shuffles_sized_for(docs):
+        return gram_counts(texts.dropna().join(ids, "doc_id", "left_semi"), bits)
 
 
 def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -158,14 +148,12 @@ def judge(
     trusted: DataFrame,
     threshold: float = THRESHOLD,
     bits: int = BUCKET_BITS,
-    trusted_block: int = TRUSTED_BLOCK,
 ) -> DataFrame:
     """Rule counts, log-likelihood ratio and verdict of each document.
 
     ``docs`` has ``doc_id`` and ``text``, ``trusted`` the ``doc_id`` of trusted
     documents; other columns are ignored. The raw counts are of all documents, the
-    target's of all trusted ones; ``trusted_block`` bounds the ids sent round at a
-    time and does not change the result. One row per input row; a null or empty
+    target's of all trusted ones. One row per input row; a null or empty
     text has no words and fails; null ids are never trusted; without any trusted
     document every ratio only tells the smoothing apart from the corpus; an empty
     table gives no rows. Words and windows are compared by 64-bit hashes, windows
@@ -174,7 +162,7 @@ def judge(
     """
     docs = docs.select(id_text("doc_id"), "text")
     raw = gram_counts(docs, bits)
-    good = trusted_counts(docs, trusted, bits, trusted_block)
+    good = trusted_counts(docs, trusted, bits)
     weight = docs.sparkSession.sparkContext.broadcast(log_ratio(good, raw))
     judged = docs.mapInPandas(lambda it: _judge(it, weight.value, bits, threshold), RESULT)
     return judged.withColumn("doc_id", F.col("doc_id").cast("long"))

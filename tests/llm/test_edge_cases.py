@@ -103,7 +103,7 @@ def test_odd_vectors(spark):
     k = 1024 * 1024
     assert got == [
         (0, 1, 200, 3 * k), (0, 2, 1, k), (0, 3, 2, k),
-        (200, 1, 0, 3 * k), (200, 2, 1, 3 * k), (200, 3, 2, 3 * k),
+        (200, 1, 0, 3 * k), (200, 2, 0, 3 * k), (200, 3, 1, 3 * k), (200, 4, 2, 3 * k),
     ]
     assert kdtree.top_k(table.limit(0)).collect() == []
 

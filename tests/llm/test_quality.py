@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -50,7 +53,56 @@ def test_every_trusted_document_counts(spark):
     docs = spark.range(20_200).selectExpr("id AS doc_id", "concat('text ', hex(xxhash64(id))) AS text")
     # All are trusted, so both multinomials are the same.
     assert quality.judge(docs, docs).where("llr <> 0").count() == 0
-    assert quality.judge(docs, docs, trusted_block=6_000).where("llr <> 0").count() == 0
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")
+    try:
+        assert quality.judge(docs, docs.unionAll(docs)).where("llr <> 0").count() == 0
+    finally:
+        spark.conf.set(small, before)
+
+
+def plain_ratios(texts, trusted):
+    """The ratio of each text, by counting one n-gram at a time."""
+
+    def buckets(text):
+        data = (text or "").encode() + b"\n"
+        for i in range(len(data) - 3):
+            yield int.from_bytes(data[i : i + 4], "little") * 2654435761 % 2**32 >> 16
+
+    raw, good = Counter(), Counter()
+    for text, is_trusted in zip(texts, trusted):
+        raw.update(buckets(text))
+        if is_trusted:
+            good.update(buckets(text))
+    sums = [c.total() + 2**16 for c in (good, raw)]
+    out = []
+    for text in texts:
+        own = [math.log((good[b] + 1) / sums[0]) - math.log((raw[b] + 1) / sums[1]) for b in buckets(text)]
+        out.append(sum(own) / max(len(own), 1))
+    return out
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_ratios_equal_brute_force(spark, small_dir, threshold):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    odd = [(None, "null ids are never trusted"), (7, "a second text of the id"), (10**7, None), (10**7 + 1, "é")]
+    rows = sorted((r.doc_id, r.text) for r in docs.collect() if len(r.text) < 3000)[:120] + odd
+    chosen = [(r[0],) for r in rows if r[0] is not None and r[0] % 3 == 1] + [(None,), (10**7,), (10**8,), (7,), (7,)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = quality.judge(frame, spark.createDataFrame(chosen, "doc_id long")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    ids = {i for (i,) in chosen if i is not None}
+    want = plain_ratios([t for _, t in rows], [i in ids for i, _ in rows])
+    key = lambda pair: (pair[0] is not None, pair[0] or 0, pair[1])
+    mine = sorted(((r.doc_id, r.llr) for r in got), key=key)
+    theirs = sorted(((r[0], w) for r, w in zip(rows, want)), key=key)
+    assert [i for i, _ in mine] == [i for i, _ in theirs]
+    assert [x for _, x in mine] == pytest.approx([x for _, x in theirs])
 
 
 def test_no_gram_spans_two_texts(spark):
