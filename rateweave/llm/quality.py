@@ -72,13 +72,13 @@ def gram_counts(texts: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray:
 def trusted_counts(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray:
     """Counts of all buckets over all rows of ``docs`` whose id is in ``trusted``.
 
-    One pass at any number of ids. Where Spark finds the ids small it sends them
-    round and the texts stay where they are; else ids and texts are shuffled once.
+    One pass, in which texts and ids are shuffled, at any number of ids: the way
+    does not change with their number.
     """
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with shuffles_sized_for(docs):
-        return gram_counts(texts.dropna().join(ids, "doc_id", "left_semi"), bits)
+        return gram_counts(texts.dropna().join(ids.hint("merge"), "doc_id", "left_semi"), bits)
 
 
 def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
