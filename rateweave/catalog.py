@@ -888,28 +888,39 @@ def als_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_register(
-    """
-SELECT rank, reg_param::DOUBLE AS reg_param, max_iter, is_best_least, needed FROM (VALUES
-  (10, 0.1, 10, true, true), (20, 0.05, 15, true, true), (15, 0.01, 20, true, true),
-  (10, 0.3, 20, true, true), (25, 0.05, 10, true, true)
-) AS tried(rank, reg_param, max_iter, is_best_least, needed)"""
-)
+def _tried(grid: str) -> str:
+    """SQL for the trials of a grid: each predicts the rows that are known from the ratings."""
+    return f"""WITH {_KNOWN}
+SELECT place, rank, reg_param::DOUBLE AS reg_param, max_iter, (SELECT count(*) FROM predictable) AS predicted_rows,
+       true AS is_best_least, true AS due
+FROM (VALUES {grid}) AS tried(place, rank, reg_param, max_iter)"""
+
+
+def _trial_rows(spark: SparkSession, best: model.Trial, trials: list[model.Trial], gate: float) -> DataFrame:
+    """A row per trial: is the best one, and only it, the first of least error; was it due."""
+    least, due = min(t.rmse for t in trials), (trials[0].rmse > gate) == (len(trials) > 1)
+    first = min(n for n, t in enumerate(trials) if t.rmse == least)
+    return model.trial_table(spark, best, trials).select(
+        "place", "rank", "reg_param", "max_iter", "predicted_rows",
+        (F.col("is_best") == (F.col("place") == first)).alias("is_best_least"), F.lit(due).alias("due"),
+    )
+
+
+@_register(_tried("(0, 10, 0.1, 10), (1, 20, 0.05, 15), (2, 15, 0.01, 20), (3, 10, 0.3, 20), (4, 25, 0.05, 10)"))
 def als_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per configuration tried: is the best one, and only it, of least
-    error, and did the first model miss the gate, so that the others were due."""
+    """The configurations tried one by one, since the first model misses the gate."""
     best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir), keep_split=False)
-    least = min(t.rmse for t in trials)
-    rows = [
-        (
-            t.config.rank, t.config.reg_param, t.config.max_iter, (t is best) == (t.rmse == least),
-            trials[0].rmse > model.RMSE_GATE,
-        )
-        for t in trials
-    ]
-    return spark.createDataFrame(
-        rows, "rank int, reg_param double, max_iter int, is_best_least boolean, needed boolean"
-    )
+    return _trial_rows(spark, best, trials, model.RMSE_GATE)
+
+
+@_register(_tried("(0, 4, 0.1, 3), (1, 6, 0.05, 3), (2, 4, 0.3, 3), (3, 8, 0.1, 2)"))
+def als_tuned_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid of small models, three at a time, each in a pool of its own, over one kept split."""
+    first, *grid = (
+        model.AlsConfig(4, 0.1, 3), model.AlsConfig(6, 0.05, 3), model.AlsConfig(4, 0.3, 3), model.AlsConfig(8, 0.1, 2),
+    )
+    best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir), grid, 0.0, first, at_once=3)
+    return _trial_rows(spark, best, trials, 0.0)
 
 
 @_register(f"WITH {_KNOWN} SELECT user_id, item_id, rating::DOUBLE AS rating FROM predictable")

@@ -36,7 +36,7 @@ def _clean(args: argparse.Namespace) -> None:
 def _train(args: argparse.Namespace) -> None:
     spark = build_session("train model")
     _, trials = train_model(
-        spark, args.ratings, args.model, args.metrics, num_blocks=args.blocks
+        spark, args.ratings, args.model, args.metrics, num_blocks=args.blocks, at_once=args.at_once
     )
     split_counts(read_ratings(spark, args.ratings)).show()
     for trial in trials:
@@ -115,6 +115,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--model", required=True)
     job.add_argument("--metrics", required=True)
     job.add_argument("--blocks", type=int)
+    job.add_argument("--at-once", type=int, default=1, help="tuning trials that run at a time")
     job.set_defaults(run=_train)
 
     job = jobs.add_parser("precompute", help="candidates of all users, for streams")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateweave.functions.sampling import unit_hash
@@ -17,6 +18,7 @@ from rateweave.session import ensure_checkpoint_dir
 
 SEED = 42
 RMSE_GATE = 1.5
+POOL = "spark.scheduler.pool"
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,7 @@ class Trial:
     model: ALSModel | None
     rmse: float
     seconds: float
+    predicted_rows: int = 0
 
 
 def train_test_split(
@@ -134,7 +137,50 @@ def train_eval(
         )
     if math.isnan(measured["rmse"]):
         raise ValueError("the model predicts NaN")
-    return Trial(config, model, measured["rmse"], time.monotonic() - started)
+    return Trial(config, model, measured["rmse"], time.monotonic() - started, measured["n"])
+
+
+def _trials(
+    sides: tuple[DataFrame, DataFrame], configs: Sequence[AlsConfig], num_blocks: int | None, at_once: int
+) -> Iterable[tuple[int, Trial]]:
+    """Place and result of each configuration's trial, as they end."""
+    context = sides[0].sparkSession.sparkContext
+
+    def run(place: int) -> Trial:
+        # A local property belongs to the thread, and a thread runs several trials.
+        context.setLocalProperty(POOL, f"trial-{place}")
+        return train_eval(*sides, configs[place], num_blocks)
+
+    if at_once <= 1:
+        for place, config in enumerate(configs):
+            yield place, train_eval(*sides, config, num_blocks)
+        return
+    with ThreadPoolExecutor(at_once) as threads:
+        places = {threads.submit(run, place): place for place in range(len(configs))}
+        try:
+            for future in as_completed(list(places)):
+                # Forgotten here, so that a losing model is not held by its future.
+                yield places.pop(future), future.result()
+                del future
+        except BaseException:
+            threads.shutdown(wait=False, cancel_futures=True)
+            raise
+
+
+def trial_table(spark: SparkSession, best: Trial, trials: Sequence[Trial]) -> DataFrame:
+    """One row per trial: ``place`` (from 0), its settings, error, rows, time, and whether it is the best."""
+    rows = [
+        (
+            place, t.config.rank, t.config.reg_param, t.config.max_iter, t.rmse, t.predicted_rows, t.seconds,
+            t is best,
+        )
+        for place, t in enumerate(trials)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "place int, rank int, reg_param double, max_iter int, rmse double, predicted_rows long, "
+        "seconds double, is_best boolean",
+    )
 
 
 def tune_if_needed(
@@ -145,6 +191,7 @@ def tune_if_needed(
     first: AlsConfig = AlsConfig(),
     num_blocks: int | None = None,
     keep_split: bool = True,
+    at_once: int = 1,
 ) -> tuple[Trial, list[Trial]]:
     """Try ``grid`` only if the first model's RMSE is above ``threshold``.
 
@@ -152,6 +199,13 @@ def tune_if_needed(
     Each fit reads both sides once. ``keep_split`` holds them in memory and on
     disk meanwhile; turn it off for a split of a written table, where reading
     again costs less than a second copy of the table.
+
+    ``at_once`` trials of the grid run at a time, each in a scheduler pool of its
+    own; with ``spark.scheduler.mode=FAIR`` the pools share the executors evenly, else
+    later trials take what earlier ones leave. Trials and best are those of running
+    one by one: of equal errors the earlier configuration is the best. The driver
+    holds the best model so far and those of trials that run. If a trial fails, those
+    not begun are dropped and the error is raised.
     """
     sides = (train, test)
     if keep_split:
@@ -159,13 +213,15 @@ def tune_if_needed(
     try:
         best = train_eval(*sides, first, num_blocks)
         trials = [best]
-        for config in grid if best.rmse > threshold else ():
-            trial = train_eval(*sides, config, num_blocks)
-            trials.append(trial)
-            if trial.rmse < best.rmse:
-                best = trial
+        configs = list(grid) if best.rmse > threshold else []
+        trials += [None] * len(configs)
+        best_place = 0
+        for place, trial in _trials(sides, configs, num_blocks, at_once):
+            trials[place + 1] = trial
+            if (trial.rmse, place + 1) < (best.rmse, best_place):
+                best, best_place = trial, place + 1
             # A losing model's factors need not stay.
-            trials = [t if t is best else replace(t, model=None) for t in trials]
+            trials = [t if t is None or t is best else replace(t, model=None) for t in trials]
     finally:
         if keep_split:
             for side in sides:

@@ -40,13 +40,14 @@ def train_model(
     grid: Iterable[AlsConfig] = TUNING_GRID,
     threshold: float = RMSE_GATE,
     num_blocks: int | None = None,
+    at_once: int = 1,
 ) -> tuple[Trial, list[Trial]]:
     """Split, train, tune if the first model misses the gate, save the best."""
     ratings = read_ratings(spark, ratings_path)
     train, test = train_test_split(ratings)
     with sized_for(ratings):
         best, trials = tune_if_needed(
-            train, test, grid, threshold, num_blocks=num_blocks, keep_split=False
+            train, test, grid, threshold, num_blocks=num_blocks, keep_split=False, at_once=at_once
         )
     save_model(best.model, model_path)
     write_metrics(spark, metrics_path, rmse=best.rmse)

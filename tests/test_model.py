@@ -1,5 +1,6 @@
 import json
 import math
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,58 @@ def test_tuning_keeps_a_strictly_better_model(ratings):
     assert not sides[0].is_cached
 
 
+GRID = [m.AlsConfig(2, 5.0, 2), QUICK, m.AlsConfig(4, 0.1, 3), QUICK, m.AlsConfig(2, 1.0, 2)]
+
+
+def test_trials_at_once_are_those_one_by_one(spark, ratings):
+    sides = m.train_test_split(ratings)
+    alone, one_by_one = m.tune_if_needed(*sides, GRID, 0.0, first=GRID[0])
+    best, trials = m.tune_if_needed(*sides, GRID, 0.0, first=GRID[0], at_once=3)
+    assert [t.config for t in trials] == [t.config for t in one_by_one] == GRID[:1] + GRID
+    assert [t.rmse for t in trials] == pytest.approx([t.rmse for t in one_by_one], rel=1e-6)
+    assert trials.index(best) == one_by_one.index(alone)
+    assert [t.model is not None for t in trials] == [t is best for t in trials]
+    assert not sides[0].is_cached
+    table = m.trial_table(spark, best, trials).orderBy("place").collect()
+    assert [r.place for r in table] == list(range(6))
+    assert [r.is_best for r in table] == [t is best for t in trials]
+    assert {r.predicted_rows for r in table} == {m.predict(best.model, sides[1]).count()}
+    assert all(r.seconds > 0 for r in table)
+
+
+def test_trials_overlap_in_pools_of_their_own(spark, ratings, monkeypatch):
+    running, pools, real = threading.Barrier(3, timeout=60), [], m.train_eval
+
+    def watched(train, test, config, num_blocks=None):
+        if config.rank > 2:
+            pools.append(spark.sparkContext.getLocalProperty(m.POOL))
+            running.wait()  # ends only if three trials run at a time
+        return real(train, test, config, num_blocks)
+
+    monkeypatch.setattr(m, "train_eval", watched)
+    grid = [m.AlsConfig(3, r, 2) for r in (0.1, 0.2, 0.3)]
+    m.tune_if_needed(*m.train_test_split(ratings), grid, 0.0, first=m.AlsConfig(2, 1.0, 2), at_once=3)
+    assert sorted(pools) == ["trial-0", "trial-1", "trial-2"]
+    assert spark.sparkContext.getLocalProperty(m.POOL) is None
+
+
+def test_a_failed_trial_ends_the_tuning(ratings, monkeypatch):
+    begun, real = [], m.train_eval
+
+    def failing(train, test, config, num_blocks=None):
+        begun.append(config)
+        if config.reg_param == 9.0:
+            raise ValueError("no such trial")
+        return real(train, test, config, num_blocks)
+
+    monkeypatch.setattr(m, "train_eval", failing)
+    sides = m.train_test_split(ratings)
+    grid = [m.AlsConfig(2, 9.0, 1)] + [m.AlsConfig(2, 0.1 * n, 1) for n in range(1, 9)]
+    with pytest.raises(ValueError, match="no such trial"):
+        m.tune_if_needed(*sides, grid, 0.0, first=m.AlsConfig(2, 1.0, 1), at_once=2)
+    assert len(begun) < 8 and not sides[0].is_cached
+
+
 def test_grid():
     assert [(c.rank, c.reg_param, c.max_iter) for c in m.TUNING_GRID] == [
         (20, 0.05, 15),
