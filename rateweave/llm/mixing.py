@@ -17,7 +17,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import id_text, join_id, keep, pieces, text_mark, whole_rows
+from rateweave.llm.tables import (
+    counted_chunks, id_text, in_chunks, join_id, keep, pieces, text_mark, whole_rows,
+)
 from rateweave.llm.words import WORD
 
 WEIGHTS = (1, 2, 3)
@@ -97,7 +99,7 @@ LEFT = "source string, leaf long, place long, size long, chance double, extra lo
 def _round_leaf(seed: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(
-            ["source", "size", "mark", "doc_id"], ascending=[True, False, True, True]
+            ["source", "size", "mark", "doc_id", "text_mark"], ascending=[True, False, True, True, True]
         )
         rows = rows.reset_index(drop=True)
         rows["place"] = np.arange(len(rows))
@@ -163,7 +165,9 @@ def mix(
 
     Per source there is one row in the driver; documents stay distributed. Groups
     are cut by a hash of the rows, not of the source, so a source of any size is
-    spread; the same rows give the same result in any partitioning.
+    spread, and equal rows are counted first and dealt in chunks, so a row that is
+    a third of the table is spread too; the same rows give the same result in any
+    partitioning.
     """
     sized = docs.select(
         id_text("doc_id"),
@@ -187,12 +191,11 @@ def mix(
         "goal_source string, source_size long, target double",
     )
     leaves = pieces(sum(r.n for r in sources), leaf_rows)
-    mark = F.xxhash64("doc_id", "source", "size", F.lit(seed))
-    rows = sized.join(
-        F.broadcast(goals), sized.source.eqNullSafe(goals.goal_source)
-    ).select(
+    alike = counted_chunks(sized, ["doc_id", "text_mark", "source", "size"])
+    mark = F.xxhash64("doc_id", "text_mark", "source", "size", "chunk", F.lit(seed))
+    rows = alike.join(goals, alike.source.eqNullSafe(goals.goal_source)).select(
         "doc_id", "text_mark", "source", "size", "source_size", "target", mark.alias("mark"),
-        F.pmod(mark, F.lit(leaves)).alias("leaf"),
+        F.pmod(mark, F.lit(leaves)).alias("leaf"), F.explode(F.sequence(F.lit(1), "times")).alias("time"),
     )
     leaf = keep(rows.groupBy("leaf").applyInPandas(_round_leaf(seed), LEAF), "mix-leaves")
 
@@ -229,14 +232,18 @@ def _source_key(name: str) -> Column:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as :func:`mix` takes it; all columns stay."""
+    """``docs`` with every row as often as :func:`mix` takes it; all columns stay.
+
+    Rows equal in id (null ids are equal), source and text (null is empty) are one
+    row here, which carries the copies of all; an empty table gives no rows.
+    """
     taken = mix(docs, **options).select(
         join_id().alias("id"), F.col("text_mark").alias("mark"), _source_key("source"), "copies"
     )
     keys = ["id", "mark", "source_key"]
     taken = taken.groupBy(keys).agg(F.sum("copies").alias("times")).where("times > 0")
-    # Rows equal in id, source and text share their copies: one of them carries all.
+    # A task sends rows equal in all three on as one, so the texts of a hot row stay where they are.
     rows = whole_rows(docs).select("*", _source_key("row.source"))
-    joined = rows.join(taken, keys).dropDuplicates(keys)
-    copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
-    return joined.select("row", copies.alias("copy")).select("row.*")
+    joined = rows.groupBy(keys).agg(F.first("row").alias("row")).join(taken, keys)
+    copies = F.explode(F.sequence(F.lit(1), "times"))
+    return in_chunks(joined.select("row", "times"), "times").select("row", copies.alias("copy")).select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rateweave.llm.tables import id_text, keep, pieces
+from rateweave.llm.tables import counted_chunks, id_text, keep, pieces
 
 LIMIT = 2048
 END_ID = 0
@@ -187,7 +187,8 @@ def pack(
     doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null or empty
     text is the end id alone; repeated rows and null ids are documents of their
     own; pieces of equal length are interchangeable and ordered by doc_id and piece;
-    an empty table gives no rows. ``vocabulary`` and ``ranks`` are paths that every
+    an empty table gives no rows. Equal pieces are counted first and ranked in
+    chunks, so that none is one task's work. ``vocabulary`` and ``ranks`` are paths that every
     executor can open; without ``ranks`` the tokenizer's library does all texts.
     """
     if vocabulary is None:
@@ -205,16 +206,21 @@ def pack(
     shared = docs.sparkSession.sparkContext.broadcast((starts, *columns))
 
     groups = pieces(sum(counts.values()), rank_rows)
-    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
-    dealt = parts.withColumn("group", group)
-    sizes = dealt.groupBy("length", "group").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    alike = counted_chunks(parts, ["doc_id", "piece", "start", "length", "ids_crc32"])
+    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "chunk"), F.lit(groups))
+    dealt = alike.withColumn("group", group)
+    sizes = dealt.groupBy("length", "group").agg(F.sum("times").alias("n"))
+    before = Window.unboundedPreceding, -1
+    earlier = Window.partitionBy("length").orderBy("group").rowsBetween(*before)
     sizes = sizes.select("length", "group", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "group").orderBy(F.col("doc_id").cast("long"), "piece", "ids_crc32")
-    ranked = dealt.withColumn("place", F.row_number().over(within) - 1).join(sizes, ["length", "group"])
-    ranked = ranked.select(
+    within = Window.partitionBy("length", "group").orderBy(
+        F.col("doc_id").cast("long"), "piece", "ids_crc32", "start", "chunk"
+    ).rowsBetween(*before)
+    place = F.coalesce(F.sum("times").over(within), F.lit(0))
+    ranked = dealt.withColumn("place", place).join(sizes, ["length", "group"])
+    ranked = ranked.select("*", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("time")).select(
         "doc_id", "piece", "start", "length", "ids_crc32",
-        (F.col("before") + F.col("place")).cast("long").alias("rank"),
+        (F.col("before") + F.col("place") + F.col("time")).cast("long").alias("rank"),
     )
     placed = ranked.mapInPandas(
         lambda it: _place(it, shared.value), CUT + ", sequence_id long, offset long"

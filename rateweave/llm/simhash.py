@@ -219,16 +219,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of least doc_id, null last.
 
-    All columns stay. Rows of equal doc_id and text are copies, and one of them stays.
+    All columns stay. Rows of equal doc_id (null ids are equal) and text (null is
+    empty) are copies, and one of them stays; an empty table gives no rows.
     """
     near = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_mark")).alias("f")
     kept = near.groupBy("component").agg(first).select(
         join_id("f.doc_id").alias("id"), F.col("f.text_mark").alias("mark")
     )
-    # Both steps need the same partitioning: the texts are shuffled once.
-    joined = whole_rows(docs).join(kept, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
-    return joined.select("row.*")
+    # Both steps need the same partitioning: the texts are shuffled once. A task sends
+    # copies on as one, so those of a hot row stay where they are.
+    once = whole_rows(docs).groupBy("id", "mark").agg(F.first("row").alias("row"))
+    return once.join(kept, ["id", "mark"], "left_semi").select("row.*")
 
 
 def fingerprint_text(fp: str = "fp") -> Column:

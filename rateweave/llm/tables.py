@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +12,8 @@ from rateweave.session import INITIAL_PARTITIONS, new_scratch, partition_plan, s
 
 # Frames without statistics claim to be larger than any table.
 UNKNOWN_BYTES = 1 << 60
+# Equal rows that stay together.
+EQUAL_ROWS = 256
 
 
 def keep(frame: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
@@ -52,6 +54,24 @@ def join_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long").cast("string"), F.lit(""))
 
 
+def counted_chunks(frame: DataFrame, keys: Sequence[str], most: int = EQUAL_ROWS) -> DataFrame:
+    """``keys``, ``chunk`` and ``times``: equal rows counted, and cut in chunks of at most ``most``.
+
+    A task sends equal rows on as one, and the chunks of a row that is a third of
+    the table can be dealt to many groups.
+    """
+    counted = frame.groupBy(*keys).agg(F.count("*").alias("times"))
+    return in_chunks(counted, "times", most)
+
+
+def in_chunks(counted: DataFrame, times: str, most: int = EQUAL_ROWS) -> DataFrame:
+    """A row per ``most`` of the number in column ``times``, numbered by ``chunk``; none for 0."""
+    last = F.floor((F.col(times) - 1) / F.lit(most)).cast("long")
+    starts = F.when(F.col(times) > 0, F.sequence(F.lit(0).cast("long"), last))
+    cut = counted.select("*", F.explode(starts).alias("chunk"))
+    return cut.withColumn(times, F.least(F.lit(most), F.col(times) - F.col("chunk") * most).cast("int"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

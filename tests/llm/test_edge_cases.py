@@ -142,3 +142,65 @@ def test_filters_keep_clashing_columns(spark):
     assert hidden.where("text LIKE '%hunter22%'").count() == 0
     mixed = mixing.mixed(docs)
     assert mixed.columns == docs.columns
+
+
+def test_filters_of_an_empty_table(spark):
+    docs = documents(spark, [])
+    assert toxicity.without_toxic(docs, toxicity.train(documents(spark, ODD), labels(spark))).collect() == []
+    for step in (simhash.one_of_each, secrets.hide_secrets, mixing.mixed):
+        out = step(docs)
+        assert out.columns == docs.columns and out.collect() == []
+
+
+def hot_documents(spark):
+    """4,500 rows, a third of them one row."""
+    return spark.range(4500).selectExpr(
+        "if(id % 3 = 0, 7, id + 10) AS doc_id",
+        "if(id % 3 = 0, 'a row that comes again', concat('words of ', hex(xxhash64(id)), repeat(' w', id % 9))) AS text",
+        "if(id % 3 = 0, 'hot', concat('s', id % 2)) AS source",
+    )
+
+
+def test_a_hot_row_is_dealt_to_many_leaves(spark, monkeypatch):
+    docs, real, leaves = hot_documents(spark), mixing.keep, []
+
+    def watched(frame, label, *more):
+        out = real(frame, label, *more)
+        if label == "mix-leaves":
+            leaves.extend(r["count"] for r in out.groupBy("leaf").count().collect())
+        return out
+
+    monkeypatch.setattr(mixing, "keep", watched)
+    got = mixing.mix(docs, leaf_rows=300).collect()
+    assert len(got) == sum(leaves) == 4500 and max(leaves) < 1000
+    for source in ("hot", "s0", "s1"):
+        rows = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in rows) - rows[0].target) <= max(r["size"] for r in rows)
+    again = sorted(map(tuple, mixing.mix(docs.repartition(5), leaf_rows=300).collect()))
+    assert sorted(map(tuple, got)) == again
+    copies = {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()}
+    assert copies[7] == sum(r.copies for r in mixing.mix(docs).collect() if r.doc_id == 7) > 500
+
+
+def test_a_hot_row_is_packed_row_by_row(spark):
+    got = packing.pack(hot_documents(spark), rank_rows=200).collect()
+    assert len(got) == 4500 and sum(r.doc_id == 7 for r in got) == 1500
+    held = {}
+    for r in got:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in held.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(held) == -(-sum(r.length for r in got) // 2048)
+
+
+def test_a_hot_row_is_kept_once(spark):
+    docs = hot_documents(spark).withColumn("mine", F.lit(1))
+    once = simhash.one_of_each(docs)
+    assert once.where("doc_id = 7").count() == 1 and once.columns == docs.columns
+    assert {r.doc_id for r in once.collect()} == {
+        r.component_id for r in simhash.near_duplicates(docs).select("component_id").distinct().collect()
+    }
