@@ -2,9 +2,10 @@
 
 A state emits a class of words and the class a word: words belong to classes by a
 hash, the states' emission table has one row per class, and within a class words
-have their smoothed share of the corpus counts. So the counts, of every word, grow
-with the corpus and stay in tables, while the states' parameters have a fixed size.
-Tasks add up expected counts of their documents; the sums make the next model.
+have their smoothed share of the corpus counts. The counts, of every word, grow with
+the corpus and stay in tables; the number of classes follows the number of different
+words up to a bound. Tasks add up expected counts of their documents; the sums make
+the next model, until the likelihood of the training texts hardly grows.
 """
 
 from __future__ import annotations
@@ -24,8 +25,14 @@ from rateweave.llm import words
 from rateweave.llm.tables import id_text, keep
 
 STATES = 6
-CLASS_BITS = 14
-ROUNDS = 3
+# Classes follow the vocabulary: some so many words share one. The most classes keep
+# the model, which every task holds, at 48 MB for six states.
+WORDS_PER_CLASS = 4
+LEAST_CLASS_BITS, MOST_CLASS_BITS = 6, 20
+# Training ends once a round adds less to the ln-likelihood of a token.
+LEAST_GAIN = 0.1
+MOST_ROUNDS = 12
+LEAST_PRIOR = 1000.0
 FOLDS, HELD = 7, 2
 # Documents run side by side, token by token. A longer one is cut into stretches of
 # so many tokens, which run side by side too.
@@ -78,6 +85,11 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return x / x.max(axis=tuple(range(1, x.ndim)), keepdims=True)
 
 
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the states, as a column; a product is faster than adding short rows."""
+    return x @ np.ones((x.shape[1], 1))
+
+
 def _transfers(classes: np.ndarray, lay: Layout, params: Params) -> np.ndarray:
     """What each full stretch does to the state: product of emissions and moves.
 
@@ -122,7 +134,7 @@ def forward(classes, lay: Layout, params: Params, chosen, ahead, keep: bool):
     for n in range(int(size.max(initial=0))):
         m = longer[n]  # the longest come first
         own = ahead[:m] * params.emit[classes[begin[:m] + n]]
-        norm = own.sum(axis=1, keepdims=True)
+        norm = _row_sums(own)
         own /= norm
         total[:m] += np.log(norm[:, 0])
         ahead[:m] = own @ params.move
@@ -153,12 +165,12 @@ def backward(classes, lay: Layout, params: Params, alpha, chosen, after, collect
         beta[ends] = 1.0
         if collect is not None:
             joint = alpha[n] * beta
-            norm = joint.sum(axis=1, keepdims=True)
+            norm = _row_sums(joint)
             weight = np.where(ends[:, None], 0.0, alpha[n] / norm)
             collect += weight.T @ after[:m]
             alpha[n] = joint / norm
         own = beta * params.emit[classes[begin[:m] + n]]
-        after[:m] = own / own.max(axis=1, keepdims=True)
+        after[:m] = own / _row_sums(own)
     return after
 
 
@@ -178,7 +190,10 @@ def expected_counts(classes: np.ndarray, sizes: np.ndarray, params: Params):
     transfers = _transfers(classes, lay, params)
     ahead = entering(lay, params, transfers)
     after = np.ones((len(lay.begin), k))
-    ends = np.flatnonzero(lay.last)
+    longer = np.zeros(len(sizes), bool)
+    if len(lay.at) > 1:
+        longer[lay.doc[lay.at[1]]] = True
+    ends = np.flatnonzero(lay.last & longer[lay.doc])
     entry = np.empty_like(after)
     entry[ends] = backward(classes, lay, params, None, ends, after[ends])
     for j in range(len(lay.at) - 1, 0, -1):
@@ -273,19 +288,20 @@ def _token_classes(row, bits: int) -> np.ndarray:
 
 
 def _expect(batches: Iterator[pd.DataFrame], params: tuple) -> Iterator[pd.DataFrame]:
-    """Rows (slot, one sum per state): emissions of each class, then moves, then starts."""
+    """Rows (slot, one sum per state): emissions of each class, moves, starts, ln-likelihood."""
     params = Params(*params)
     size, k = params.emit.shape
-    sums = np.zeros((size + k + 1, k))
+    sums = np.zeros((size + k + 2, k))
     for batch in batches:
         for row in batch.itertuples(index=False):
             sizes, free = np.array(row.sizes, np.int64), ~np.array(row.held, bool)
             classes = _token_classes(row, size.bit_length() - 1)[np.repeat(free, sizes)]
             if free.any():
-                starts, moves, emits, _ = expected_counts(classes, sizes[free], params)
+                starts, moves, emits, log = expected_counts(classes, sizes[free], params)
                 sums[:size] += emits
                 sums[size : size + k] += moves
                 sums[size + k] += starts
+                sums[size + k + 1, 0] += log
     used = np.flatnonzero(sums.any(axis=1))
     yield pd.DataFrame({"slot": used} | {f"s{i}": sums[used, i] for i in range(k)})
 
@@ -302,9 +318,14 @@ def first_params(class_counts: np.ndarray, states: int) -> Params:
     )
 
 
-def next_params(sums: np.ndarray, class_counts: np.ndarray, prior: float = 1000.0) -> Params:
-    """Model from expected counts, each drawn a little towards the corpus shares."""
+def next_params(sums: np.ndarray, class_counts: np.ndarray, prior: float | None = None) -> Params:
+    """Model from expected counts, each drawn a little towards the corpus shares.
+
+    Unless given, ``prior`` counts one token per class and state: with classes that
+    follow the vocabulary, rare ones would otherwise be learnt by heart.
+    """
     size, k = len(class_counts), sums.shape[1]
+    prior = max(LEAST_PRIOR, float(size)) if prior is None else prior
     share = (class_counts + 1) / (class_counts.sum() + size)
     emit = sums[:size] + prior * share[:, None]
     move, start = sums[size : size + k] + 1, sums[size + k] + 1
@@ -334,8 +355,42 @@ def _score(block: pd.DataFrame, counts: pd.DataFrame, shared: tuple) -> pd.DataF
     return pd.concat(out) if out else pd.DataFrame(columns=[f.split()[0] for f in SCORE.split(", ")])
 
 
+def train(
+    blocks: DataFrame, class_n: np.ndarray, states: int, least_gain: float, most_rounds: int
+) -> Params:
+    """Baum-Welch over all blocks, until a round adds less than ``least_gain`` per token."""
+    spark, size, names = blocks.sparkSession, len(class_n), [f"s{i}" for i in range(states)]
+    schema = "slot int, " + ", ".join(f"{x} double" for x in names)
+    params, before = first_params(class_n, states), -np.inf
+    for _ in range(most_rounds):
+        shared = spark.sparkContext.broadcast(tuple(params))
+        parts = blocks.select("held", "sizes", "vocabulary", "tokens").mapInPandas(
+            lambda it, s=shared: _expect(it, s.value), schema
+        )
+        sums = np.zeros((size + states + 2, states))
+        added = parts.groupBy("slot").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
+        sums[added.slot.to_numpy(int)] = added[names].to_numpy(float)
+        shared.unpersist()
+        params, reached = next_params(sums, class_n), sums[-1, 0] / max(1.0, class_n.sum())
+        # The likelihood is that of the model before this round's step.
+        if reached - before < least_gain:
+            break
+        before = reached
+    return params
+
+
+def class_bits_for(distinct: int) -> int:
+    """Bits of the class number, for so many different words."""
+    wanted = max(1, distinct // WORDS_PER_CLASS).bit_length()
+    return min(MOST_CLASS_BITS, max(LEAST_CLASS_BITS, wanted))
+
+
 def score(
-    docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, class_bits: int = CLASS_BITS
+    docs: DataFrame,
+    states: int = STATES,
+    least_gain: float = LEAST_GAIN,
+    most_rounds: int = MOST_ROUNDS,
+    class_bits: int | None = None,
 ) -> DataFrame:
     """Train on the documents that are not held out, and score all of them.
 
@@ -348,7 +403,10 @@ def score(
 
     Texts become blocks of numbered tokens. Counts go from the blocks to a table by
     word and back to the block as the counts of its own words, so no task holds the
-    vocabulary. The model, ``2**class_bits`` rows of ``states``, is broadcast.
+    vocabulary. The model, ``2**class_bits`` rows of ``states``, is broadcast; unless
+    given, ``class_bits`` follows the number of different training words, see
+    :func:`class_bits_for`. Training ends with the round that adds less than
+    ``least_gain`` to the ln-likelihood of a training token, or after ``most_rounds``.
     """
     spark = docs.sparkSession
     blocks = keep(docs.select(id_text("doc_id"), "text").mapInPandas(_blocks, BLOCK), "hmm-blocks")
@@ -357,27 +415,17 @@ def score(
     )
     counts = found.where("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
     counts = keep(counts, "hmm-counts")
-    group = F.col("word").bitwiseAND(F.lit((1 << class_bits) - 1)).cast("int")
+    distinct = counts.count()
+    bits = class_bits_for(distinct) if class_bits is None else class_bits
+    group = F.col("word").bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
     by_class = counts.groupBy(group.alias("class")).agg(F.sum("c").alias("n"), F.count("*").alias("v"))
-    class_n, class_v = np.zeros(1 << class_bits), np.zeros(1 << class_bits)
-    for row in by_class.collect():
-        class_n[row["class"]], class_v[row["class"]] = row.n, row.v
-    total, distinct = int(class_n.sum()), int(class_v.sum())
-
-    params = first_params(class_n, states)
-    names = [f"s{i}" for i in range(states)]
-    schema = "slot int, " + ", ".join(f"{x} double" for x in names)
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(tuple(params))
-        parts = blocks.select("held", "sizes", "vocabulary", "tokens").mapInPandas(
-            lambda it, s=shared: _expect(it, s.value), schema
-        )
-        sums = np.zeros(((1 << class_bits) + states + 1, states))
-        added = parts.groupBy("slot").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
-        sums[added.slot.to_numpy(int)] = added[names].to_numpy(float)
-        shared.unpersist()
-        params = next_params(sums, class_n)
+    by_class = by_class.toPandas()
+    class_n, class_v = np.zeros(1 << bits), np.zeros(1 << bits)
+    class_n[by_class["class"].to_numpy(int)] = by_class.n.to_numpy(float)
+    class_v[by_class["class"].to_numpy(int)] = by_class.v.to_numpy(float)
+    total = int(class_n.sum())
 
+    params = train(blocks, class_n, states, least_gain, most_rounds)
     known = found.select("block", "place", "word").join(counts, "word").select("block", "place", "c")
     model = spark.sparkContext.broadcast((tuple(params), class_n, class_v, total, distinct))
     scored = blocks.drop("trained").groupBy("block").cogroup(known.groupBy("block")).applyInPandas(

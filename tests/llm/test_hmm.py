@@ -95,3 +95,56 @@ def test_scores_of_all_documents(spark, small_dir):
         assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 7 == 2)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_classes_follow_the_vocabulary():
+    assert hmm.class_bits_for(0) == hmm.class_bits_for(200) == hmm.LEAST_CLASS_BITS
+    assert hmm.class_bits_for(4 * 1000) == 10
+    assert hmm.class_bits_for(10**12) == hmm.MOST_CLASS_BITS
+    bits = [hmm.class_bits_for(n) for n in range(1, 10**6, 997)]
+    assert bits == sorted(bits)
+
+
+def test_training_ends_with_the_likelihood(spark, small_dir, monkeypatch):
+    """The model of a run is that of as many rounds as the likelihood asked for."""
+    docs, reached = spark.read.parquet(f"{small_dir}/documents.parquet"), []
+    step = hmm.next_params
+
+    def watched(sums, class_counts):
+        reached.append(sums[-1, 0] / class_counts.sum())
+        return step(sums, class_counts)
+
+    monkeypatch.setattr(hmm, "next_params", watched)
+    by_gain = {r.doc_id: r.score for r in hmm.score(docs, least_gain=0.02).collect()}
+    gains, rounds = np.diff(reached), len(reached)
+    assert 2 < rounds < hmm.MOST_ROUNDS
+    assert all(g >= 0.02 for g in gains[:-1]) and gains[-1] < 0.02
+    by_rounds = {r.doc_id: r.score for r in hmm.score(docs, least_gain=-9.0, most_rounds=rounds).collect()}
+    assert by_gain == pytest.approx(by_rounds)
+
+
+def test_scores_equal_the_plain_forward_recursion(spark, monkeypatch):
+    """Training and scoring end to end against lists of tokens on one machine."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(list("abcdefgh"), rng.integers(0, 30))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in hmm.score(docs, 2, -9.0, 2, 3).collect()}
+    tokens, sizes = hmm.tokens_of(texts)
+    doc = np.repeat(np.arange(60), sizes)
+    free = np.array([not hmm.is_held_out(str(i)) for i in range(60)])
+    counts = Counter(tokens[free[doc]].tolist())
+    n, v = np.zeros(8), np.zeros(8)
+    for word, c in counts.items():
+        n[word & 7] += c
+        v[word & 7] += 1
+    classes = (tokens & np.uint64(7)).astype(int)
+    params = hmm.first_params(n, 2)
+    for _ in range(2):
+        starts, moves, emits, _ = slow_counts(classes[free[doc]], sizes[free], params)
+        params = hmm.next_params(np.vstack([emits, moves, starts[None]]), n)
+    *_, logs = slow_counts(classes, sizes, params)
+    for i in range(60):
+        own = sum(
+            math.log((counts[w] + 1) / (n[w & 7] + v[w & 7] + 1)) for w in tokens[doc == i].tolist()
+        )
+        assert got[i] == pytest.approx((logs[i] + own) / math.log(10), rel=1e-6)
