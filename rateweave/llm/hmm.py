@@ -25,10 +25,13 @@ from rateweave.llm import words
 from rateweave.llm.tables import id_text, keep
 
 STATES = 6
-# Classes follow the vocabulary: some so many words share one. The most classes keep
-# the model, which every task holds, at 48 MB for six states.
+# Classes follow the vocabulary: some so many words share one. The bound keeps what a
+# task holds, and sends on after each round, at 3 MB for six states.
 WORDS_PER_CLASS = 4
-LEAST_CLASS_BITS, MOST_CLASS_BITS = 6, 20
+LEAST_CLASS_BITS, MOST_CLASS_BITS = 6, 16
+# Sums of so many classes travel together; so many tasks' sums are added at once.
+SLAB = 1 << 12
+FAN_IN = 1 << 10
 # Training ends once a round adds less to the ln-likelihood of a token.
 LEAST_GAIN = 0.1
 MOST_ROUNDS = 12
@@ -288,7 +291,7 @@ def _token_classes(row, bits: int) -> np.ndarray:
 
 
 def _expect(batches: Iterator[pd.DataFrame], params: tuple) -> Iterator[pd.DataFrame]:
-    """Rows (slot, one sum per state): emissions of each class, moves, starts, ln-likelihood."""
+    """Expected counts of a task as rows (task, slab, sums), see :func:`slabs`."""
     params = Params(*params)
     size, k = params.emit.shape
     sums = np.zeros((size + k + 2, k))
@@ -302,8 +305,37 @@ def _expect(batches: Iterator[pd.DataFrame], params: tuple) -> Iterator[pd.DataF
                 sums[size : size + k] += moves
                 sums[size + k] += starts
                 sums[size + k + 1, 0] += log
-    used = np.flatnonzero(sums.any(axis=1))
-    yield pd.DataFrame({"slot": used} | {f"s{i}": sums[used, i] for i in range(k)})
+    task = TaskContext.get().partitionId()
+    for slab, data in slabs(sums, size):
+        yield pd.DataFrame({"task": [task // FAN_IN], "slab": [slab], "sums": [data]})
+
+
+def slabs(sums: np.ndarray, size: int) -> Iterator[tuple[int, bytes]]:
+    """Sums of ``size`` classes in slabs, those of moves, starts and likelihood as number -1.
+
+    Classes' sums are rounded to single precision once per task; zeros cost nothing.
+    """
+    packer = zstandard.ZstdCompressor(level=3)
+    for a in range(0, size, SLAB):
+        if sums[a : min(size, a + SLAB)].any():
+            yield a // SLAB, packer.compress(sums[a : min(size, a + SLAB)].astype("<f4").tobytes())
+    yield -1, sums[size:].astype("<f8").tobytes()
+
+
+def slab_sums(slab: int, data: bytes) -> np.ndarray:
+    if slab < 0:
+        return np.frombuffer(data, "<f8")
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<f4").astype(float)
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    slab = int(rows.slab.iloc[0])
+    total = sum(slab_sums(slab, data) for data in rows.sums)
+    if slab < 0:
+        data = total.astype("<f8").tobytes()
+    else:
+        data = zstandard.ZstdCompressor(level=3).compress(total.astype("<f4").tobytes())
+    return pd.DataFrame({"slab": [slab], "sums": [data]})
 
 
 def first_params(class_counts: np.ndarray, states: int) -> Params:
@@ -359,17 +391,19 @@ def train(
     blocks: DataFrame, class_n: np.ndarray, states: int, least_gain: float, most_rounds: int
 ) -> Params:
     """Baum-Welch over all blocks, until a round adds less than ``least_gain`` per token."""
-    spark, size, names = blocks.sparkSession, len(class_n), [f"s{i}" for i in range(states)]
-    schema = "slot int, " + ", ".join(f"{x} double" for x in names)
+    spark, size = blocks.sparkSession, len(class_n)
     params, before = first_params(class_n, states), -np.inf
     for _ in range(most_rounds):
         shared = spark.sparkContext.broadcast(tuple(params))
         parts = blocks.select("held", "sizes", "vocabulary", "tokens").mapInPandas(
-            lambda it, s=shared: _expect(it, s.value), schema
+            lambda it, s=shared: _expect(it, s.value), "task long, slab int, sums binary"
         )
+        added = parts.groupBy("task", "slab").applyInPandas(_added, "slab int, sums binary")
         sums = np.zeros((size + states + 2, states))
-        added = parts.groupBy("slot").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
-        sums[added.slot.to_numpy(int)] = added[names].to_numpy(float)
+        for row in added.groupBy("slab").applyInPandas(_added, "slab int, sums binary").collect():
+            own = slab_sums(row.slab, row.sums).reshape(-1, states)
+            at = size if row.slab < 0 else row.slab * SLAB
+            sums[at : at + len(own)] = own
         shared.unpersist()
         params, reached = next_params(sums, class_n), sums[-1, 0] / max(1.0, class_n.sum())
         # The likelihood is that of the model before this round's step.
@@ -379,10 +413,10 @@ def train(
     return params
 
 
-def class_bits_for(distinct: int) -> int:
+def class_bits_for(distinct: int, most: int = MOST_CLASS_BITS) -> int:
     """Bits of the class number, for so many different words."""
     wanted = max(1, distinct // WORDS_PER_CLASS).bit_length()
-    return min(MOST_CLASS_BITS, max(LEAST_CLASS_BITS, wanted))
+    return min(most, max(LEAST_CLASS_BITS, wanted))
 
 
 def score(
