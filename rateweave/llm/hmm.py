@@ -32,8 +32,11 @@ LEAST_CLASS_BITS, MOST_CLASS_BITS = 6, 16
 # Sums of so many classes travel together; so many tasks' sums are added at once.
 SLAB = 1 << 12
 FAN_IN = 1 << 10
-# Training ends once a round adds less to the ln-likelihood of a token.
+# Training ends once a round adds less to the ln-likelihood of a token, and less than
+# the round before. Where it starts the states are nearly alike, and the first rounds
+# add little before they part: they are no reason to end.
 LEAST_GAIN = 0.1
+LEAST_ROUNDS = 4
 MOST_ROUNDS = 12
 LEAST_PRIOR = 1000.0
 FOLDS, HELD = 7, 2
@@ -390,9 +393,9 @@ def _score(block: pd.DataFrame, counts: pd.DataFrame, shared: tuple) -> pd.DataF
 def train(
     blocks: DataFrame, class_n: np.ndarray, states: int, least_gain: float, most_rounds: int
 ) -> Params:
-    """Baum-Welch over all blocks, until a round adds less than ``least_gain`` per token."""
+    """Baum-Welch over all blocks, until :func:`has_settled` or after ``most_rounds``."""
     spark, size = blocks.sparkSession, len(class_n)
-    params, before = first_params(class_n, states), -np.inf
+    params, reached = first_params(class_n, states), []
     for _ in range(most_rounds):
         shared = spark.sparkContext.broadcast(tuple(params))
         parts = blocks.select("held", "sizes", "vocabulary", "tokens").mapInPandas(
@@ -405,14 +408,22 @@ def train(
             at = size if row.slab < 0 else row.slab * SLAB
             sums[at : at + len(own)] = own
         shared.unpersist()
-        params, reached = next_params(sums, class_n), sums[-1, 0] / max(1.0, class_n.sum())
+        params = next_params(sums, class_n)
         # The likelihood is that of the model before this round's step.
-        if reached - before < least_gain:
+        reached.append(sums[-1, 0] / max(1.0, class_n.sum()))
+        if has_settled(reached, least_gain):
             break
-        before = reached
     return params
 
 
+def has_settled(reached: list[float], least_gain: float) -> bool:
+    """Whether the last of these likelihoods is the end of training."""
+    if len(reached) < LEAST_ROUNDS:
+        return False
+    before, last = np.diff(reached[-3:])
+    return last < least_gain and last <= before
+
+
 def class_bits_for(distinct: int, most: int = MOST_CLASS_BITS) -> int:
     """Bits of the class number, for so many different words."""
     wanted = max(1, distinct // WORDS_PER_CLASS).bit_length()
@@ -440,7 +451,8 @@ def score(
     vocabulary. The model, ``2**class_bits`` rows of ``states``, is broadcast; unless
     given, ``class_bits`` follows the number of different training words, see
     :func:`class_bits_for`. Training ends with the round that adds less than
-    ``least_gain`` to the ln-likelihood of a training token, or after ``most_rounds``.
+    ``least_gain`` to the ln-likelihood of a training token, and less than the round
+    before, from the fourth on; or after ``most_rounds``.
     """
     spark = docs.sparkSession
     blocks = keep(docs.select(id_text("doc_id"), "text").mapInPandas(_blocks, BLOCK), "hmm-blocks")

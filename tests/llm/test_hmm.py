@@ -117,12 +117,27 @@ def test_training_ends_with_the_likelihood(spark, small_dir, monkeypatch):
     monkeypatch.setattr(hmm, "next_params", watched)
     by_gain = {r.doc_id: r.score for r in hmm.score(docs, least_gain=0.02).collect()}
     gains, rounds = np.diff(reached), len(reached)
-    assert 2 < rounds < hmm.MOST_ROUNDS
-    assert all(g >= 0.02 for g in gains[:-1]) and gains[-1] < 0.02
+    assert hmm.LEAST_ROUNDS <= rounds < hmm.MOST_ROUNDS
+    assert gains[-1] < min(0.02, gains[-2])
+    assert not any(hmm.has_settled(reached[:n], 0.02) for n in range(1, rounds))
     by_rounds = {r.doc_id: r.score for r in hmm.score(docs, least_gain=-9.0, most_rounds=rounds).collect()}
     assert by_gain == pytest.approx(by_rounds)
 
 
+def test_small_first_steps_do_not_end_the_training():
+    assert not hmm.has_settled([-9.0, -8.95], 0.1)
+    assert not hmm.has_settled([-9.0, -8.95, -8.92], 0.1)
+    assert not hmm.has_settled([-9.0, -8.99, -8.97, -8.9], 0.1)
+    assert not hmm.has_settled([-9.0, -8.9, -8.5, -8.3], 0.1)
+    assert hmm.has_settled([-9.0, -8.9, -8.5, -8.3, -8.25], 0.1)
+
+
+def test_reruns_agree(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    by_gain, by_rounds = ({r.doc_id: r.score for r in hmm.score(docs, most_rounds=2).collect()} for _ in range(2))
+    assert by_gain == pytest.approx(by_rounds)
+
+
 def test_scores_equal_the_plain_forward_recursion(spark, monkeypatch):
     """Training and scoring end to end against lists of tokens on one machine."""
     rng = np.random.default_rng(2)
