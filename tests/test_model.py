@@ -1,6 +1,7 @@
 import json
 import math
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +190,31 @@ def test_training_job(spark, ratings, tmp_path):
     sample = sample_recommendations(spark, source, model, users=2, n=3)
     assert sample.columns == ["user_id", "item_id", "predicted_rating"]
     assert [r.user_id for r in sample.collect()] == [0, 0, 0, 1, 1, 1]
+
+
+def test_blocks_follow_the_rows_not_the_cores(ratings, monkeypatch):
+    gb = 1 << 30
+    assert [m.blocks_for(size, 96) for size in (1, gb, 6 * gb, 10**15)] == [4, 4, 12, 96]
+    assert m.blocks_for(1, 2) == 2
+    # A factor is sent to every block each iteration: more cores must not mean more blocks.
+    used, real = [], m.build_als
+    monkeypatch.setattr(m, "build_als", lambda config, blocks: used.append(blocks) or real(config, blocks))
+    m.fit_als(ratings.select("user_id", "item_id", "rating"), QUICK)
+    cores = ratings.sparkSession.sparkContext.defaultParallelism
+    assert used == [min(4, cores)]
+
+
+def test_tuning_deletes_the_shuffles_of_losing_models(ratings):
+    kept = ratings.sparkSession.sparkContext._jsc.getPersistentRDDs
+    m.drop_unused(ratings.sparkSession)
+    before, (train, test) = set(kept()), m.train_test_split(ratings)
+    model = m.fit_als(train, QUICK)
+    one = len(set(kept()) - before)
+    grid = [m.AlsConfig(rank=2, max_iter=2, reg_param=r) for r in (5.0, 6.0, 7.0, 8.0)]
+    best, _ = m.tune_if_needed(train, test, grid, 0.0, QUICK, keep_split=False)
+    for _ in range(50):
+        if len(set(kept()) - before) <= 3 * one:
+            break
+        time.sleep(0.2)
+    # Those of the model above, of the best one, and at most of the one that ran last.
+    assert model and best.config == QUICK and 2 * one <= len(set(kept()) - before) <= 3 * one
