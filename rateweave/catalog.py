@@ -314,9 +314,13 @@ def merge_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest ratings of all lines, taken into a table in three steps."""
     path = new_scratch(spark, "merged")
     table = RatingTable(spark, f"ratings_{uuid.uuid4().hex}", path, folders=4, buckets=8)
-    lines = adapters.rating_lines(spark, sf_dir)
+    # Each step reads its lines twice: they are joined once and kept.
+    dealt = adapters.rating_lines(spark, sf_dir).withColumn("step", F.pmod(F.xxhash64("value"), F.lit(3)))
+    kept = new_scratch(spark, "lines")
+    dealt.write.partitionBy("step").parquet(kept)
+    lines = spark.read.schema("value string, step int").parquet(kept)
     for step in range(3):
-        own = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == step)
+        own = lines.where(F.col("step") == step)
         table.merge(cleaning.filter_rating_range(cleaning.drop_null_ratings(cleaning.parse_rating_lines(own))))
     return _plain(table.read())
 

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from rateweave import catalog
 from rateweave.operators.cleaning import dedup_latest
 from rateweave.sinks.rating_table import RatingTable
 
@@ -89,3 +90,10 @@ def test_an_opened_table_has_its_rows(spark, table, tmp_path):
     again.merge(drawn(spark, 200, 2))
     assert rows(again.read()) == rows(dedup_latest(part.unionAll(drawn(spark, 200, 2))))
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_steps_of_the_query_merge_lines_joined_once(spark, small_dir, monkeypatch):
+    plans, real = [], RatingTable.merge
+    monkeypatch.setattr(RatingTable, "merge", lambda self, own: plans.append(plan_of(own)) or real(self, own))
+    catalog.QUERIES["merge_ratings"](spark, small_dir).count()
+    assert len(plans) == 3 and not any("Join" in plan for plan in plans)
