@@ -389,16 +389,16 @@ FROM in_range"""
 def profile_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of three parts merged; beside exact counts, and whether they agree."""
     path = new_scratch(spark, "profiles")
-    valid = cleaning.filter_rating_range(cleaning.drop_null_ratings(_parsed(spark, sf_dir)))
+    # Joined and parsed once, and kept: the parts and the exact counts are passes over it.
+    write_ratings(cleaning.filter_rating_range(cleaning.drop_null_ratings(_parsed(spark, sf_dir))), f"{path}/valid")
+    valid = read_ratings(spark, f"{path}/valid")
     for i in range(3):
         # A part is profiled when it comes; earlier rows are not needed again.
         part = valid.where(F.col("item_id") % 3 == i)
-        part_profile(part, f"part {i}").write.mode("append").parquet(path)
-    about = profile_of_parts(spark.read.parquet(path))
-    exact = valid.agg(
-        F.count_distinct("user_id").alias("users"), F.count_distinct("item_id").alias("items"),
-        F.count_distinct("user_id", "item_id").alias("pairs"),
-    )
+        part_profile(part, f"part {i}").write.mode("append").parquet(f"{path}/parts")
+    about = profile_of_parts(spark.read.parquet(f"{path}/parts"))
+    # Counted apart: in one aggregation every row would be shuffled three times, with all columns.
+    exact = profiling.distinct_counts(valid, users=("user_id",), items=("item_id",), pairs=("user_id", "item_id"))
 
     def near(estimate: str, truth: str):
         return F.abs(F.col(estimate) - F.col(truth)) <= RELATIVE_ERROR * F.col(truth)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +39,15 @@ def rating_summary(ratings: DataFrame) -> DataFrame:
 def rating_distribution(ratings: DataFrame) -> DataFrame:
     """``rating, count`` in rating order."""
     return ratings.groupBy("rating").count().orderBy("rating")
+
+
+def distinct_counts(ratings: DataFrame, **columns: Sequence[str]) -> DataFrame:
+    """One row: for each name how many different rows its columns have, rows with nulls left out.
+
+    Each count is a pass and a shuffle of its own columns alone. ``ratings`` is read once
+    for each: keep it where it is costly.
+    """
+    counts = [
+        ratings.select(*names).dropna().distinct().agg(F.count("*").alias(name)) for name, names in columns.items()
+    ]
+    return reduce(DataFrame.crossJoin, counts)

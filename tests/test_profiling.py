@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rateweave import catalog
 from rateweave.operators import profiling as p
 from rateweave.schemas import RATING
 
@@ -57,3 +58,21 @@ def test_profiles_read_only_their_columns(spark, published, tmp_path):
     assert "ReadSchema: struct<rating:float>" in plan_of(p.rating_summary(stored))
     assert "ReadSchema: struct<rating:float>" in plan_of(p.rating_distribution(stored))
     assert "ReadSchema: struct<user_id:int,item_id:int>" in plan_of(p.dataset_cardinality(stored))
+
+
+def test_distinct_counts_shuffle_their_own_columns_alone(spark):
+    frame = spark.createDataFrame([(1, 1, 2.0), (1, 2, 2.0), (1, 1, 3.0), (2, None, 1.0), (None, 2, 1.0)], "a int, b int, c double")
+    counts = p.distinct_counts(frame, a=("a",), b=("b",), both=("a", "b"))
+    assert [tuple(x) for x in counts.collect()] == [(2, 2, 2)]
+    one = frame.agg(F.count_distinct("a"), F.count_distinct("b"), F.count_distinct("a", "b")).first()
+    assert tuple(one) == (2, 2, 2)
+    # One aggregation of several distinct counts makes three rows of each.
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(x) for x in p.distinct_counts(frame.limit(0), a=("a",)).collect()] == [(0,)]
+
+
+def test_parts_are_profiled_from_lines_joined_once(spark, small_dir, monkeypatch):
+    seen, real = [], catalog.part_profile
+    monkeypatch.setattr(catalog, "part_profile", lambda part, name: seen.append(plan_of(part)) or real(part, name))
+    catalog.QUERIES["profile_from_parts"](spark, small_dir).collect()
+    assert len(seen) == 3 and not any("Join" in plan for plan in seen)
