@@ -1,15 +1,18 @@
 """Exact best items per user by factors, without scoring all pairs.
 
-Items are kept in blocks by falling length of their factors. No item of a block scores
-above the user's length times that of the block's first item, so a user's search ends
-at the first block that cannot change the n best so far. Items a user has seen travel
-with the user and are left out of the scores themselves: nothing is fetched in excess.
+Items are kept in blocks by falling distance from the mean item, in units of how the
+items spread in each direction. No item of a block scores above the mean's score plus
+the user's length in those units times the distance of the block's first item, so a
+user's search ends at the first block that cannot change the n best so far. Items a user
+has seen travel with the user and are left out of the scores themselves: nothing is
+fetched in excess.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,8 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ITEMS = 512
 USERS_AT_ONCE = 512
-# Of the items, as many bytes as are sent to the executors at a time.
-GROUP_BYTES = 64 << 20
+# Of the items, as many bytes as are sent to the executors at a time; each of their Python
+# workers holds them.
+GROUP_BYTES = 32 << 20
+TASKS_PER_CORE = 2
 LISTS = (
     "user_id int, recommendations array<struct<item_id: int, predicted_rating: float>>, blocks_read int"
 )
@@ -66,37 +71,94 @@ def read_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bits.astype(np.int32).view(np.float32), HIGHEST_ITEM - (keys & ITEM_MASK)
 
 
-def _pack(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Rows in order of falling length, ``size`` to a block."""
+class Spread(NamedTuple):
+    """Mean of the items, and the root of their covariance."""
+
+    mean: np.ndarray
+    root: np.ndarray
+
+    def distances(self, factors: np.ndarray) -> np.ndarray:
+        """From the mean, in units of the spread."""
+        return np.sqrt((np.linalg.solve(self.root, (factors - self.mean).T) ** 2).sum(axis=0))
+
+    def bound(self, users: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each user: the mean's score, what a unit of distance may add, and slack for rounding."""
+        base, unit = users @ self.mean, np.sqrt(((users @ self.root) ** 2).sum(axis=1))
+        terms = np.abs(users) @ np.abs(self.mean)
+        return base, unit, 1e-6 * terms
+
+
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Number, sum and sum of squares of a task's factors."""
+    for batch in batches:
+        if len(batch):
+            factors = np.array(batch.features.tolist(), np.float64)
+            yield pd.DataFrame({
+                "n": [len(factors)], "sums": [factors.sum(axis=0).tobytes()], "squares": [(factors.T @ factors).tobytes()]
+            })
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    sums = sum(np.frombuffer(x) for x in rows.sums)
+    squares = sum(np.frombuffer(x) for x in rows.squares)
+    return pd.DataFrame({"n": [rows.n.sum()], "sums": [sums.tobytes()], "squares": [squares.tobytes()]})
+
+
+def spread_of(items: DataFrame) -> Spread | None:
+    """The spread of all items; none without items. Any values give right bounds."""
+    schema = "n long, sums binary, squares binary"
+    parts = items.select("features").mapInPandas(_sums, schema)
+    tree = parts.groupBy(F.spark_partition_id().alias("part")).applyInPandas(_added, schema)
+    total = tree.groupBy().applyInPandas(_added, schema).first()
+    if total is None:
+        return None
+    mean = np.frombuffer(total.sums) / total.n
+    cover = np.frombuffer(total.squares).reshape(len(mean), -1) / total.n - np.outer(mean, mean)
+    values, vectors = np.linalg.eigh(cover)
+    # Directions without spread get a little, so that distances can be told in them.
+    least = max(1e-9 * values.max(initial=0.0), 1e-9 * float(mean @ mean), 1e-30)
+    return Spread(mean, vectors * np.sqrt(np.maximum(values, least)))
+
+
+def _measured(batches: Iterator[pd.DataFrame], spread: Spread) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        factors = np.array(batch.features.tolist(), np.float64)
+        distances = spread.distances(factors) if len(batch) else np.zeros(0)
+        yield batch.assign(length=distances)
+
+
+def _pack(batches: Iterator[pd.DataFrame], size: int, kind: str) -> Iterator[pd.DataFrame]:
+    """Rows in order of falling distance, ``size`` to a block."""
     held = None
     for batch in batches:
         held = batch if held is None else pd.concat([held, batch], ignore_index=True)
         while len(held) >= size:
-            yield _block(held.iloc[:size])
+            yield _block(held.iloc[:size], kind)
             held = held.iloc[size:]
     if held is not None and len(held):
-        yield _block(held)
+        yield _block(held, kind)
 
 
-def _block(rows: pd.DataFrame) -> pd.DataFrame:
-    factors = np.array(rows.features.tolist(), np.float64)
-    ids = rows.item_id.to_numpy(np.int64)
+def _block(rows: pd.DataFrame, kind: str) -> pd.DataFrame:
+    factors = np.array(rows.features.tolist(), kind)
+    ids = rows.item_id.to_numpy(np.int32)
     return pd.DataFrame({
         "length": [rows.length.iloc[0]], "ids": [ids.tobytes()], "factors": [factors.tobytes()]
     })
 
 
 class Items:
-    """Some items on an executor: blocks by falling length, and where each id is."""
+    """Some items on an executor: blocks by falling distance, and where each id is."""
 
-    def __init__(self, blocks: list[tuple[float, bytes, bytes]]) -> None:
+    def __init__(self, blocks: list[tuple[float, bytes, bytes]], spread: Spread | None, kind: str) -> None:
+        self.spread = spread
         self.lengths = [length for length, _, _ in blocks]
-        self.ids = [np.frombuffer(ids, np.int64) for _, ids, _ in blocks]
+        self.ids = [np.frombuffer(ids, np.int32) for _, ids, _ in blocks]
         self.factors = [
-            np.frombuffer(f, np.float64).reshape(len(i), -1) for (_, _, f), i in zip(blocks, self.ids, strict=True)
+            np.frombuffer(f, kind).reshape(len(i), -1) for (_, _, f), i in zip(blocks, self.ids, strict=True)
         ]
-        listed = np.concatenate([*self.ids, np.zeros(0, np.int64)])
-        self.order = np.argsort(listed, kind="stable")
+        listed = np.concatenate([*self.ids, np.zeros(0, np.int32)])
+        self.order = np.argsort(listed, kind="stable").astype(np.int32)
         self.sorted = listed[self.order]
         self.starts = np.cumsum([0, *map(len, self.ids)])
 
@@ -114,7 +176,9 @@ class Items:
         self, users: np.ndarray, seen: list, best: np.ndarray, digits: int | None
     ) -> tuple[np.ndarray, np.ndarray]:
         """Improve each user's ``best`` keys; blocks read, and whose search is not over."""
-        lengths = np.sqrt((users * users).sum(axis=1))
+        if not self.lengths:
+            return np.zeros(len(users), np.int32), np.ones(len(users), bool)
+        base, unit, rounding = self.spread.bound(users)
         owner, place = self.places(seen)
         limits = np.searchsorted(place, self.starts)
         read, active = np.zeros(len(users), np.int32), np.arange(len(users))
@@ -123,13 +187,15 @@ class Items:
         for b, (first, ids, factors) in enumerate(zip(self.lengths, self.ids, self.factors, strict=True)):
             worst = best[active].min(axis=1)
             # A little more than the bound, for what single precision may add.
-            bound = rounded(lengths[active] * first * (1 + 1e-6) + 1e-30, digits)
+            more = unit[active] * first * (1 + 1e-6) + rounding[active] + 1e-30
+            more += base[active]
+            bound = rounded(more + np.abs(more) * 1e-6, digits)
             going = (worst == NOTHING) | (rank_keys(bound, np.int64(0)) | ITEM_MASK > worst)
             active, worst = active[going], worst[going]
             if not len(active):
                 break
             read[active] += 1
-            scores = users[active] @ factors.T
+            scores = users[active] @ factors.T.astype(np.float64)
             row_of[:] = -1
             row_of[active] = np.arange(len(active))
             rows = row_of[owner[limits[b] : limits[b + 1]]]
@@ -140,7 +206,7 @@ class Items:
             least = np.where(worst == NOTHING, -np.inf, least - slack)
             row, column = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
             if len(row):
-                keys = rank_keys(rounded(scores[row, column], digits), ids[column])
+                keys = rank_keys(rounded(scores[row, column], digits), ids[column].astype(np.int64))
                 changed, inverse = np.unique(row, return_inverse=True)
                 best[active[changed]] = _merge(best[active[changed]], inverse, keys)
         over = np.ones(len(users), bool)
@@ -158,8 +224,7 @@ def _merge(best: np.ndarray, row: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return keys[order][ends[:, None] - np.arange(1, n + 1)]
 
 
-def _step(batches: Iterator[pd.DataFrame], blocks: list, n: int, digits: int | None) -> Iterator[pd.DataFrame]:
-    items = Items(blocks)
+def _step(batches: Iterator[pd.DataFrame], items: Items, n: int, digits: int | None) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), USERS_AT_ONCE):
             some = batch.iloc[at : at + USERS_AT_ONCE]
@@ -201,12 +266,20 @@ class FactorSearch:
     ) -> None:
         self.spark, self.group_bytes = item_factors.sparkSession, group_bytes
         self.users = usable(user_factors, "user_id")
-        squares = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-        items = usable(item_factors, "item_id").withColumn("length", F.sqrt(squares))
+        items = usable(item_factors, "item_id")
+        # Single precision is kept as it is.
+        self.kind = kind = "<f4" if dict(items.dtypes)["features"] == "array<float>" else "<f8"
+        self.spread = spread = spread_of(items)
+        if spread is not None:
+            measured = f"item_id int, features {dict(items.dtypes)['features']}, length double"
+            items = items.withColumn("item_id", F.col("item_id").cast("int"))
+            items = items.mapInPandas(lambda it: _measured(it, spread), measured)
+        else:
+            items = items.withColumn("length", F.lit(0.0))
         in_order = items.orderBy(F.desc("length"), "item_id")
         path = new_scratch(self.spark, "item-blocks")
         schema = "length double, ids binary, factors binary"
-        in_order.mapInPandas(lambda it: _pack(it, block_items), schema).write.parquet(path)
+        in_order.mapInPandas(lambda it: _pack(it, block_items, kind), schema).write.parquet(path)
         self.table = self.spark.read.schema(schema).parquet(path)
         size = F.octet_length("ids") + F.octet_length("factors")
         total = self.table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("size"), F.count("*").alias("n")).first()
@@ -242,19 +315,26 @@ class FactorSearch:
             F.col("user_id").cast("int"), "features", F.col("seen").cast("array<int>"),
             F.lit(None).cast("array<long>").alias("keys"), F.lit(True).alias("open"), F.lit(0).alias("blocks_read"),
         )
+        # Rows are small and take long: by their bytes they would be one task.
+        state = state.repartition(TASKS_PER_CORE * self.spark.sparkContext.defaultParallelism)
+        spread, kind = self.spread, self.kind
         if self.shared is not None:
             shared = self.shared
-            state = state.mapInPandas(lambda it: _step(it, shared.value, n, digits), STATE)
-        else:
-            for group in self._groups():
-                part = self.spark.sparkContext.broadcast(group)
-                found = state.mapInPandas(lambda it, p=part: _step(it, p.value, n, digits), STATE)
-                path = new_scratch(self.spark, "search-state")
-                found.write.parquet(path)
-                part.destroy()
-                state = self.spark.read.schema(STATE).parquet(path)
-                if state.where("open").isEmpty():
-                    break
+            # One function for both: a second one would have workers of its own.
+            return state.mapInPandas(
+                lambda it: _lists(_step(it, Items(shared.value, spread, kind), n, digits)), LISTS
+            )
+        for group in self._groups():
+            part = self.spark.sparkContext.broadcast(group)
+            found = state.mapInPandas(
+                lambda it, p=part: _step(it, Items(p.value, spread, kind), n, digits), STATE
+            )
+            path = new_scratch(self.spark, "search-state")
+            found.write.parquet(path)
+            part.destroy()
+            state = self.spark.read.schema(STATE).parquet(path)
+            if state.where("open").isEmpty():
+                break
         return state.mapInPandas(_lists, LISTS)
 
     def top(self, users: DataFrame, n: int, digits: int | None = None) -> DataFrame:

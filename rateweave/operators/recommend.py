@@ -6,6 +6,8 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rateweave.operators.factor_search import FactorSearch
+
 TOP_N = 5
 OVER_FETCH = 4
 
@@ -15,20 +17,38 @@ def sample_users(ratings: DataFrame, n: int = 5) -> DataFrame:
     return ratings.select("user_id").distinct().orderBy("user_id").limit(n)
 
 
-def recommend(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFrame:
+def search_of(model: ALSModel) -> FactorSearch:
+    """The search for :func:`recommend`: of equal scores MLlib puts the larger item first."""
+    return FactorSearch(model.userFactors, model.itemFactors.withColumn("id", F.bitwise_not("id")))
+
+
+def _candidates(lists: DataFrame) -> DataFrame:
+    """``user_id, recommendations`` of such a search, with the items' own ids."""
+    items = F.transform(
+        "recommendations",
+        lambda x: F.struct(F.bitwise_not(x["item_id"]).alias("item_id"), x["predicted_rating"].alias("rating")),
+    )
+    return lists.select("user_id", items.alias("recommendations"))
+
+
+def recommend(
+    model: ALSModel, users: DataFrame, n: int = TOP_N, search: FactorSearch | None = None
+) -> DataFrame:
     """``user_id, recommendations``: the n best items per user of the model.
 
-    MLlib scores blocks of user factors against blocks of item factors and keeps
-    n items per user inside each block. A user the model does not know has no
-    row. Score with a saved and reloaded model (:func:`rateweave.sources.models`):
-    its factors have a known size and few partitions, a fresh fit's have not.
+    Searched in the model's factors: MLlib's own product scores all pairs, and shuffles
+    n items per user for every block of items. A user the model does not know has no row.
+    Give the model's :func:`search_of` where it is asked more than once. Use a saved and reloaded model
+    (:func:`rateweave.sources.models`): its factors have a known size and few partitions,
+    a fresh fit's have not.
     """
-    return model.recommendForUserSubset(users.select("user_id").distinct(), n)
+    search = search or search_of(model)
+    return _candidates(search.lists(users.select("user_id").distinct(), n))
 
 
 def recommend_all(model: ALSModel, n: int = TOP_N) -> DataFrame:
     """:func:`recommend` for every user of the model."""
-    return model.recommendForAllUsers(n)
+    return _candidates(search_of(model).lists(model.userFactors.select(F.col("id").alias("user_id")), n))
 
 
 def flatten_recommendations(recommendations: DataFrame, digits: int = 3) -> DataFrame:

@@ -17,6 +17,7 @@ from rateweave.operators.recommend import (
     flatten_recommendations,
     recommend,
     rerank_top_n,
+    search_of,
 )
 from rateweave.sinks.models import user_bucket
 from rateweave.sources.models import (
@@ -34,14 +35,15 @@ Candidates = Callable[[DataFrame, int], DataFrame]
 
 
 class Scored:
-    """Score the users of each batch against all items of a model.
+    """Find the best of all items of a model for the users of each batch.
 
-    ``keep_factors`` holds the two factor tables on the executors, in memory and
-    on disk, instead of reading them again for every batch, until :meth:`release`.
+    The items are prepared for the search once, with the first batch. ``keep_factors``
+    holds the two factor tables on the executors, in memory and on disk, instead of
+    reading them again for every batch, until :meth:`release`.
     """
 
     def __init__(self, model: ALSModel, keep_factors: bool = True) -> None:
-        self.model, self.kept = model, []
+        self.model, self.search, self.kept = model, None, []
         if keep_factors:
             self.kept = [
                 factors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -49,9 +51,12 @@ class Scored:
             ]
 
     def __call__(self, users: DataFrame, n: int) -> DataFrame:
-        return recommend(self.model, users, n)
+        self.search = self.search or search_of(self.model)
+        return recommend(self.model, users, n, self.search)
 
     def release(self) -> None:
+        if self.search is not None:
+            self.search.release()
         for factors in self.kept:
             factors.unpersist()
         self.kept = []
@@ -69,6 +74,7 @@ class LookedUp:
         self.depth, self.buckets = saved_depth(spark, path)
         # Files are listed once, not for every batch.
         self.saved, self.model = read_recommendations(spark, path), model
+        self.scored = None if model is None else Scored(model, keep_factors=False)
 
     def __call__(self, users: DataFrame, n: int) -> DataFrame:
         if n > self.depth:
@@ -77,7 +83,7 @@ class LookedUp:
                     f"{n} candidates per user are needed, {self.depth} were saved and there is "
                     "no model to score by"
                 )
-            return recommend(self.model, users, n)
+            return self.scored(users, n)
         read = [row.bucket for row in users.select(user_bucket(self.buckets)).distinct().collect()]
         return (
             self.saved.where(F.col("bucket").isin(read))

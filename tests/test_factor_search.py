@@ -188,3 +188,28 @@ def test_a_lookup_reads_rows_near_its_users_only(spark, saved):
     assert rows_read(find.near(many)) <= 4_000
     assert {r.user_id for r in find.near(many).collect()} >= set(many)
     assert rows_read(find.saved.select("user_id")) == 20_000
+
+
+def test_items_far_from_zero_are_pruned(spark):
+    """Factors of a model share a direction: lengths alone tell little of their scores."""
+    rng = np.random.default_rng(9)
+    spread = rng.normal(0, 0.2, (20_000, 8)) * np.array([3, 2, 1, 1, 1, 1, 0.1, 0.1])
+    items = {i: np.float32(v).astype(float) for i, v in enumerate(spread + 2.0)}
+    users = {u: np.float32(v).astype(float) for u, v in enumerate(rng.normal(0.5, 0.3, (50, 8)))}
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], FACTORS) for x in (users, items)]
+    search = fs.FactorSearch(*frames, block_items=100)
+    found = search.lists(frames[0].select(F.col("id").alias("user_id")), 5)
+    assert listed(found) == plain(users, items, {}, 5, None)
+    assert found.agg(F.sum("blocks_read")).first()[0] < 0.3 * 50 * search.n_blocks
+    # Single precision takes half of the room.
+    sizes = search.table.agg(F.sum(F.octet_length("ids") + F.octet_length("factors"))).first()[0]
+    assert sizes == 20_000 * (4 + 8 * 4)
+
+
+def test_wide_factors_stay_exact(spark):
+    schema = "id int, features array<double>"
+    rows = [(i, [1.0 + i * 1e-12, 2.0]) for i in range(300)]
+    frame = spark.createDataFrame(rows, schema)
+    search = fs.FactorSearch(frame.limit(1), frame, block_items=10)
+    assert search.kind == "<f8"
+    assert listed(search.lists(frame.limit(1).select(F.col("id").alias("user_id")), 3, 0)) == {0: [(0, 5.0), (1, 5.0), (2, 5.0)]}

@@ -180,3 +180,14 @@ def test_a_lookup_reads_the_buckets_of_its_users(spark, model, tmp_path):
     read = {f for f in found.inputFiles() if "bucket=" in f}
     bucket = users_frame(spark, [3]).select(user_bucket(8)).first().bucket
     assert found.first().user_id == 3 and any(f"bucket={bucket}/" in f for f in read)
+
+
+def test_lists_are_those_of_the_library_and_not_all_pairs_are_scored(spark, model):
+    """Against MLlib's product of all pairs; the search takes part of the blocks of items."""
+    def listed(frame):
+        return {x.user_id: [i.item_id for i in x.recommendations] for x in frame.collect()}
+
+    assert listed(r.recommend_all(model, 7)) == listed(model.recommendForAllUsers(7))
+    plan = r.recommend_all(model, 7)._jdf.queryExecution().executedPlan().toString()
+    # MLlib's plan joins all blocks of users with all of items.
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
