@@ -5,14 +5,17 @@ containers of the remaining words, which burst into a node when they grow too la
 A task whose tries are full writes out whole subtrees as sorted runs; the runs are
 merged per prefix partition, that is by the words all phrases of a subtree begin with.
 
-Counting goes by length: words, pairs, then three to five words. A phrase is not more
-frequent than its parts, so each pass skips what the pass before found to be too rare,
-as a bit table of bounded size remembers it. The table can only let through too much,
-never too little: counts stay exact.
+Most phrases are too rare, and never come to the tries. Before them passes over the
+texts count phrases by 64-bit hash, as sorted arrays: words and pairs, then three to five
+words. A hash is counted at least as often as any phrase that has it, and a phrase is not
+more frequent than its parts, so each pass skips what the pass before found to be too
+rare, as a bit table of bounded size remembers it. The table can only let through too
+much, never too little: the tries' counts of whole phrases are exact.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,8 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateweave.llm.tables import keep, shuffles_sized_for
+from rateweave.llm.tables import UNKNOWN_BYTES, keep, pieces, shuffles_sized_for
 from rateweave.llm.words import word_bounds, word_hashes
+from rateweave.session import scan_bytes
 
 LONGEST = 5
 LEAST = 100
@@ -39,15 +43,22 @@ BURST = 4096
 MOST_ENTRIES = 1 << 20
 MOST_WORDS = 1 << 18
 # Bytes of text worked on together; longer texts are cut between words.
-SLICE = 1 << 23
+SLICE = 1 << 21
 # Bits of the table of frequent phrases: 16 for each, within these bounds (16 MB).
 FILTER_BITS = (16, 27)
 HASHES = 4
 RUN_ROWS = 1 << 16
 
-# Phrases waiting to be added to the tries, sorted and counted together.
+# Phrases waiting to be added to the tries, or hashes, sorted and counted together.
 WAITING = 1 << 22
 RUN = "lang string, phrase string, n long"
+PACKED_RUN = "part int, lang string, phrase array<string>, n array<long>"
+# Hashes are summed in ranges, and runs merged in parts, one for so many bytes of input;
+# so many at least where the size of the input is not known.
+PART_BYTES, LEAST_PARTS = 1 << 23, 64
+HASH_RUN = "part int, hashes binary, counts binary"
+# Runs are dealt by so many first words; shorter phrases are counted on their own.
+DEALT = 3
 # Three word numbers make one 64-bit key.
 NUMBER_BITS, PER_KEY = 21, 3
 
@@ -137,8 +148,8 @@ class Trie:
 class Counter:
     """Tries of one task, by language and first word."""
 
-    def __init__(self, most: int = MOST_ENTRIES, burst: int = BURST) -> None:
-        self.most, self.burst = most, burst
+    def __init__(self, most: int = MOST_ENTRIES, burst: int = BURST, apart: int = 0) -> None:
+        self.most, self.burst, self.apart = most, burst, apart
         self.tries: dict[tuple[str, int], Trie] = {}
         self.sizes: dict[tuple[str, int], int] = {}
         self.total = 0
@@ -163,7 +174,10 @@ class Counter:
                     last = None
 
     def spill(self, names: list[str], everything: bool) -> Iterator[pd.DataFrame]:
-        """Runs of the largest subtrees, until half of the room is free, or of all."""
+        """Runs of the largest subtrees, until half of the room is free, or of all.
+
+        Phrases of up to ``apart`` words get here what is counted for longer ones.
+        """
         run: list[tuple] = []
         name = names.__getitem__
         for own in sorted(self.sizes, key=self.sizes.get, reverse=True):
@@ -171,6 +185,8 @@ class Counter:
                 break
             lang, first = own
             entries = self.tries.pop(own).entries((first,))
+            if self.apart:
+                entries = _with_beginnings(entries, self.apart)
             run += [(lang, " ".join(map(name, words)), n) for words, n in entries]
             self.total -= self.sizes.pop(own)
             if len(run) >= RUN_ROWS:
@@ -180,6 +196,19 @@ class Counter:
             yield _sorted_run(run)
 
 
+def _with_beginnings(
+    entries: Iterable[tuple[tuple[int, ...], int]], most: int
+) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Entries of more than ``most`` words, and each beginning of up to so many with its sum."""
+    sums: dict[tuple[int, ...], int] = {}
+    for words, n in entries:
+        if len(words) > most:
+            yield words, n
+        for size in range(1, min(most, len(words)) + 1):
+            sums[words[:size]] = sums.get(words[:size], 0) + n
+    yield from sums.items()
+
+
 def _sorted_run(run: list[tuple[str, str, int]]) -> pd.DataFrame:
     return pd.DataFrame(sorted(run), columns=["lang", "phrase", "n"])
 
@@ -192,42 +221,73 @@ def chained(parts: list[np.ndarray]) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def bit_place(hashes: np.ndarray, bits: int, i: int) -> np.ndarray:
+    low, high = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+    return (low + np.uint64(i) * high) & np.uint64((1 << bits) - 1)
+
+
 def bit_places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     """The places in a table of ``2 ** bits`` bits that stand for a hash."""
-    low, high = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
-    mask = np.uint64((1 << bits) - 1)
-    return [(low + np.uint64(i) * high) & mask for i in range(HASHES)]
+    return [bit_place(hashes, bits, i) for i in range(HASHES)]
 
 
 def present(table: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
     """Which hashes the table may hold."""
-    found = np.ones(len(hashes), bool)
-    for places in bit_places(hashes, bits):
-        found &= (table[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    left = np.arange(len(hashes))
+    for i in range(HASHES):
+        places = bit_place(hashes[left], bits, i)
+        bit = table[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)
+        left = left[(bit & 1).view(bool)]
+    found = np.zeros(len(hashes), bool)
+    found[left] = True
     return found
 
 
 def lengths(
-    pieces: np.ndarray, hashes: np.ndarray, known: tuple[np.ndarray, int] | None, step: int, longest: int
+    pieces: np.ndarray, hashes: np.ndarray, known: tuple[np.ndarray, int] | None, steps: range, longest: int
 ) -> np.ndarray:
     """Words of the longest phrase to count that begins at each word.
 
-    It ends with its piece, after ``longest`` words, and before ``step`` words that the
-    table ``known`` shows to be too rare together.
+    It ends with its piece, after ``longest`` words, and where the table ``known`` shows
+    some of its words, as many as one of ``steps``, to be too rare together.
     """
     n = len(pieces)
     places = np.arange(n)
-    last = np.append(np.flatnonzero(np.diff(pieces)) + 1, n)
-    size = np.minimum(last[np.searchsorted(last, places, "right")] - places, longest)
+    last = np.append(np.flatnonzero(np.diff(pieces)) + 1, n) if n else np.zeros(0, int)
+    size = np.minimum(np.repeat(last, np.diff(last, prepend=0)) - places, longest)
     if known is not None:
-        rare = np.ones(n, bool)
-        windows = max(0, n - step + 1)
-        rare[:windows] = ~present(*known, chained([hashes[i : i + windows] for i in range(step)]))
-        next_rare = np.minimum.accumulate(np.where(rare, places, n)[::-1])[::-1]
-        size = np.minimum(size, next_rare - places + step - 1)
+        for step in steps:
+            at = np.flatnonzero(size >= step)
+            rare = at[~present(*known, chained([hashes[at + i] for i in range(step)]))]
+            next_rare = np.full(n, n)
+            next_rare[rare] = rare
+            next_rare = np.minimum.accumulate(next_rare[::-1])[::-1]
+            size = np.minimum(size, next_rare - places + step - 1)
     return size
 
 
+def word_slices(
+    batches: Iterator[pd.DataFrame], longest: int, cut: int
+) -> Iterator[tuple[str, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Texts a slice at a time: language, bytes, their array, begin, end and piece of each
+    word, and at how many of the words phrases of up to ``longest`` words are counted."""
+    table = _byte_table()
+    for batch in batches:
+        for lang, texts in batch.groupby("lang", sort=False).text:
+            before = b""
+            for part, goes_on in slices(texts.tolist(), table, cut):
+                data = before + part
+                array = np.frombuffer(data, np.uint8)
+                begin, end = word_bounds(array)
+                ends = np.searchsorted(begin, np.flatnonzero(array == 10))
+                own = np.diff(ends, prepend=0, append=len(begin))
+                # The last words of a slice that goes on are counted with the next one.
+                n = len(begin) - (longest - 1 if goes_on else 0)
+                before = data[begin[max(n, 0)] :] if goes_on and longest > 1 and len(begin) else b""
+                if n > 0:
+                    yield lang, data, array, begin, end, np.repeat(np.arange(len(own)), own), n
+
+
 class Numbered:
     """Numbers of the distinct words of a task, from 1."""
 
@@ -259,9 +319,14 @@ def keys_of(numbers: np.ndarray, places: np.ndarray, size: np.ndarray, longest:
     return keys
 
 
-def counted(keys: np.ndarray) -> Iterator[tuple[tuple[int, ...], int]]:
+def counted(parts: list[np.ndarray]) -> Iterator[tuple[tuple[int, ...], int]]:
     """The distinct phrases of some keys, as word numbers, and how often each is there."""
-    keys = keys[:, np.lexsort(keys[::-1])]
+    keys = np.concatenate(parts, axis=1)
+    parts.clear()
+    if len(keys) == 1:
+        keys.sort()
+    else:
+        keys = keys[:, np.lexsort(keys[::-1])]
     fresh = np.ones(keys.shape[1], bool)
     fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
     at = np.flatnonzero(fresh)
@@ -284,88 +349,159 @@ def count_words(
     most: int = MOST_ENTRIES,
     burst: int = BURST,
     cut: int = SLICE,
+    apart: int = 0,
+    totals: bool = False,
 ) -> Iterator[pd.DataFrame]:
     """Sorted runs of the phrases of ``lowest`` to ``longest`` words.
 
     A phrase is counted once at each place, with all its beginnings: the longest one
-    there. :func:`merged` gives the beginnings their counts.
+    there whose parts of up to ``step`` words the table ``known`` holds. Beginnings of up
+    to ``apart`` words have rows of their own; :func:`merged` gives the others their
+    counts. ``totals`` adds the number of all words of a language, as the phrase of none.
     """
-    counter, table, numbered = Counter(most, burst), _byte_table(), Numbered()
-    waiting: dict[str, list[np.ndarray]] = {}
+    counter, numbered = Counter(most, burst, apart), Numbered()
+    waiting: dict[tuple[str, int], list[np.ndarray]] = {}
+    total: dict[str, int] = {}
 
     def add_waiting() -> Iterator[pd.DataFrame]:
-        for lang, keys in waiting.items():
-            for _ in counter.add(lang, counted(np.concatenate(keys, axis=1))):
+        while waiting:
+            (lang, _), keys = waiting.popitem()
+            for _ in counter.add(lang, counted(keys)):
                 yield from counter.spill(numbered.names, everything=False)
-        waiting.clear()
 
     held = 0
-    for batch in batches:
-        for lang, texts in batch.groupby("lang", sort=False).text:
-            seed, before = np.uint64(language_seed(lang)), b""
-            for part, goes_on in slices(texts.tolist(), table, cut):
-                data = before + part
-                array = np.frombuffer(data, np.uint8)
-                begin, end = word_bounds(array)
-                pieces = np.searchsorted(np.flatnonzero(array == 10), begin)
-                # The last words of a slice that goes on are counted with the next one.
-                n = len(begin) - (longest - 1 if goes_on else 0)
-                before = data[begin[max(n, 0)] :] if goes_on and longest > 1 and len(begin) else b""
-                if n <= 0:
-                    continue
-                hashes = word_hashes(array, begin, end)
-                size = lengths(pieces, hashes ^ seed, known, step, longest)
-                places = np.flatnonzero(size[:n] >= lowest)
-                # Only words of phrases that are counted get a number.
-                turns = np.bincount(places, minlength=len(begin) + 1)
-                used = np.cumsum(turns - np.bincount(places + size[places], minlength=len(begin) + 1))[:-1] > 0
-                numbers = np.zeros(len(begin), np.int64)
-                numbers[used] = numbered.of(data, begin[used], end[used], hashes[used])
-                waiting.setdefault(lang, []).append(keys_of(numbers, places, size[places], longest))
-                held += len(places)
-                if held > WAITING or len(numbered.names) > MOST_WORDS:
-                    yield from add_waiting()
-                    held = 0
-                if len(numbered.names) > MOST_WORDS:
-                    yield from counter.spill(numbered.names, everything=True)
-                    numbered = Numbered()
+    for lang, data, array, begin, end, pieces, n in word_slices(batches, longest, cut):
+        total[lang] = total.get(lang, 0) + n
+        hashes = word_hashes(array, begin, end)
+        size = lengths(pieces, hashes ^ np.uint64(language_seed(lang)), known, range(1, step + 1), longest)
+        places = np.flatnonzero(size[:n] >= lowest)
+        # Only words of phrases that are counted get a number.
+        turns = np.bincount(places, minlength=len(begin) + 1)
+        used = np.cumsum(turns - np.bincount(places + size[places], minlength=len(begin) + 1))[:-1] > 0
+        numbers = np.zeros(len(begin), np.int64)
+        numbers[used] = numbered.of(data, begin[used], end[used], hashes[used])
+        # Short phrases have one key, which sorts faster than several.
+        short = size[places] <= PER_KEY
+        for own, at_most in ((places[short], min(PER_KEY, longest)), (places[~short], longest)):
+            if len(own):
+                waiting.setdefault((lang, at_most), []).append(keys_of(numbers, own, size[own], at_most))
+        held += len(places)
+        if held > WAITING or len(numbered.names) > MOST_WORDS:
+            yield from add_waiting()
+            held = 0
+        if len(numbered.names) > MOST_WORDS:
+            yield from counter.spill(numbered.names, everything=True)
+            numbered = Numbered()
     yield from add_waiting()
     yield from counter.spill(numbered.names, everything=True)
+    if totals:
+        yield pd.DataFrame([(lang, "", n) for lang, n in total.items()], columns=["lang", "phrase", "n"])
+
+
+def count_hashes(
+    batches: Iterator[pd.DataFrame],
+    lowest: int,
+    longest: int,
+    parts: int,
+    known: tuple[np.ndarray, int] | None = None,
+    most: int = WAITING,
+    cut: int = SLICE,
+) -> Iterator[pd.DataFrame]:
+    """Counts, by hash, of all phrases of ``lowest`` to ``longest`` words.
+
+    Hashes are dealt to ``parts`` by their range. The table ``known`` holds what is
+    frequent of fewer words; its longest, of ``lowest - 1``, tell all that it can.
+    """
+    waiting, held = [], 0
+    for lang, _, array, begin, end, pieces, n in word_slices(batches, longest, cut):
+        hashes = word_hashes(array, begin, end) ^ np.uint64(language_seed(lang))
+        size = lengths(pieces, hashes, known, range(lowest - 1, lowest), longest)[:n]
+        for words in range(lowest, longest + 1):
+            at = np.flatnonzero(size >= words)
+            waiting.append(chained([hashes[at + i] for i in range(words)]))
+            held += len(at)
+        if held > most:
+            yield _hash_runs(waiting, parts)
+            held = 0
+    if held:
+        yield _hash_runs(waiting, parts)
+
+
+def _hash_runs(waiting: list[np.ndarray], parts: int) -> pd.DataFrame:
+    """Distinct hashes in order and how often each is there, a row per part; none wait then."""
+    every = np.concatenate(waiting)
+    waiting.clear()
+    every.sort()
+    fresh = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    counts, own = np.diff(np.append(fresh, len(every))).astype("<u4"), every[fresh]
+    part = (own >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+    return pd.DataFrame({
+        "part": part[np.append(0, cuts)].astype(np.int32),
+        "hashes": [some.astype("<u8").tobytes() for some in np.split(own, cuts)],
+        "counts": [n.tobytes() for n in np.split(counts, cuts)],
+    })
+
+
+def often(runs: pd.DataFrame, least: int) -> pd.DataFrame:
+    """The hashes of a part that are counted at least ``least`` times in all."""
+    hashes = np.concatenate([np.frombuffer(data, "<u8") for data in runs.hashes])
+    counts = np.concatenate([np.frombuffer(data, "<u4") for data in runs.counts]).astype(np.int64)
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    fresh = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    frequent = np.add.reduceat(counts[order], fresh) >= least
+    return pd.DataFrame({"hash": hashes[fresh[frequent]].view(np.int64)})
 
 
 def language_seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 1)
 
 
-def merged(runs: DataFrame, lowest: int, longest: int, least: int) -> DataFrame:
-    """``lang, phrase, n_words, n`` of all phrases found at least ``least`` times.
+def packed(runs: Iterator[pd.DataFrame], dealt: int, parts: int) -> Iterator[pd.DataFrame]:
+    """Runs as a row per part and language, dealt by the first ``dealt`` words of a phrase."""
+    for run in runs:
+        for lang, own in run.groupby("lang", sort=False):
+            beginnings = (" ".join(phrase.split(" ", dealt)[:dealt]) for phrase in own.phrase.tolist())
+            part = [zlib.crc32(b.encode("utf-8", "surrogatepass")) % parts for b in beginnings]
+            of_part = own.groupby(np.array(part, np.int32))[["phrase", "n"]].agg(list)
+            yield of_part.rename_axis("part").reset_index().assign(lang=lang)[["part", "lang", "phrase", "n"]]
 
-    One shuffle, to the partition of the phrase's first words. There the runs are
-    merged in order of their words, so that a phrase follows its beginnings and one
-    pass over the rows counts it for them.
+
+def merged(runs: DataFrame, dealt: int, least: int) -> DataFrame:
+    """``lang, phrase, n`` of all phrases found at least ``least`` times.
+
+    One shuffle of :func:`packed` runs, to the part of the phrase's first ``dealt``
+    words. There a phrase of as many or more follows its beginnings and one pass counts
+    it for them. Shorter ones have entries of their own.
     """
-    if lowest == longest:
-        # The runs are counted: summing them once more before the shuffle saves nothing.
-        dealt = runs.repartition("lang", "phrase")
-        summed = dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    else:
-        dealt = runs.repartition("lang", _part(F.lit(1), F.lit(lowest)))
-        in_order = dealt.sortWithinPartitions("lang", F.split("phrase", " "))
-        summed = in_order.mapInPandas(lambda it: sum_beginnings(it, lowest, least), RUN)
-    return summed.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("n_words"), "n")
+    return runs.groupBy("part").applyInPandas(lambda rows: merge_part(rows, dealt, least), RUN)
+
+
+def merge_part(rows: pd.DataFrame, dealt: int, least: int) -> pd.DataFrame:
+    sums: dict[tuple[str, str], int] = {}
+    for lang, phrases, counts in zip(rows.lang, rows.phrase, rows.n, strict=True):
+        for phrase, n in zip(phrases.tolist(), counts.tolist(), strict=True):
+            sums[lang, phrase] = sums.get((lang, phrase), 0) + n
+    in_order = sorted(sums, key=lambda own: (own[0], own[1].split(" ")))
+    frame = pd.DataFrame([(*own, sums[own]) for own in in_order], columns=["lang", "phrase", "n"])
+    return pd.concat(sum_beginnings(iter([frame]), dealt, least))
 
 
 def sum_beginnings(batches: Iterator[pd.DataFrame], lowest: int, least: int) -> Iterator[pd.DataFrame]:
-    """Frequent phrases of rows in order, each with what is counted for longer ones."""
+    """Frequent phrases of rows in order.
+
+    Those of at least ``lowest`` words have what is counted for longer ones.
+    """
     lang, path, sums, out = None, [], [], []
 
     def close(depth: int) -> None:
         while len(path) > depth:
             n = sums.pop()
-            if n >= least and len(path) >= lowest:
+            if n and n >= least:
                 out.append((lang, " ".join(path), n))
             path.pop()
-            if sums:
+            if len(path) >= lowest:
                 sums[-1] += n
 
     for batch in batches:
@@ -394,13 +530,18 @@ def _part(first: Column, size: Column) -> Column:
 
 
 def _mark(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        places = np.concatenate(bit_places(batch.hash.to_numpy(np.int64).view(np.uint64), bits))
+        cells, place = np.unique(places >> np.uint64(5), return_inverse=True)
+        marks = np.zeros(len(cells), np.int64)
+        np.bitwise_or.at(marks, place, np.int64(1) << (places & np.uint64(31)).astype(np.int64))
+        yield pd.DataFrame({"cell": cells.astype(np.int64), "mark": marks})
+
+
+def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for lang, phrases in batch.groupby("lang", sort=False).phrase:
-            places = bit_places(phrase_hashes(lang, phrases.tolist()), bits)
-            cells, place = np.unique(np.concatenate(places) >> np.uint64(5), return_inverse=True)
-            marks = np.zeros(len(cells), np.int64)
-            np.bitwise_or.at(marks, place, np.int64(1) << (np.concatenate(places) & np.uint64(31)).astype(np.int64))
-            yield pd.DataFrame({"cell": cells.astype(np.int64), "mark": marks})
+            yield pd.DataFrame({"hash": phrase_hashes(lang, phrases.tolist()).view(np.int64)})
 
 
 def phrase_hashes(lang: str, phrases: list[str]) -> np.ndarray:
@@ -411,16 +552,28 @@ def phrase_hashes(lang: str, phrases: list[str]) -> np.ndarray:
 
 
 def bit_table(phrases: DataFrame, bounds: tuple[int, int] = FILTER_BITS) -> tuple[np.ndarray, int]:
-    """Table of ``2 ** bits`` bits that holds the given phrases, all of one length."""
+    """Table of ``2 ** bits`` bits that holds the given phrases.
+
+    They are given as ``hash``, or as ``lang, phrase``, then all of one length.
+    """
     n = phrases.count()
     bits = min(max((16 * n).bit_length(), bounds[0]), bounds[1])
-    cells = phrases.select("lang", "phrase").mapInPandas(lambda it: _mark(it, bits), "cell long, mark long")
+    hashes = phrases if "hash" in phrases.columns else phrases.mapInPandas(_hashed, "hash long")
+    cells = hashes.mapInPandas(lambda it: _mark(it, bits), "cell long, mark long")
     table = np.zeros((1 << bits) // 32, np.uint32)
     for row in cells.groupBy("cell").agg(F.bit_or("mark").alias("mark")).toLocalIterator():
         table[row.cell] = row.mark
     return table.view(np.uint8), bits
 
 
+def parts_for(texts: DataFrame) -> int:
+    """Parts to sum hashes and to merge runs in: they grow in number with the input, not in size."""
+    size = scan_bytes(texts)
+    if size < UNKNOWN_BYTES:
+        return pieces(size, PART_BYTES)
+    return max(LEAST_PARTS, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def count_phrases(
     docs: DataFrame,
     longest: int = LONGEST,
@@ -428,24 +581,34 @@ def count_phrases(
     most_entries: int = MOST_ENTRIES,
     burst: int = BURST,
 ) -> tuple[DataFrame, DataFrame]:
-    """Frequent phrases (``lang, phrase, n_words, n``), and words (``total``) per ``lang``."""
+    """Frequent phrases (``lang, phrase, n_words, n``), and words (``total``) per ``lang``.
+
+    A language with fewer than ``least`` words has no total.
+    """
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast
+    shared, parts = docs.sparkSession.sparkContext.broadcast, parts_for(texts)
 
-    def counts(lowest: int, highest: int, at_least: int, step: int = 1, found: DataFrame | None = None):
+    def frequent(lowest: int, highest: int, found: DataFrame | None = None) -> DataFrame:
         table = None if found is None else shared(bit_table(found))
-
-        def runs(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            return count_words(it, lowest, highest, table and table.value, step, most_entries, burst)
-
-        return keep(merged(texts.mapInPandas(runs, RUN), lowest, highest, at_least), f"phrases-{lowest}")
+        hashes = texts.mapInPandas(
+            lambda it: count_hashes(it, lowest, highest, parts, table and table.value), HASH_RUN
+        )
+        summed = hashes.groupBy("part").applyInPandas(lambda runs: often(runs, least), "hash long")
+        return keep(summed, f"phrase-hashes-{lowest}")
 
     with shuffles_sized_for(texts, 2):
-        words = counts(1, 1, 1)
-        frequent = words.where(F.col("n") >= least)
-        pairs = counts(2, 2, least, 1, frequent)
-        more = counts(3, longest, least, 2, pairs)
-    return frequent.unionAll(pairs).unionAll(more), words.groupBy("lang").agg(F.sum("n").alias("total"))
+        short = frequent(1, DEALT - 1)
+        table = shared(bit_table(short.unionAll(frequent(DEALT, longest, short))))
+
+        def runs(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            counted = count_words(
+                it, 1, longest, table.value, longest, most_entries, burst, apart=DEALT - 1, totals=True
+            )
+            return packed(counted, DEALT, parts)
+
+        counts = keep(merged(texts.mapInPandas(runs, PACKED_RUN), DEALT, least), "phrases")
+    found = counts.where("phrase <> ''").select("lang", "phrase", F.size(F.split("phrase", " ")).alias("n_words"), "n")
+    return found, counts.where("phrase = ''").select("lang", F.col("n").alias("total"))
 
 
 def not_inside(candidates: DataFrame, percent: int = INSIDE_PERCENT) -> DataFrame:

@@ -11,8 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 
 WORD = r"[^\x20\x09-\x0D]+"
-# Bytes hashed at a time; bounds the memory of :func:`word_hashes`.
 SLICE = 1 << 22
+# Bytes hashed at a time: what :func:`word_hashes` works on stays near the processor.
+HASHED = 1 << 16
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,6 +35,9 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_STEPS, _BACKS = _powers(_STEP, 2 * HASHED), _powers(_BACK, 2 * HASHED)
+
+
 def joined(texts: list[str | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, a line break after each, and where each text begins."""
     coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -55,13 +59,13 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     out = np.empty(len(begin), np.uint64)
     at = 0
     while at < len(begin):
-        to = max(at + 1, int(np.searchsorted(end, begin[at] + SLICE, "right")))
+        to = max(at + 1, int(np.searchsorted(end, begin[at] + HASHED, "right")))
         low, high = int(begin[at]), int(end[to - 1])
-        power = _powers(_STEP, high - low)
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(_BYTE[data[low:high]] * power, out=sums[1:])
+        n = high - low
+        power, back = (_STEPS, _BACKS) if n <= len(_STEPS) else (_powers(_STEP, n), _powers(_BACK, n))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[data[low:high]] * power[:n], out=sums[1:])
         first, last = begin[at:to] - low, end[at:to] - low
-        back = _powers(_BACK, high - low)
         value = (sums[last] - sums[first]) * back[first]
         out[at:to] = mix64(value + (last - first).astype(np.uint64))
         at = to

@@ -116,3 +116,51 @@ def test_the_bit_table_holds_what_it_was_given(spark):
 
     assert found([p for _, p in given]).all()
     assert found([f"other word{i}" for i in range(10_000)]).mean() < 0.02
+
+
+def plain_counts(rows, longest):
+    counts = Counter()
+    for lang, text in rows:
+        for words in plain_pieces(text):
+            for size in range(1, longest + 1):
+                counts.update((lang or "und", tuple(words[i : i + size])) for i in range(len(words) - size + 1))
+    return counts
+
+
+def hash_of(lang, words):
+    return int(phrases.phrase_hashes(lang, [" ".join(words)])[0])
+
+
+@pytest.mark.parametrize("cut", [8, 64, 1 << 20])
+def test_hashes_are_counted_like_their_phrases(cut):
+    rows = prose(100, seed=5)
+    frame = pd.DataFrame(rows, columns=["lang", "text"]).fillna({"lang": "und"})
+    want = plain_counts(rows, 3)
+    for most, parts in ((1 << 20, 1), (50, 7)):
+        runs = pd.concat(phrases.count_hashes(iter([frame]), 1, 3, parts, None, most, cut))
+        assert set(runs.part) <= set(range(parts))
+        for least in (1, 10):
+            got = [h for _, own in runs.groupby("part") for h in phrases.often(own, least).hash.to_numpy().view("u8").tolist()]
+            assert len(got) == len(set(got))
+            assert set(got) == {hash_of(*phrase) for phrase, n in want.items() if n >= least}
+
+
+def test_rare_phrases_of_frequent_words_do_not_come_to_the_tries(spark):
+    """All words are frequent, few pairs: the runs have a row for each frequent phrase only."""
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(draw.choices(words, k=150)) + ". new york city is big" for _ in range(200)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    counts, least = plain_counts([("en", t) for t in texts], 5), 40
+    frequent = {p: n for p, n in counts.items() if n >= least}
+    hashes = spark.createDataFrame([(hash_of(*p) - (1 << 64) * (hash_of(*p) >> 63),) for p in frequent], "hash long")
+    frame, table = pd.DataFrame({"lang": "en", "text": texts}), phrases.bit_table(hashes)
+    runs = pd.concat(phrases.count_words(iter([frame]), 1, 5, table, 5, apart=2, totals=True))
+    assert len(runs) < 1.1 * len(frequent) < 0.02 * len(counts)
+    in_order = runs.iloc[sorted(range(len(runs)), key=lambda i: runs.phrase.iloc[i].split(" "))]
+    got = pd.concat(phrases.sum_beginnings(iter([in_order]), 3, least))
+    total = sum(len(w) for t in texts for w in plain_pieces(t))
+    assert {(r.lang, tuple(r.phrase.split())): r.n for r in got.itertuples()} == frequent | {("en", ()): total}
+    found, totals = phrases.count_phrases(docs, least=least)
+    assert {(r.lang, tuple(r.phrase.split())): r.n for r in found.collect()} == frequent
+    assert [tuple(r) for r in totals.collect()] == [("en", total)]
