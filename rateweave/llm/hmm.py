@@ -42,7 +42,7 @@ LEAST_PRIOR = 1000.0
 FOLDS, HELD = 7, 2
 # Documents run side by side, token by token. A longer one is cut into stretches of
 # so many tokens, which run side by side too.
-STRETCH = 4096
+STRETCH = 2048
 GROUP_TOKENS = 1 << 20
 BLOCK_CHARS = 1 << 23
 END = np.uint64(0x9B05688C2B3E6C1F)
@@ -91,9 +91,22 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return x / x.max(axis=tuple(range(1, x.ndim)), keepdims=True)
 
 
-def _row_sums(x: np.ndarray) -> np.ndarray:
-    """Sums over the states, as a column; a product is faster than adding short rows."""
-    return x @ np.ones((x.shape[1], 1))
+class Steps(NamedTuple):
+    """Tokens of some stretches, step by step: all their first ones, all second ones, and so on."""
+
+    at: np.ndarray  # first token of each step, and the number of all
+    classes: np.ndarray
+    seen: np.ndarray  # states x tokens: emissions
+
+
+def steps_of(classes: np.ndarray, lay: Layout, params: Params, chosen: np.ndarray) -> Steps:
+    """A row per state: what is done to a step runs along its tokens, of all stretches."""
+    size, begin = lay.size[chosen], lay.begin[chosen]
+    longer = len(size) - np.cumsum(np.bincount(size, minlength=1))
+    at = np.append(0, np.cumsum(longer[:-1]))  # the longest come first
+    step = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    own = classes[begin[np.arange(at[-1]) - at[step]] + step]
+    return Steps(at, own, np.take(np.ascontiguousarray(params.emit.T), own, axis=1))
 
 
 def _transfers(classes: np.ndarray, lay: Layout, params: Params) -> np.ndarray:
@@ -128,24 +141,22 @@ def entering(lay: Layout, params: Params, transfers: np.ndarray) -> np.ndarray:
     return ahead
 
 
-def forward(classes, lay: Layout, params: Params, chosen, ahead, keep: bool):
-    """Filtered state chances of each token, and ln-likelihood, of the ``chosen`` stretches.
+def forward(steps: Steps, params: Params, ahead: np.ndarray, keep: bool):
+    """Filtered state chances of each token, and ln-likelihood, of some stretches.
 
     Stretches start from the chances ``ahead``, so they run at once; scaling at each
-    token gives the likelihood.
+    token gives the likelihood. Unless told to ``keep`` the emissions it writes over them.
     """
-    ahead, size, begin = ahead.copy(), lay.size[chosen], lay.begin[chosen]
-    alpha, total = [], np.zeros(len(begin))
-    longer = len(size) - np.cumsum(np.bincount(size, minlength=STRETCH + 1))
-    for n in range(int(size.max(initial=0))):
-        m = longer[n]  # the longest come first
-        own = ahead[:m] * params.emit[classes[begin[:m] + n]]
-        norm = _row_sums(own)
-        own /= norm
-        total[:m] += np.log(norm[:, 0])
-        ahead[:m] = own @ params.move
-        if keep:
-            alpha.append(own)
+    ahead, at, move = np.ascontiguousarray(ahead.T), steps.at.tolist(), np.ascontiguousarray(params.move.T)
+    alpha, norms = np.empty_like(steps.seen) if keep else steps.seen, np.empty(at[-1])
+    total = np.zeros(ahead.shape[1])
+    for lo, hi in zip(at[:-1], at[1:], strict=True):
+        own = np.multiply(ahead[:, : hi - lo], steps.seen[:, lo:hi], out=alpha[:, lo:hi])
+        own /= np.add.reduce(own, axis=0, out=norms[lo:hi])
+        ahead = move @ own
+    np.log(norms, out=norms)
+    for lo, hi in zip(at[:-1], at[1:], strict=True):
+        total[: hi - lo] += norms[lo:hi]
     return alpha, total
 
 
@@ -154,30 +165,32 @@ def entry_rows(lay: Layout, j: int) -> np.ndarray:
     return np.searchsorted(lay.doc[lay.at[j - 1]], lay.doc[lay.at[j]])
 
 
-def backward(classes, lay: Layout, params: Params, alpha, chosen, after, collect=None):
-    """From the end of the ``chosen`` stretches to their start.
+def backward(steps: Steps, params: Params, last, alpha, after, collect=None):
+    """From the end of some stretches to their start.
 
     ``after`` is the likelihood of what follows each stretch by the state of the next
-    token, unused where a document ends. Gives the same for the stretch itself;
-    ``collect`` gets the posteriors: of the moves, and instead of ``alpha`` of the states.
+    token, unused where a document ends, as ``last`` tells. Gives the same for the
+    stretch itself; ``collect`` gets the posteriors: of the moves, and instead of
+    ``alpha`` of the states.
     """
-    after = after.copy()
-    size, begin, last = lay.size[chosen], lay.begin[chosen], lay.last[chosen]
-    longer = len(size) - np.cumsum(np.bincount(size, minlength=STRETCH + 1))
-    for n in range(int(size.max(initial=0)) - 1, -1, -1):
-        m = longer[n]  # the longest come first
-        ends = last[:m] & (size[:m] == n + 1)
-        beta = after[:m] @ params.move.T
-        beta[ends] = 1.0
+    after, at, n = np.ascontiguousarray(after.T), steps.at.tolist(), 0
+    for lo, hi in zip(at[-2::-1], at[:0:-1], strict=True):
+        # Stretches from the n-th on end here.
+        ends, n = n + np.flatnonzero(last[n : hi - lo]), hi - lo
+        own = after[:, :n]
+        beta = params.move @ own
+        beta[:, ends] = 1.0
         if collect is not None:
-            joint = alpha[n] * beta
-            norm = _row_sums(joint)
-            weight = np.where(ends[:, None], 0.0, alpha[n] / norm)
-            collect += weight.T @ after[:m]
-            alpha[n] = joint / norm
-        own = beta * params.emit[classes[begin[:m] + n]]
-        after[:m] = own / _row_sums(own)
-    return after
+            here = alpha[:, lo:hi]
+            joint = here * beta
+            norm = np.add.reduce(joint, axis=0)
+            here /= norm
+            here[:, ends] = 0.0
+            collect += here @ own.T
+            np.divide(joint, norm, out=here)
+        beta *= steps.seen[:, lo:hi]
+        np.divide(beta, np.add.reduce(beta, axis=0), out=own)
+    return after.T
 
 
 def groups(size: np.ndarray) -> list[np.ndarray]:
@@ -201,7 +214,9 @@ def expected_counts(classes: np.ndarray, sizes: np.ndarray, params: Params):
         longer[lay.doc[lay.at[1]]] = True
     ends = np.flatnonzero(lay.last & longer[lay.doc])
     entry = np.empty_like(after)
-    entry[ends] = backward(classes, lay, params, None, ends, after[ends])
+    for some in groups(lay.size[ends]):
+        own = ends[some]
+        entry[own] = backward(steps_of(classes, lay, params, own), params, lay.last[own], None, after[own])
     for j in range(len(lay.at) - 1, 0, -1):
         before = lay.at[j - 1][entry_rows(lay, j)]
         after[before] = entry[lay.at[j]]
@@ -211,13 +226,12 @@ def expected_counts(classes: np.ndarray, sizes: np.ndarray, params: Params):
     if lay.at:
         first[lay.at[0]] = True
     for chosen in groups(lay.size):
-        alpha, total = forward(classes, lay, params, chosen, ahead[chosen], keep=True)
-        backward(classes, lay, params, alpha, chosen, after[chosen], moves)
-        token = np.concatenate([lay.begin[chosen[: len(a)]] + n for n, a in enumerate(alpha)])
-        seen = np.concatenate(alpha)
+        steps = steps_of(classes, lay, params, chosen)
+        alpha, total = forward(steps, params, ahead[chosen], keep=True)
+        backward(steps, params, lay.last[chosen], alpha, after[chosen], moves)
         for s in range(k):
-            emits[:, s] += np.bincount(classes[token], seen[:, s], len(params.emit))
-        starts += alpha[0][first[chosen]].sum(axis=0)
+            emits[:, s] += np.bincount(steps.classes, alpha[s], len(params.emit))
+        starts += alpha[:, : len(chosen)][:, first[chosen]].sum(axis=1)
         log += total.sum()
     return starts, moves * params.move, emits, log
 
@@ -226,7 +240,9 @@ def likelihood(classes: np.ndarray, sizes: np.ndarray, params: Params) -> np.nda
     """Exact ln-likelihood of each document, by the scaled forward recursion."""
     lay = layout(sizes)
     ahead = entering(lay, params, _transfers(classes, lay, params))
-    _, total = forward(classes, lay, params, np.arange(len(lay.begin)), ahead, keep=False)
+    total = np.zeros(len(lay.begin))
+    for chosen in groups(lay.size):
+        _, total[chosen] = forward(steps_of(classes, lay, params, chosen), params, ahead[chosen], keep=False)
     return np.bincount(lay.doc, total, len(sizes))
 
 

@@ -163,3 +163,36 @@ def test_scores_equal_the_plain_forward_recursion(spark, monkeypatch):
             math.log((counts[w] + 1) / (n[w & 7] + v[w & 7] + 1)) for w in tokens[doc == i].tolist()
         )
         assert got[i] == pytest.approx((logs[i] + own) / math.log(10), rel=1e-6)
+
+
+def test_a_step_is_one_run_of_tokens_with_a_row_per_state(monkeypatch):
+    """What is done to a token of each stretch at once lies side by side, each token once."""
+    monkeypatch.setattr(hmm, "STRETCH", 16)
+    rng = np.random.default_rng(5)
+    sizes = np.array([1, 40, 16, 7, 17, 3])
+    classes, params = rng.integers(0, 32, sizes.sum()), hmm.first_params(np.ones(32), 3)
+    lay = hmm.layout(sizes)
+    steps = hmm.steps_of(classes, lay, params, np.arange(len(lay.begin)))
+    assert steps.seen.shape == (3, sizes.sum()) and steps.seen.flags.c_contiguous
+    assert (steps.seen == params.emit[steps.classes].T).all()
+    for n, (lo, hi) in enumerate(zip(steps.at[:-1], steps.at[1:], strict=True)):
+        assert steps.classes[lo:hi].tolist() == classes[lay.begin[lay.size > n] + n].tolist()
+
+
+def test_scoring_holds_a_group_of_tokens_at_a_time(monkeypatch):
+    held, whole = [], hmm.steps_of
+
+    def watched(classes, lay, params, chosen):
+        steps = whole(classes, lay, params, chosen)
+        held.append(len(steps.classes))
+        return steps
+
+    monkeypatch.setattr(hmm, "STRETCH", 16)
+    monkeypatch.setattr(hmm, "GROUP_TOKENS", 50)
+    monkeypatch.setattr(hmm, "steps_of", watched)
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(1, 60, 40)
+    classes, params = rng.integers(0, 32, sizes.sum()), hmm.first_params(np.ones(32), 3)
+    got = hmm.likelihood(classes, sizes, params)
+    assert sum(held) == sizes.sum() and max(held) < 50 + 16
+    assert np.allclose(got, slow_counts(classes, sizes, params)[3])
