@@ -213,3 +213,37 @@ def test_wide_factors_stay_exact(spark):
     search = fs.FactorSearch(frame.limit(1), frame, block_items=10)
     assert search.kind == "<f8"
     assert listed(search.lists(frame.limit(1).select(F.col("id").alias("user_id")), 3, 0)) == {0: [(0, 5.0), (1, 5.0), (2, 5.0)]}
+
+
+def pointing(rng, n, rank, directions):
+    """Factors of equal length scattered around a few directions."""
+    centres = rng.normal(0, 1, (directions, rank))
+    near = centres[rng.integers(0, directions, n)] + rng.normal(0, 0.15, (n, rank))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    return {i: np.float32(v).astype(float) for i, v in enumerate(near)}
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 26, 300_000])
+def test_items_of_other_directions_are_pruned(spark, group_bytes):
+    """Lengths tell nothing here: by them alone nearly all blocks are read."""
+    rng = np.random.default_rng(10)
+    items, users = pointing(rng, 20_000, 8, 40), pointing(rng, 60, 8, 40)
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], FACTORS) for x in (users, items)]
+    search = fs.FactorSearch(*frames, block_items=100, group_bytes=group_bytes)
+    seen = {0: set(range(0, 20_000, 3)), 1: {5}}
+    asked = spark.createDataFrame([(u, sorted(seen.get(u, ()))) for u in users], "user_id int, seen array<int>")
+    found = search.lists(asked, 5)
+    assert listed(found) == plain(users, items, seen, 5, None)
+    assert found.agg(F.sum("blocks_read")).first()[0] < 0.5 * 60 * search.n_blocks
+
+
+def test_users_whose_search_is_over_go_through_no_further_group(spark, monkeypatch):
+    user_rows, users = factors(spark, 100, 6, 11)
+    item_rows, items = factors(spark, 4000, 6, 12, skew=0.5)
+    search = fs.FactorSearch(user_rows, item_rows, block_items=50, group_bytes=6_000)
+    paths, real = [], fs.new_scratch
+    monkeypatch.setattr(fs, "new_scratch", lambda spark, label: paths.append(real(spark, label)) or paths[-1])
+    found = search.lists(user_rows.select(F.col("id").alias("user_id")), 5, 2)
+    went = [spark.read.parquet(path).count() for path in paths]
+    assert listed(found) == plain(users, items, {}, 5, 2)
+    assert went[0] == 100 and 0 < went[-1] < 100 and went == sorted(went, reverse=True)
