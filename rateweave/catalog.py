@@ -912,7 +912,7 @@ def _trial_rows(spark: SparkSession, best: model.Trial, trials: list[model.Trial
 
 @_register(_tried("(0, 10, 0.1, 10), (1, 20, 0.05, 15), (2, 15, 0.01, 20), (3, 10, 0.3, 20), (4, 25, 0.05, 10)"))
 def als_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The configurations tried one by one, since the first model misses the gate."""
+    """The configurations tried, since the first model misses the gate; as many at a time as the cores hold."""
     best, trials = model.tune_if_needed(*_split_on_disk(spark, sf_dir), keep_split=False)
     return _trial_rows(spark, best, trials, model.RMSE_GATE)
 

@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from rateweave.functions.sampling import drawn_below, unit_hash
 from rateweave.operators import model as m
 from rateweave.plans.train_model import sample_recommendations, train_model
 from rateweave.schemas import RATING
@@ -14,7 +15,7 @@ from rateweave.sinks.tables import write_metrics, write_ratings
 from rateweave.sources.models import load_model
 from rateweave.sources.ratings import read_ratings
 
-from .conftest import rows
+from .conftest import plan_of, rows
 
 QUICK = m.AlsConfig(rank=3, max_iter=3)
 
@@ -218,3 +219,56 @@ def test_tuning_deletes_the_shuffles_of_losing_models(ratings):
         time.sleep(0.2)
     # Those of the model above, of the best one, and at most of the one that ran last.
     assert model and best.config == QUICK and 2 * one <= len(set(kept()) - before) <= 3 * one
+
+
+def test_a_side_is_told_by_the_digits_as_by_the_number(ratings):
+    keys = ("user_id", "item_id")
+    for seed, fraction in ((42, 0.8), (1, 0.5), (7, 1e-9), (7, 1 - 1e-12), (7, -1.0), (7, 2.0)):
+        below = F.count_if(drawn_below(keys, seed, fraction) != (unit_hash(keys, seed) < fraction))
+        assert ratings.agg(below).first()[0] == 0
+    # No number is made of each row's digits.
+    assert not any("conv(" in plan_of(side) for side in m.train_test_split(ratings))
+
+
+def test_trials_share_the_cores_one_leaves_idle():
+    # Cores for three trials of four blocks; none to share; a given number stays.
+    assert m.sharing(4, 2, 12, None) == (3, 4, "MEMORY_AND_DISK")
+    assert m.sharing(4, 2, 7, None) == (1, 4, "MEMORY_AND_DISK")
+    assert m.sharing(12, 3, 12, None) == (1, 12, "MEMORY_AND_DISK")
+    assert m.sharing(4, 2, 12, 2) == (2, 4, "MEMORY_AND_DISK")
+    # Blocks of trials at once are bounded by rows, however many cores there are.
+    assert m.sharing(4, 8, 12, 3) == (3, 8, "DISK_ONLY")
+    assert m.sharing(4, 90, 12, 3) == (3, 90, "DISK_ONLY")
+    assert m.sharing(4, 8, 12, None) == (1, 4, "MEMORY_AND_DISK")
+
+
+def test_idle_cores_take_further_trials(ratings, monkeypatch):
+    running, real = threading.Barrier(2, timeout=60), m.train_eval
+
+    def watched(train, test, config, num_blocks=None):
+        if config.rank > 2:
+            running.wait()  # ends only if two trials run at a time
+        return real(train, test, config, num_blocks)
+
+    monkeypatch.setattr(m, "train_eval", watched)
+    monkeypatch.setattr(m, "blocks_for", lambda size, cores: cores // 2)
+    grid = [m.AlsConfig(3, r, 2) for r in (0.1, 0.2, 0.3, 0.4)]
+    m.tune_if_needed(*m.train_test_split(ratings), grid, 0.0, first=m.AlsConfig(2, 1.0, 2), keep_split=False)
+
+
+def test_blocks_of_models_at_once_are_bounded_by_rows(ratings, monkeypatch):
+    used, real = [], m.build_als
+
+    def watched(config, blocks):
+        als = real(config, blocks)
+        used.append((config.rank, blocks, als.getIntermediateStorageLevel()))
+        return als
+
+    monkeypatch.setattr(m, "build_als", watched)
+    monkeypatch.setattr(m, "BLOCK_ROWS", 100)
+    train, test = m.train_test_split(ratings)
+    blocks = -(-train.count() // 100)
+    grid = [m.AlsConfig(3, r, 2) for r in (0.1, 0.2)]
+    best, trials = m.tune_if_needed(train, test, grid, 0.0, first=m.AlsConfig(2, 1.0, 2), at_once=2)
+    assert blocks > 4 and sorted(used) == [(2, blocks, "MEMORY_AND_DISK")] + 2 * [(3, blocks, "DISK_ONLY")]
+    assert [t.config for t in trials[1:]] == grid and {t.predicted_rows for t in trials} == {test.count()}
